@@ -44,5 +44,9 @@ def box_outliers(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def place_by(df: DataFrame, order: str, within: Sequence[str] = ()) -> DataFrame:
-    """``place`` of each category in ascending ``order``; equal ones share a place."""
-    return df.withColumn("place", F.rank().over(Window.partitionBy(*within).orderBy(order)))
+    """``place`` of each category in ascending ``order``.
+
+    Values that differ by rounding noise only share a place.
+    """
+    rounded = F.round(order, 9)
+    return df.withColumn("place", F.rank().over(Window.partitionBy(*within).orderBy(rounded)))

@@ -146,15 +146,15 @@ def already_taken(shared: Column, before: Column) -> Column:
 
 
 def staged(slots: Column, left: str, b_u: Column, stages: Sequence[Stage], tokens: Sequence[str]) -> Column:
-    """Runs the stages of one user: an array with one ``b`` per stage.
+    """Runs the stages of one user: an array with one ``(slot, b)`` per stage.
 
     The residual a stage sees is the sum after the user effect less what the stages before took
     from the same rows.  That is a lower triangular system, solved from the top.  ``b`` is NULL
     where no row of the user has the tag.
     """
-    if not stages:
-        return F.array().cast("array<double>")
     nothing = F.array().cast("array<struct<slot:int,b:double>>")
+    if not stages:
+        return nothing
     settings = F.array(
         *[
             F.struct(
@@ -176,7 +176,7 @@ def staged(slots: Column, left: str, b_u: Column, stages: Sequence[Stage], token
         effect = let(slots[stage["slot"]], lambda rows: solve(before, stage, rows))
         return F.concat(before, F.array(effect))
 
-    return F.aggregate(settings, nothing, step, lambda done: F.transform(done, lambda e: e["b"]))
+    return F.aggregate(settings, nothing, step)
 
 
 def user_effects(cell_rows: DataFrame, specs: Sequence[Spec]) -> DataFrame:
@@ -200,9 +200,10 @@ def user_effects(cell_rows: DataFrame, specs: Sequence[Spec]) -> DataFrame:
         "tag_rows",
         *[f"b_u_{s.name}" for s in specs],
         *[
-            staged(F.col("slots"), f"left_{s.name}", F.col(f"b_u_{s.name}"), s.stages, tokens).alias(
-                f"tags_{s.name}"
-            )
+            F.transform(
+                staged(F.col("slots"), f"left_{s.name}", F.col(f"b_u_{s.name}"), s.stages, tokens),
+                lambda e: e["b"],
+            ).alias(f"tags_{s.name}")
             for s in specs
         ],
     )

@@ -106,19 +106,25 @@ def profiles(
         .agg(
             F.avg("b_i").alias("b_i"),
             *[
-                F.avg(F.when(has_tag("tags", stage.token), F.col("rating"))).alias(stage.name)
-                for stage in stages
+                F.avg(F.when(has_tag("tags", stage.token), F.col("rating"))).alias(f"mean_{i}")
+                for i, stage in enumerate(stages)
             ],
         )
     )
     base = F.lit(model.mu) + F.col("b_u") + F.col("b_i")
-    wide = (
+    # Wide to long by position: tag names may differ in case only, column names may not.
+    pairs = F.array(
+        *[
+            F.struct(F.lit(stage.name).alias("tag"), (F.col(f"mean_{i}") - base).alias("x"))
+            for i, stage in enumerate(stages)
+        ]
+    )
+    return (
         sample.join(per_user, "user_id")
         .join(users, "user_id", "left")
-        .select(*by, *[(F.col(f"`{stage.name}`") - base).alias(stage.name) for stage in stages])
+        .select(*by, F.inline(pairs))
+        .filter(present("x"))
     )
-    long = wide.unpivot(list(by), [f"`{stage.name}`" for stage in stages], "tag", "x")
-    return long.filter(present("x"))
 
 
 def tag_boxes(profile: DataFrame, within: Sequence[str] = ()) -> DataFrame:

@@ -125,43 +125,40 @@ def sweep_tag(
     A held-out row whose user has no train row with the tag keeps its error.
     """
     tokens = spec.tokens
-    before = spec.stages[:stage]
-    order = [tokens.index(s.token) for s in before]
     this = tokens.index(spec.stages[stage].token)
-    whole, rows = F.col("slots")[E.ALL_ROWS], F.col("slots")[this]
-    user = slots.select("slots", E.shrunken(whole["left"], whole["n"], spec.user_penalty).alias("b_u"))
-    solved = user.select(
-        "slots", "b_u", E.staged(F.col("slots"), "left", F.col("b_u"), before, tokens).alias("b")
+    whole = F.col("slots")[E.ALL_ROWS]
+    b_u, before = F.col("b_u"), F.col("before")
+    solved = (
+        slots.select("slots", whole.alias("whole"), F.col("slots")[this].alias("tagged"))
+        .withColumn("b_u", E.shrunken(F.col("whole.left"), F.col("whole.n"), spec.user_penalty))
+        .withColumn("before", E.staged(F.col("slots"), "left", b_u, spec.stages[:stage], tokens))
     )
 
-    def taken(shared: Column) -> Column:
-        """What the earlier stages take from rows with these counts per tag."""
-        parts = [F.coalesce(F.col("b")[p], F.lit(0.0)) * shared[i] for p, i in enumerate(order)]
-        return sum(parts, F.lit(0.0))
-
-    def error_sum(slot: Column) -> Column:
-        return slot["e"] - slot["m"] * F.col("b_u") - taken(slot["m_with"])
-
-    # Squared error of all held-out rows of the user after the earlier stages: each stage moves
-    # the rows of its tag by b, so it changes the sum by m b^2 - 2 b (error sum at that point).
-    everything = whole["e2"] - 2 * F.col("b_u") * whole["e"] + whole["m"] * F.col("b_u") * F.col("b_u")
-    for p, i in enumerate(order):
-        slot, b = F.col("slots")[i], F.coalesce(F.col("b")[p], F.lit(0.0))
-        earlier = sum(
-            (F.coalesce(F.col("b")[q], F.lit(0.0)) * slot["m_with"][j] for q, j in enumerate(order[:p])),
-            F.lit(0.0),
-        )
-        error = slot["e"] - slot["m"] * F.col("b_u") - earlier
-        everything = everything + F.coalesce(slot["m"] * b * b - 2 * b * error, F.lit(0.0))
-
-    has_rows = F.coalesce(rows["n"], F.lit(0)) > 0
+    def moved(total: Column, effect: Column) -> Column:
+        """The squared error after one more stage.
+
+        With all effects b it changes by b'Mb - 2 b'e, M counting the held-out rows per pair of
+        tags and e summing their errors per tag; this adds the share of one stage.
+        """
+
+        def share(slot: Column) -> Column:
+            error = slot["e"] - slot["m"] * b_u
+            return effect["b"] * (E.already_taken(slot["m_with"], before) - 2 * error)
+
+        return total + F.coalesce(E.let(F.col("slots")[effect["slot"]], share), F.lit(0.0))
+
+    tagged = F.col("tagged")
+    after_user = F.col("whole.e2") - 2 * b_u * F.col("whole.e") + F.col("whole.m") * b_u * b_u
+    has_rows = F.coalesce(tagged["n"], F.lit(0)) > 0
+    left = tagged["left"] - tagged["n"] * b_u - E.already_taken(tagged["n_with"], before)
+    error = tagged["e"] - tagged["m"] * b_u - E.already_taken(tagged["m_with"], before)
     keys = solved.select(
-        whole["m"].alias("rows"),
-        everything.alias("fixed"),
-        F.when(has_rows, rows["left"] - rows["n"] * F.col("b_u") - taken(rows["n_with"])).alias("left"),
-        rows["n"].alias("n"),
-        F.when(has_rows, error_sum(rows)).otherwise(0.0).alias("e"),
-        F.when(has_rows, rows["m"]).otherwise(0).alias("m"),
+        F.col("whole.m").alias("rows"),
+        F.aggregate(before, after_user, moved).alias("fixed"),
+        F.when(has_rows, left).alias("left"),
+        tagged["n"].alias("n"),
+        F.when(has_rows, error).otherwise(0.0).alias("e"),
+        F.when(has_rows, tagged["m"]).otherwise(0).alias("m"),
         F.lit(0.0).alias("e2"),
     )
     return candidate_errors(keys, penalties)
