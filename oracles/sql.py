@@ -452,6 +452,9 @@ FROM (SELECT DISTINCT unnest([q0, q1, q2, q3, q4]) AS edge, n FROM s_outer_edges
             f"""SELECT {ROW} FROM s_inner WHERE fold <> '{TRAIN}'
 EXCEPT ALL SELECT {ROW} FROM s_inner_test"""
         ),
+        "natural_anti_join": build(
+            f"SELECT {ROW} FROM s_outer_train EXCEPT ALL SELECT {ROW} FROM s_inner_train"
+        ),
         "global_mean": build(f"SELECT {shown('mu', 'mu')} FROM v_mu"),
         "tag_effect_map": build(
             f"""SELECT user_id, count(*) AS tags, string_agg(tag, ',' ORDER BY tag) AS names,

@@ -18,7 +18,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from residua.functions.scalar import release_year, tag_mask
+from residua.functions.scalar import release_year, sql_text, tag_mask, token_bit
 from residua.specs import Spec, Stage
 
 
@@ -80,12 +80,6 @@ def cells(rows: DataFrame, items: DataFrame, mu: Column, specs: Sequence[Spec])
 ALL_ROWS = -1  # the slot that every row of the user is in; the others are one per token
 
 
-def in_mask(mask: Column, bit: Column | int) -> Column:
-    """The bit is set.  Bit 0 is always."""
-    bit = F.lit(bit).cast("bigint") if isinstance(bit, int) else bit
-    return mask.bitwiseAND(bit) == bit
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once."""
     return F.transform(F.array(value), body)[0]
@@ -98,28 +92,22 @@ def slot_sums(cell_rows: DataFrame, tokens: Sequence[str], sums: Sequence[str],
     splits it by the other tokens of the rows.  So the state per user has a fixed size, however
     many rows the user has.  The cells are shuffled by user once and never sorted.
     """
-    slots = F.array(
-        *[
-            F.struct(F.lit(slot).alias("slot"), F.lit(0 if slot < 0 else 1 << slot).cast("bigint").alias("bit"))
-            for slot in range(ALL_ROWS, len(tokens))
-        ]
+    slots = ", ".join(
+        f"struct({slot} AS slot, {0 if slot < 0 else 1 << slot}L AS bit)"
+        for slot in range(ALL_ROWS, len(tokens))
     )
-    mask = F.col("mask")
     in_slots = (
         cell_rows.repartition("user_id")
-        .select("user_id", F.coalesce("mask", F.lit(0)).alias("mask"), *sums, *counts, F.inline(slots))
-        .filter(in_mask(mask, F.col("bit")))
+        .select("user_id", F.coalesce("mask", F.lit(0)).alias("mask"), *sums, *counts, F.expr(f"inline(array({slots}))"))
+        .filter("mask & bit = bit")
     )
-
-    def split_by_token(count: str) -> list[Column]:
-        return [
-            F.sum(F.when(in_mask(mask, 1 << i), F.col(count)).otherwise(0)).alias(f"{count}_{i}")
-            for i in range(len(tokens))
-        ]
-
     per_slot = in_slots.groupBy("user_id", "slot").agg(
         *[F.sum(c).alias(c) for c in (*sums, *counts)],
-        *[column for count in counts for column in split_by_token(count)],
+        *[
+            F.expr(f"sum(if(mask & {1 << i}L = 0, 0L, {count})) AS {count}_{i}")
+            for count in counts
+            for i in range(len(tokens))
+        ],
     )
     entry = F.struct(
         *sums,
@@ -155,14 +143,9 @@ def staged(slots: Column, left: str, b_u: Column, stages: Sequence[Stage], token
     nothing = F.array().cast("array<struct<slot:int,b:double>>")
     if not stages:
         return nothing
-    settings = F.array(
-        *[
-            F.struct(
-                F.lit(tokens.index(stage.token)).alias("slot"),
-                F.lit(float(stage.penalty)).alias("penalty"),
-            )
-            for stage in stages
-        ]
+    settings = ", ".join(
+        f"struct({tokens.index(stage.token)} AS slot, {float(stage.penalty)!r}D AS penalty)"
+        for stage in stages
     )
 
     def solve(before: Column, stage: Column, rows: Column) -> Column:
@@ -176,7 +159,7 @@ def staged(slots: Column, left: str, b_u: Column, stages: Sequence[Stage], token
         effect = let(slots[stage["slot"]], lambda rows: solve(before, stage, rows))
         return F.concat(before, F.array(effect))
 
-    return F.aggregate(settings, nothing, step)
+    return F.aggregate(F.expr(f"array({settings})"), nothing, step)
 
 
 def user_effects(cell_rows: DataFrame, specs: Sequence[Spec]) -> DataFrame:
@@ -209,33 +192,30 @@ def user_effects(cell_rows: DataFrame, specs: Sequence[Spec]) -> DataFrame:
     )
 
 
-def tag_adjustment(mask: Column, tags: Column, spec: Spec, tokens: Sequence[str]) -> Column:
-    """Sum of the tag effects that apply to a row or cell.
+def tag_adjustment(spec: Spec, tokens: Sequence[str]) -> Column:
+    """Sum of the tag effects that apply to a row or cell with ``mask`` and ``tags_<spec>``.
 
     A tag the user has no effect for adds nothing.  With unknown tags the sum is unknown if the
     user has any tag effect, and 0 otherwise.
     """
-    total = F.lit(0.0)
-    for place, stage in enumerate(spec.stages):
-        applies = in_mask(mask, 1 << tokens.index(stage.token))
-        total = total + F.when(applies, F.coalesce(tags[place], F.lit(0.0))).otherwise(0.0)
-    some_effect = F.exists(tags, lambda b: b.isNotNull())
-    return F.when(mask.isNotNull() | tags.isNull() | ~some_effect, total)
+    tags = f"tags_{spec.name}"
+    total = " + ".join(
+        f"if(mask & {token_bit(tokens, stage.token)}L = 0, 0D, coalesce({tags}[{place}], 0D))"
+        for place, stage in enumerate(spec.stages)
+    )
+    return F.expr(
+        f"""CASE WHEN mask IS NOT NULL THEN {total or '0D'}
+        WHEN coalesce(exists({tags}, b -> b IS NOT NULL), false) THEN NULL ELSE 0D END"""
+    )
 
 
 def tag_effects(users: DataFrame, spec: Spec, tokens: Sequence[str]) -> DataFrame:
     """Long form ``(user_id, tag, b, n)``, only tags the user has rows for."""
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(stage.name).alias("tag"),
-                F.col(f"tags_{spec.name}")[place].alias("b"),
-                F.col("tag_rows")[tokens.index(stage.token)].alias("n"),
-            )
-            for place, stage in enumerate(spec.stages)
-        ]
+    pairs = ", ".join(
+        f"struct({sql_text(stage.name)} AS tag, tags_{spec.name}[{place}] AS b, tag_rows[{tokens.index(stage.token)}] AS n)"
+        for place, stage in enumerate(spec.stages)
     )
-    return users.select("user_id", F.inline(pairs)).filter("n > 0")
+    return users.select("user_id", F.expr(f"inline(array({pairs}))")).filter("n > 0")
 
 
 def tag_effect_maps(users: DataFrame, spec: Spec) -> DataFrame:

@@ -11,9 +11,9 @@ from residua.functions.metrics import mean
 from residua.functions.scalar import (
     age_in_years,
     first_token,
-    has_tag,
     present,
     release_year,
+    sql_text,
     utc_date,
     whole_months,
 )
@@ -106,23 +106,21 @@ def profiles(
         .agg(
             F.avg("b_i").alias("b_i"),
             *[
-                F.avg(F.when(has_tag("tags", stage.token), F.col("rating"))).alias(f"mean_{i}")
+                F.expr(f"avg(CASE WHEN contains(tags, {sql_text(stage.token)}) THEN rating END) AS mean_{i}")
                 for i, stage in enumerate(stages)
             ],
         )
     )
     base = F.lit(model.mu) + F.col("b_u") + F.col("b_i")
     # Wide to long by position: tag names may differ in case only, column names may not.
-    pairs = F.array(
-        *[
-            F.struct(F.lit(stage.name).alias("tag"), (F.col(f"mean_{i}") - base).alias("x"))
-            for i, stage in enumerate(stages)
-        ]
+    pairs = ", ".join(
+        f"struct({sql_text(stage.name)} AS tag, mean_{i} - base AS x)" for i, stage in enumerate(stages)
     )
     return (
         sample.join(per_user, "user_id")
         .join(users, "user_id", "left")
-        .select(*by, F.inline(pairs))
+        .withColumn("base", base)
+        .select(*by, F.expr(f"inline(array({pairs}))"))
         .filter(present("x"))
     )
 

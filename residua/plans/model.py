@@ -107,9 +107,7 @@ def prediction(model: Model, variant: Variant) -> Column:
     if variant.user:
         total = total + part("user", F.col(f"b_u_{variant.spec}"))
     if variant.tags:
-        spec = model.spec(variant.spec)
-        tags = E.tag_adjustment(F.col("mask"), F.col(f"tags_{variant.spec}"), spec, model.tokens)
-        total = total + part("tags", tags)
+        total = total + part("tags", E.tag_adjustment(model.spec(variant.spec), model.tokens))
     if variant.year:
         total = total + part("year", F.col("knn"))
     return total
@@ -187,7 +185,7 @@ def year_residuals(model: Model, name: str) -> DataFrame:
     """
     spec = model.spec(name)
     users = model.users.select("user_id", f"b_u_{name}", f"tags_{name}")
-    tags = E.tag_adjustment(F.col("mask"), F.col(f"tags_{name}"), spec, model.tokens)
+    tags = E.tag_adjustment(spec, model.tokens)
     left = F.col(f"left_{name}") - F.col("n") * (F.col(f"b_u_{name}") + tags)
     per_cell = model.cells.select("user_id", "mask", "year", "n", f"left_{name}").join(
         users, "user_id", "left"

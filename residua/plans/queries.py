@@ -169,6 +169,12 @@ def _(w: Workspace) -> DataFrame:
     return natural_anti_join(held_out, w.splits.test)
 
 
+@query("natural_anti_join")
+def _(w: Workspace) -> DataFrame:
+    """Development rows that are no train rows: what the inner split held out."""
+    return natural_anti_join(w.splits.development, w.splits.train)
+
+
 # --- effects
 
 

@@ -28,26 +28,22 @@ def candidate_errors(keys: DataFrame, penalties: Sequence[float]) -> DataFrame:
     ``fixed``, the squared error of held-out rows that the effect does not touch.  With held-out
     rows of a key that has no train rows the error is unknown.
     """
-    known = F.col("n") > 0
-
-    def squared(penalty: float) -> Column:
-        b = F.when(known, F.col("left") / (F.col("n") + F.lit(float(penalty))))
-        return F.col("e2") - 2 * b * F.col("e") + F.col("m") * b * b
-
-    errors = keys.agg(
+    values = [float(p) for p in penalties]
+    based = keys.selectExpr("*", "CASE WHEN n > 0 THEN left END AS total")
+    errors = based.agg(
         F.sum("rows").alias("rows"),
         F.sum("fixed").alias("fixed"),
-        F.count_if((F.col("m") > 0) & ~F.coalesce(known, F.lit(False))).alias("unknown"),
-        *[F.sum(squared(p)).alias(f"sse_{i}") for i, p in enumerate(penalties)],
-    )
-    pairs = F.array(
+        F.expr("count_if(m > 0 AND total IS NULL)").alias("unknown"),
         *[
-            F.struct(F.lit(float(p)).alias("penalty"), F.coalesce(f"sse_{i}", F.lit(0.0)).alias("sse"))
-            for i, p in enumerate(penalties)
-        ]
+            F.expr(f"sum(e2 - 2 * total / (n + {p!r}D) * e + m * pow(total / (n + {p!r}D), 2)) AS sse_{i}")
+            for i, p in enumerate(values)
+        ],
+    )
+    pairs = ", ".join(
+        f"struct({p!r}D AS penalty, coalesce(sse_{i}, 0D) AS sse)" for i, p in enumerate(values)
     )
     rmse = F.sqrt((F.col("sse") + F.col("fixed")) / F.nullif(F.col("rows"), F.lit(0)))
-    return errors.select("rows", "fixed", "unknown", F.inline(pairs)).select(
+    return errors.select("rows", "fixed", "unknown", F.expr(f"inline(array({pairs}))")).select(
         "penalty", F.when(F.col("unknown") == 0, rmse).alias("rmse")
     )
 
