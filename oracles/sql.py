@@ -69,6 +69,7 @@ cte(
   CAST(to_timestamp(ts) AT TIME ZONE 'UTC' AS DATE) AS date FROM v_rows""",
 )
 ROW = "rating_key, user_id, item_id, rating, ts, title, tags"
+NARROW = "rating_key, user_id, item_id, rating, ts"
 
 
 # --- splits
@@ -424,7 +425,7 @@ def all_oracles() -> dict[str, str]:
         "ingest_ratings_delimited": build("SELECT user_id, item_id, rating, ts FROM v_rows"),
         "ingest_items_delimited": build("SELECT item_id, title, tags FROM v_items"),
         "ingest_joined": build("SELECT user_id, item_id, rating, ts, title, tags FROM v_rows"),
-        "roundtrip_parquet": build(f"SELECT {ROW}, fold FROM s_outer"),
+        "roundtrip_parquet": build(f"SELECT {NARROW}, fold FROM s_outer"),
         "peek_rows": build(f"SELECT {ROW} FROM s_outer_train ORDER BY rating_key LIMIT 6"),
         "fold_counts": build(
             " UNION ALL ".join(
@@ -445,15 +446,15 @@ FROM (SELECT DISTINCT unnest([q0, q1, q2, q3, q4]) AS edge, n FROM s_outer_edges
   < CAST(floor(0.1::DOUBLE * 4503599627370496) AS BIGINT) AS held_out FROM v_rows"""
         ),
         "semi_known_items_users": build(
-            f"""SELECT {ROW} FROM s_inner WHERE fold <> '{TRAIN}'
+            f"""SELECT {NARROW} FROM s_inner WHERE fold <> '{TRAIN}'
   AND item_id IN (SELECT item_id FROM s_inner_train) AND user_id IN (SELECT user_id FROM s_inner_train)"""
         ),
         "anti_rejected_rows": build(
-            f"""SELECT {ROW} FROM s_inner WHERE fold <> '{TRAIN}'
-EXCEPT ALL SELECT {ROW} FROM s_inner_test"""
+            f"""SELECT {NARROW} FROM s_inner WHERE fold <> '{TRAIN}'
+EXCEPT ALL SELECT {NARROW} FROM s_inner_test"""
         ),
         "natural_anti_join": build(
-            f"SELECT {ROW} FROM s_outer_train EXCEPT ALL SELECT {ROW} FROM s_inner_train"
+            f"SELECT {NARROW} FROM s_outer_train EXCEPT ALL SELECT {NARROW} FROM s_inner_train"
         ),
         "global_mean": build(f"SELECT {shown('mu', 'mu')} FROM v_mu"),
         "tag_effect_map": build(

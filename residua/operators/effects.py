@@ -37,10 +37,24 @@ def shrunken(total: Column, n: Column, penalty: float) -> Column:
     return F.when(n > 0, total / (n + F.lit(float(penalty))))
 
 
-def item_effects(totals: DataFrame, mu: Column, specs: Sequence[Spec]) -> DataFrame:
-    """``(item_id, n, b_i_<spec>...)``."""
-    return totals.select(
+def item_features(items: DataFrame, tokens: Sequence[str]) -> DataFrame:
+    """``(item_id, mask, year)``: all that the model takes from the text of an item.
+
+    Worked out once per item, not once per rating.
+    """
+    return items.select(
+        "item_id", tag_mask("tags", tokens).alias("mask"), release_year("title").alias("year")
+    )
+
+
+def item_effects(
+    totals: DataFrame, features: DataFrame, mu: Column, specs: Sequence[Spec]
+) -> DataFrame:
+    """``(item_id, mask, year, n, b_i_<spec>...)`` for all rated and all listed items."""
+    return totals.join(features, "item_id", "full").select(
         "item_id",
+        "mask",
+        "year",
         "n",
         *[
             shrunken(F.col("total") - F.col("n") * mu, F.col("n"), s.item_penalty).alias(f"b_i_{s.name}")
@@ -54,15 +68,9 @@ def cells(rows: DataFrame, items: DataFrame, mu: Column, specs: Sequence[Spec])
 
     The release year is part of the key so that the year curve needs no second pass over rows.
     """
-    effects = items.select("item_id", *[f"b_i_{s.name}" for s in specs])
+    effects = items.select("item_id", "mask", "year", *[f"b_i_{s.name}" for s in specs])
     return (
-        rows.select(
-            "user_id",
-            "item_id",
-            "rating",
-            tag_mask("tags", specs[0].tokens).alias("mask"),
-            release_year("title").alias("year"),
-        )
+        rows.select("user_id", "item_id", "rating")
         .join(effects, "item_id", "left")
         .groupBy("user_id", "mask", "year")
         .agg(

@@ -12,8 +12,8 @@ from residua.functions.scalar import (
     age_in_years,
     first_token,
     present,
-    release_year,
     sql_text,
+    token_bit,
     utc_date,
     whole_months,
 )
@@ -27,9 +27,14 @@ RUN = "[a-zA-Z]+"
 # --- tags
 
 
-def _tag_texts(rows: DataFrame) -> DataFrame:
-    """Each distinct tag text once, with its row count; all tag counting starts from this."""
-    return rows.filter(F.col("tags").isNotNull()).groupBy("tags").agg(F.count("*").alias("n"))
+def _tag_texts(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """Each distinct tag text once, with its row count; all tag counting starts from this.
+
+    Rows are counted per item before they meet a text.
+    """
+    rated = rows.groupBy("item_id").agg(F.count("*").alias("n"))
+    texts = rated.join(items.select("item_id", "tags"), "item_id").filter(F.col("tags").isNotNull())
+    return texts.groupBy("tags").agg(F.sum("n").alias("n"))
 
 
 def _substrings(run: Column, longest: Column) -> Column:
@@ -45,18 +50,18 @@ def _substrings(run: Column, longest: Column) -> Column:
     )
 
 
-def first_tokens(rows: DataFrame) -> DataFrame:
+def first_tokens(texts: DataFrame) -> DataFrame:
     """The distinct first alphabetic runs of the tag texts."""
-    return rows.select(first_token("tags").alias("tag")).distinct().filter("tag IS NOT NULL")
+    return texts.select(first_token("tags").alias("tag")).distinct().filter("tag IS NOT NULL")
 
 
-def tag_frequency_first_token(rows: DataFrame) -> DataFrame:
+def tag_frequency_first_token(rows: DataFrame, items: DataFrame) -> DataFrame:
     """``(tag, n)``, most frequent first: for each first token the rows whose text contains it.
 
     A token is one alphabetic run, so it can only lie inside an alphabetic run of the text.  The
     substrings of those runs are joined with the tokens by equality: no text meets every token.
     """
-    texts = _tag_texts(rows)
+    texts = _tag_texts(rows, items)
     tokens = first_tokens(texts)
     longest = tokens.agg(F.max(F.length("tag"))).scalar()
     runs = texts.withColumn("longest", longest).select(
@@ -67,11 +72,11 @@ def tag_frequency_first_token(rows: DataFrame) -> DataFrame:
     return found.groupBy("tag").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "tag")
 
 
-def tag_frequency(rows: DataFrame, separator: str = "|") -> DataFrame:
+def tag_frequency(rows: DataFrame, items: DataFrame, separator: str = "|") -> DataFrame:
     """``(tag, n)`` over the separated tags of each text, most frequent first."""
     listed = F.array_distinct(F.split("tags", F.lit(f"\\Q{separator}\\E")))
     return (
-        _tag_texts(rows)
+        _tag_texts(rows, items)
         .select(F.explode(listed).alias("tag"), "n")
         .groupBy("tag")
         .agg(F.sum("n").alias("n"))
@@ -97,7 +102,7 @@ def profiles(
     out.  ``sample`` has the columns ``by`` and may name a user more than once.
     """
     users = model.users.select("user_id", F.col(f"b_u_{name}").alias("b_u"))
-    items = model.items.select("item_id", F.col(f"b_i_{name}").alias("b_i"))
+    items = model.items.select("item_id", "mask", F.col(f"b_i_{name}").alias("b_i"))
     chosen = sample.select("user_id").distinct()
     per_user = (
         train.join(chosen, "user_id", "left_semi")
@@ -106,7 +111,9 @@ def profiles(
         .agg(
             F.avg("b_i").alias("b_i"),
             *[
-                F.expr(f"avg(CASE WHEN contains(tags, {sql_text(stage.token)}) THEN rating END) AS mean_{i}")
+                F.expr(
+                    f"avg(CASE WHEN mask & {token_bit(model.tokens, stage.token)}L != 0 THEN rating END) AS mean_{i}"
+                )
                 for i, stage in enumerate(stages)
             ],
         )
@@ -140,7 +147,7 @@ def placed_by_median(profile: DataFrame, within: Sequence[str]) -> DataFrame:
     return profile.join(place_by(medians, "median", within).drop("median"), [*within, "tag"])
 
 
-# --- residual curves; ``fitted`` has title, ts and residual
+# --- residual curves; ``fitted`` has year, ts and residual
 
 
 def residual_by_month(fitted: DataFrame) -> DataFrame:
@@ -157,7 +164,7 @@ def residual_by_month(fitted: DataFrame) -> DataFrame:
 
 def residual_by_age(fitted: DataFrame) -> DataFrame:
     """Mean residual by the age of the item when it was rated; unknown and negative ages are left out."""
-    age = age_in_years(utc_date("ts"), release_year("title"))
+    age = age_in_years(utc_date("ts"), F.col("year"))
     return (
         fitted.select(age.alias("age"), "residual")
         .filter("age >= 0")
@@ -169,8 +176,7 @@ def residual_by_age(fitted: DataFrame) -> DataFrame:
 def residual_by_release_year(fitted: DataFrame) -> DataFrame:
     """Mean residual and row count by release year, from the rows."""
     return (
-        fitted.select(release_year("title").alias("year"), "residual")
-        .groupBy("year")
+        fitted.groupBy("year")
         .agg(mean(F.col("residual")).alias("b"), F.count("*").alias("n"))
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions.metrics import PROPAGATE, SKIP, rmse
-from residua.functions.scalar import or_zero, release_year, tag_mask
+from residua.functions.scalar import or_zero
 from residua.operators import effects as E
 from residua.operators.joins import natural_left_join
 from residua.operators.knn import choose_k, knn_smooth
@@ -21,7 +21,8 @@ from residua.session import stored
 class Model:
     """Effect tables of one or more specs over the same train rows and tags.
 
-    ``items``, ``users`` and ``cells`` have one column or set of columns per spec, named after it.
+    ``items`` (effects, tag mask and year per item), ``users`` and ``cells`` have one column or set
+    of columns per spec, named after it.
     """
 
     specs: tuple[Spec, ...]
@@ -38,7 +39,7 @@ class Model:
         return self.specs[0].tokens
 
 
-def fit(train: DataFrame, specs: Sequence[Spec]) -> Model:
+def fit(train: DataFrame, items: DataFrame, specs: Sequence[Spec]) -> Model:
     """Two passes over the train rows fit all specs: one per item, one per cell.
 
     The tables are stored, each is read more than once later.
@@ -48,23 +49,20 @@ def fit(train: DataFrame, specs: Sequence[Spec]) -> Model:
         raise ValueError("specs fitted together must have the same tags")
     totals = stored(E.item_totals(train), "item-totals")
     mu = E.global_mean(totals).first()["mu"]
-    items = E.item_effects(totals, F.lit(mu), specs)
-    cells = stored(E.cells(train, items, F.lit(mu), specs), "cells")
+    features = E.item_features(items, specs[0].tokens)
+    effects = stored(E.item_effects(totals, features, F.lit(mu), specs), "items")
+    cells = stored(E.cells(train, effects, F.lit(mu), specs), "cells")
     users = stored(E.user_effects(cells, specs), "users")
-    return Model(specs, mu, items, users, cells)
+    return Model(specs, mu, effects, users, cells)
 
 
 def with_effects(rows: DataFrame, model: Model, names: Sequence[str]) -> DataFrame:
     """Two left joins, by item and by user, bring all effects of the named specs to the rows."""
-    items = model.items.select("item_id", *[f"b_i_{n}" for n in names])
+    items = model.items.select("item_id", "mask", "year", *[f"b_i_{n}" for n in names])
     users = model.users.select(
         "user_id", *[f"b_u_{n}" for n in names], *[f"tags_{n}" for n in names]
     )
-    return (
-        rows.withColumn("mask", tag_mask("tags", model.tokens))
-        .join(items, "item_id", "left")
-        .join(users, "user_id", "left")
-    )
+    return rows.join(items, "item_id", "left").join(users, "user_id", "left")
 
 
 @dataclass(frozen=True)
@@ -119,8 +117,7 @@ def with_parts(
     names = list(dict.fromkeys(v.spec for v in variants if v.spec))
     joined = with_effects(rows, model, names)
     if any(v.year for v in variants):
-        curve = year_effect.select("year", "knn")
-        joined = natural_left_join(joined.withColumn("year", release_year("title")), curve)
+        joined = natural_left_join(joined, year_effect.select("year", "knn"))
     return joined
 
 
@@ -173,9 +170,11 @@ def leaderboard(
 
 
 def fitted(train: DataFrame, model: Model, name: str) -> DataFrame:
-    """The train rows with the prediction of item, user and tags, and the residual."""
+    """The train rows with release year, the prediction of item, user and tags, and the residual."""
     variant = Variant("fitted", name, item=True, user=True, tags=True)
-    return score(train, model, variant).withColumn("residual", F.col("rating") - F.col("pred"))
+    joined = with_parts(train, model, [variant])
+    scored = joined.select(*train.columns, "year", prediction(model, variant).alias("pred"))
+    return scored.withColumn("residual", F.col("rating") - F.col("pred"))
 
 
 def year_residuals(model: Model, name: str) -> DataFrame:

@@ -61,7 +61,7 @@ def all_queries() -> dict[str, Query]:
 
 @query("ratings_view")
 def _(w: Workspace) -> DataFrame:
-    return testview.rating_rows(w.spark, w.folder)
+    return delimited.join_items(testview.ratings(w.spark, w.folder), w.items)
 
 
 def _delimited_ratings(w: Workspace) -> DataFrame:
@@ -72,7 +72,7 @@ def _delimited_ratings(w: Workspace) -> DataFrame:
 
 def _delimited_items(w: Workspace) -> DataFrame:
     path = new_path(w.spark, "items-text")
-    delimited.write_delimited(testview.items(w.spark, w.folder).select(*ITEM_FIELDS), path)
+    delimited.write_delimited(w.items.select(*ITEM_FIELDS), path)
     return delimited.read_items(w.spark, path)
 
 
@@ -100,7 +100,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query("peek_rows")
 def _(w: Workspace) -> DataFrame:
-    return tables.peek(w.splits.development, ["rating_key"])
+    return delimited.join_items(tables.peek(w.splits.development, ["rating_key"]), w.items)
 
 
 @query("fold_counts")
@@ -185,8 +185,8 @@ def _(w: Workspace) -> DataFrame:
 
 def _item_effect(w: Workspace, spec: Spec) -> DataFrame:
     totals = E.item_totals(w.splits.train)
-    effects = E.item_effects(totals, F.lit(w.model.mu), [spec])
-    return effects.select("item_id", F.col(f"b_i_{spec.name}").alias("b_i"), "n")
+    b_i = E.shrunken(F.col("total") - F.col("n") * F.lit(w.model.mu), F.col("n"), spec.item_penalty)
+    return totals.select("item_id", b_i.alias("b_i"), "n")
 
 
 def _user_effect(w: Workspace, spec: Spec) -> DataFrame:
@@ -204,7 +204,7 @@ for _spec in (VIEW_PLAIN, VIEW_SHRUNK):
 @query("staged_fit")
 def _(w: Workspace) -> DataFrame:
     """The whole fit of the shrunk spec from the train rows, nothing reused."""
-    model = M.fit(w.splits.train, [VIEW_SHRUNK])
+    model = M.fit(w.splits.train, w.items, [VIEW_SHRUNK])
     return E.tag_effects(model.users, VIEW_SHRUNK, model.tokens)
 
 
@@ -289,7 +289,9 @@ def _(w: Workspace) -> DataFrame:
 
 @query("tuned_penalties")
 def _(w: Workspace) -> DataFrame:
-    spec = tuning.tune(w.splits.tune_train, w.splits.tune_test, w.model.mu, VIEW_SHRUNK)
+    spec = tuning.tune(
+        w.splits.tune_train, w.splits.tune_test, w.features, w.model.mu, VIEW_SHRUNK
+    )
     chosen = [("item", spec.item_penalty), ("user", spec.user_penalty)]
     chosen += [(stage.name, stage.penalty) for stage in spec.stages]
     rows = [(place, effect, penalty) for place, (effect, penalty) in enumerate(chosen)]
@@ -301,8 +303,7 @@ def _(w: Workspace) -> DataFrame:
 
 @query("release_year")
 def _(w: Workspace) -> DataFrame:
-    items = testview.items(w.spark, w.folder)
-    return items.select(
+    return w.items.select(
         "item_id", X.release_year("title").alias("year"), X.first_token("tags").alias("first_token")
     )
 
@@ -311,8 +312,8 @@ def _(w: Workspace) -> DataFrame:
 def _(w: Workspace) -> DataFrame:
     date = X.utc_date("ts")
     first = w.rows.agg(X.utc_date(F.min("ts")).alias("first")).scalar()
-    dated = w.rows.select(
-        "rating_key", date.alias("date"), first.alias("first"), X.release_year("title").alias("year")
+    dated = w.rows.join(w.features, "item_id", "left").select(
+        "rating_key", date.alias("date"), first.alias("first"), "year"
     )
     return dated.select(
         "rating_key",
@@ -333,7 +334,7 @@ query("year_effect")(lambda w: knn_smooth(w.years, choose_k(w.years).first()["k"
 
 @query("natural_left_join")
 def _(w: Workspace) -> DataFrame:
-    rows = w.splits.test.select("rating_key", X.release_year("title").alias("year"))
+    rows = w.splits.test.join(w.features, "item_id", "left").select("rating_key", "year")
     return natural_left_join(rows, w.year_effect.select("year", "n", "knn"))
 
 
@@ -347,8 +348,8 @@ for _centred, _suffix in ((False, ""), (True, "_centred")):
         lambda w, c=_centred: histogram(w.model.users, "b_u_plain", centred=c)
     )
 
-query("tag_frequency_first_token")(lambda w: explore.tag_frequency_first_token(w.splits.development))
-query("tag_frequency_all")(lambda w: explore.tag_frequency(w.splits.development))
+query("tag_frequency_first_token")(lambda w: explore.tag_frequency_first_token(w.splits.development, w.items))
+query("tag_frequency_all")(lambda w: explore.tag_frequency(w.splits.development, w.items))
 query("sampled_users")(lambda w: w.sampled_users())
 query("panel_users")(lambda w: w.user_panels())
 

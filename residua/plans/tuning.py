@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from residua.functions.scalar import grid, tag_mask
+from residua.functions.scalar import grid
 from residua.operators import effects as E
 from residua.session import stored
 from residua.specs import Spec
@@ -54,7 +54,7 @@ def best_penalty(errors: DataFrame) -> DataFrame:
 
 
 def _both(train: DataFrame, test: DataFrame) -> DataFrame:
-    columns = ["user_id", "item_id", "rating", "tags"]
+    columns = ["user_id", "item_id", "rating"]
     return (
         train.select(*columns)
         .withColumn("fits", F.lit(True))
@@ -84,20 +84,25 @@ def sweep_item(
     return candidate_errors(keys.select("*", F.col("m").alias("rows"), F.lit(0.0).alias("fixed")), penalties)
 
 
-def item_effect(train: DataFrame, mu: float, penalty: float) -> DataFrame:
+def item_effect(train: DataFrame, features: DataFrame, mu: float, penalty: float) -> DataFrame:
+    """``(item_id, mask, b_i)``."""
     total = F.col("total") - F.col("n") * F.lit(mu)
-    return E.item_totals(train).select("item_id", E.shrunken(total, F.col("n"), penalty).alias("b_i"))
+    effect = E.shrunken(total, F.col("n"), penalty).alias("b_i")
+    return E.item_totals(train).join(features, "item_id", "full").select("item_id", "mask", effect)
 
 
-def tuning_cells(
-    train: DataFrame, test: DataFrame, mu: float, items: DataFrame, tokens: Sequence[str]
-) -> DataFrame:
-    """Train and held-out sums per user and tag mask, after the item effect."""
-    rows = _both(train, test).select(
-        "user_id", "item_id", "rating", "fits", tag_mask("tags", tokens).alias("mask")
-    )
+def tuning_cells(train: DataFrame, test: DataFrame, mu: float, items: DataFrame) -> DataFrame:
+    """Train and held-out sums per user and tag mask, after the item effect.
+
+    ``items`` has ``mask`` and ``b_i``.
+    """
     error = F.col("rating") - F.lit(mu) - F.col("b_i")
-    return rows.join(items, "item_id", "left").groupBy("user_id", "mask").agg(*_key_sums(error))
+    return (
+        _both(train, test)
+        .join(items.select("item_id", "mask", "b_i"), "item_id", "left")
+        .groupBy("user_id", "mask")
+        .agg(*_key_sums(error))
+    )
 
 
 def sweep_user(cell_rows: DataFrame, penalties: Sequence[float] = PENALTIES) -> DataFrame:
@@ -163,6 +168,7 @@ def sweep_tag(
 def tune(
     train: DataFrame,
     test: DataFrame,
+    features: DataFrame,
     mu: float,
     spec: Spec,
     penalties: Sequence[float] = PENALTIES,
@@ -177,8 +183,8 @@ def tune(
         return best_penalty(errors).first()["penalty"]
 
     chosen = replace(spec, item_penalty=best(sweep_item(train, test, mu, penalties)))
-    items = item_effect(train, mu, chosen.item_penalty)
-    cell_rows = stored(tuning_cells(train, test, mu, items, spec.tokens), "tuning-cells")
+    items = item_effect(train, features, mu, chosen.item_penalty)
+    cell_rows = stored(tuning_cells(train, test, mu, items), "tuning-cells")
     chosen = replace(chosen, user_penalty=best(sweep_user(cell_rows, penalties)))
     slots = stored(tuning_slots(cell_rows, spec.tokens), "tuning-slots")
     for place in range(len(spec.stages)):

@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from residua.operators.effects import item_features
 from residua.operators.knn import choose_k, knn_smooth
 from residua.operators.sampling import draw_with_replacement, panels
 from residua.operators.split import NestedSplit, nested_split
@@ -39,7 +40,15 @@ class Workspace:
 
     @cached_property
     def rows(self) -> DataFrame:
-        return stored(testview.rating_rows(self.spark, self.folder), "rows")
+        return stored(testview.ratings(self.spark, self.folder), "rows")
+
+    @property
+    def items(self) -> DataFrame:
+        return testview.items(self.spark, self.folder)
+
+    @property
+    def features(self) -> DataFrame:
+        return item_features(self.items, VIEW_SHRUNK.tokens)
 
     @cached_property
     def splits(self) -> NestedSplit:
@@ -48,7 +57,7 @@ class Workspace:
     @cached_property
     def model(self) -> M.Model:
         """Both specs, fitted on the train rows."""
-        return M.fit(self.splits.train, [VIEW_PLAIN, VIEW_SHRUNK])
+        return M.fit(self.splits.train, self.items, [VIEW_PLAIN, VIEW_SHRUNK])
 
     @cached_property
     def years(self) -> DataFrame:
@@ -61,9 +70,8 @@ class Workspace:
     @cached_property
     def tuning_cells(self) -> DataFrame:
         train, test = self.splits.tune_train, self.splits.tune_test
-        items = tuning.item_effect(train, self.model.mu, VIEW_SHRUNK.item_penalty)
-        cells = tuning.tuning_cells(train, test, self.model.mu, items, VIEW_SHRUNK.tokens)
-        return stored(cells, "tuning-cells")
+        items = tuning.item_effect(train, self.features, self.model.mu, VIEW_SHRUNK.item_penalty)
+        return stored(tuning.tuning_cells(train, test, self.model.mu, items), "tuning-cells")
 
     def fitted(self) -> DataFrame:
         return M.fitted(self.splits.train, self.model, "shrunk")

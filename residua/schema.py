@@ -1,4 +1,9 @@
-"""Column layout of the input files and of the joined rating rows."""
+"""Column layout of the input files.
+
+Rating rows stay narrow: everything that depends on the item alone (title, tags and what is
+derived from them) stays in the items table and is joined by ``item_id`` where it is needed.
+``item_id`` is the key of the items table.
+"""
 
 from pyspark.sql import types as T
 
@@ -19,5 +24,5 @@ ITEMS = T.StructType(
     ]
 )
 
-# One row per rating: the ratings file left-joined with the items file, plus a unique row key.
-FACT_COLUMNS = ["rating_key", "user_id", "item_id", "rating", "ts", "title", "tags"]
+# Rating rows also carry a key that tells every row from every other.
+RATING_ROW = ["rating_key", "user_id", "item_id", "rating", "ts"]

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from residua.schema import FACT_COLUMNS
-
 
 def _title() -> F.Column:
     year = (1930 + (F.col("p_partkey") * 7) % 80).cast("string")
@@ -51,5 +49,3 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def rating_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return ratings(spark, folder).join(items(spark, folder), "item_id", "left").select(*FACT_COLUMNS)

@@ -14,7 +14,7 @@ from residua.sources import testview
 
 @pytest.fixture(scope="module")
 def rows(spark, folder):
-    return stored(testview.rating_rows(spark, folder), "test-rows")
+    return stored(testview.ratings(spark, folder), "test-rows")
 
 
 def expected_holdout(keyed, edges, salt, fraction):
