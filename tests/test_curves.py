@@ -92,17 +92,18 @@ def test_samples(spark):
 
 def test_tag_frequencies(spark):
     texts = ["Sci-Fi|War"] * 3 + ["War"] * 2 + ["(no tags listed)", "Warm|Sci-Fi", None]
-    df = spark.createDataFrame([(t,) for t in texts], "tags string")
-    first = {r["tag"]: r["n"] for r in explore.tag_frequency_first_token(df).collect()}
-    assert first == {"Sci": 4, "War": 6, "Warm": 1, "no": 1}
-    listed = [tuple(r) for r in explore.tag_frequency(df).collect()]
-    assert listed == [("War", 5), ("Sci-Fi", 4), ("(no tags listed)", 1), ("Warm", 1)]
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "item_id int, tags string")
+    rows = items.select("item_id").unionByName(spark.createDataFrame([(0,), (6,)], "item_id int"))
+    first = {r["tag"]: r["n"] for r in explore.tag_frequency_first_token(rows, items).collect()}
+    assert first == {"Sci": 6, "War": 8, "Warm": 2, "no": 1}
+    listed = [tuple(r) for r in explore.tag_frequency(rows, items).collect()]
+    assert listed == [("Sci-Fi", 6), ("War", 6), ("Warm", 2), ("(no tags listed)", 1)]
 
 
 def test_residual_curves(spark):
     day = 86400
-    rows = [("A (1960)", 0, 1.0), ("A (1960)", 40 * day, 2.0), ("B (1999)", 41 * day, 4.0), ("C", 41 * day, 6.0)]
-    df = spark.createDataFrame(rows, "title string, ts bigint, residual double")
+    rows = [(1960, 0, 1.0), (1960, 40 * day, 2.0), (1999, 41 * day, 4.0), (None, 41 * day, 6.0)]
+    df = spark.createDataFrame(rows, "year int, ts bigint, residual double")
     assert {r["month"]: r["b"] for r in explore.residual_by_month(df).collect()} == {0: 1.0, 1: 4.0}
     assert {r["age"]: r["b"] for r in explore.residual_by_age(df).collect()} == {10: 1.5}
     assert {r["year"]: (r["b"], r["n"]) for r in explore.residual_by_release_year(df).collect()} == {

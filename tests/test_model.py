@@ -9,7 +9,21 @@ from residua.plans import explore, tuning
 from residua.plans import model as M
 from residua.specs import FILM_PLAIN, FILM_SHRUNK, Spec, Stage, VIEW_SHRUNK, unpenalised
 
-SCHEMA = "rating_key string, user_id bigint, item_id bigint, rating double, tags string, title string, ts bigint"
+RATING = "rating_key string, user_id bigint, item_id bigint, rating double, ts bigint"
+ITEM = "item_id bigint, title string, tags string"
+
+
+def frames(spark, rows):
+    """Ratings and items of wide rows; an item must always have the same text."""
+    ratings = spark.createDataFrame([(k, u, i, x, ts) for k, u, i, x, _, _, ts in rows], RATING)
+    listed = {i: (i, title, tags) for _, _, i, _, tags, title, _ in rows}
+    assert all(listed[i] == (i, title, tags) for _, _, i, _, tags, title, _ in rows)
+    return ratings, spark.createDataFrame(list(listed.values()), ITEM)
+
+
+def fit(spark, rows, specs):
+    return M.fit(*frames(spark, rows), specs)
+
 
 FIXTURE = [
     ("a", 1, 10, 4.0, "Drama|Comedy", "A (1994)", 789652009),
@@ -28,8 +42,8 @@ def close(a, b, digits=9):
 
 
 def test_hand_computed_effects(spark):
-    train = spark.createDataFrame(FIXTURE, SCHEMA)
-    model = M.fit(train, [DRAMA])
+    train, items = frames(spark, FIXTURE)
+    model = M.fit(train, items, [DRAMA])
     assert model.mu == 3.75
     items = {r["item_id"]: round(r["b_i_shrunk"], 6) for r in model.items.collect()}
     assert items == {10: 0.4, 20: -0.666667, 30: 0.266667}
@@ -72,13 +86,18 @@ def reference_fit(rows, spec):
 def random_rows(seed, count, hot=None):
     rng = random.Random(seed)
     words = ["Drama", "Comedy", "Action", "Sci-Fi", "War", "Wario"]
+    texts = {
+        item: (
+            "|".join(rng.sample(words, rng.randint(0, 4))),
+            f"T{item}" if item % 7 == 0 else f"T{item} ({1980 + item})",
+        )
+        for item in range(1, 41)
+    }
     rows = []
     for i in range(count):
         user = hot if hot is not None and i % 3 == 0 else rng.randint(1, 12)
-        item = rng.randint(1, 30)
-        tags = "|".join(rng.sample(words, rng.randint(0, 4)))
-        title = f"T{item}" if item % 7 == 0 else f"T{item} ({1980 + item})"
-        rows.append((str(i), user, item, rng.randint(1, 10) / 2, tags, title, 800000000 + i * 86400))
+        item = rng.randint(1, 40)
+        rows.append((str(i), user, item, rng.randint(1, 10) / 2, *texts[item], 800000000 + i * 86400))
     return rows
 
 
@@ -91,7 +110,8 @@ PLAIN = unpenalised(SHRUNK)
 def test_one_pass_fit_equals_the_definition(spark, hot):
     """Also with one user who holds a third of all rows."""
     rows = random_rows(1, 600, hot)
-    model = M.fit(spark.createDataFrame(rows, SCHEMA).repartition(5), [PLAIN, SHRUNK])
+    train, listed = frames(spark, rows)
+    model = M.fit(train.repartition(5), listed, [PLAIN, SHRUNK])
     for spec in (PLAIN, SHRUNK):
         mu, items, users, tags, left = reference_fit(rows, spec)
         assert close(model.mu, mu)
@@ -103,13 +123,13 @@ def test_one_pass_fit_equals_the_definition(spark, hot):
         expected = {(u, t): b for t, effects in tags.items() for u, b in effects.items()}
         assert long.keys() == expected.keys()
         assert all(close(long[k], v) for k, v in expected.items())
-        fitted = {r["rating_key"]: r["residual"] for r in M.fitted(spark.createDataFrame(rows, SCHEMA), model, spec.name).collect()}
+        fitted = {r["rating_key"]: r["residual"] for r in M.fitted(train, model, spec.name).collect()}
         assert all(close(fitted[r[0]], e) for r, e in zip(rows, left))
 
 
 def test_year_residuals_from_cells_equal_those_from_rows(spark):
-    rows = spark.createDataFrame(random_rows(2, 500), SCHEMA)
-    model = M.fit(rows, [SHRUNK])
+    rows, items = frames(spark, random_rows(2, 500))
+    model = M.fit(rows, items, [SHRUNK])
     cells = {r["year"]: (r["b"], r["n"]) for r in M.year_residuals(model, "shrunk").collect()}
     direct = {r["year"]: (r["b"], r["n"]) for r in explore.residual_by_release_year(M.fitted(rows, model, "shrunk")).collect()}
     assert cells.keys() == direct.keys() and None in cells
@@ -117,22 +137,22 @@ def test_year_residuals_from_cells_equal_those_from_rows(spark):
 
 
 def test_large_penalty_removes_effects_and_zero_is_the_mean(spark):
-    rows = spark.createDataFrame(random_rows(3, 300), SCHEMA)
+    rows, items = frames(spark, random_rows(3, 300))
     flat = Spec("flat", 1e12, 1e12, tuple(Stage(s.name, s.token, 1e12) for s in STAGES))
-    model = M.fit(rows, [flat])
+    model = M.fit(rows, items, [flat])
     assert model.items.agg(F.max(F.abs("b_i_flat"))).first()[0] < 1e-8
     assert E.tag_effects(model.users, flat, model.tokens).agg(F.max(F.abs("b"))).first()[0] < 1e-8
-    plain = M.fit(rows, [PLAIN])
+    plain = M.fit(rows, items, [PLAIN])
     means = rows.groupBy("item_id").agg((F.avg("rating") - plain.mu).alias("m")).join(plain.items, "item_id")
     assert means.filter("abs(m - b_i_plain) > 1e-9").count() == 0
 
 
 def test_more_stages_never_raise_the_train_error_without_penalty(spark):
-    rows = spark.createDataFrame(random_rows(4, 400), SCHEMA)
+    rows, items = frames(spark, random_rows(4, 400))
     errors = []
     for k in range(len(PLAIN.stages) + 1):
         spec = Spec("plain", 0.0, 0.0, PLAIN.stages[:k])
-        errors.append(M.score_error(M.fitted(rows, M.fit(rows, [spec]), "plain")).first()["rmse"])
+        errors.append(M.score_error(M.fitted(rows, M.fit(rows, items, [spec]), "plain")).first()["rmse"])
     assert all(b <= a + 1e-12 for a, b in zip(errors, errors[1:]))
 
 
@@ -141,49 +161,56 @@ def test_more_stages_never_raise_the_train_error_without_penalty(spark):
 
 @pytest.fixture(scope="module")
 def small(spark):
-    return M.fit(spark.createDataFrame(FIXTURE, SCHEMA), [DRAMA])
+    """Items 98 and 97 are listed but not rated; 98 has no tag text, 97 no year of the fixture."""
+    ratings, items = frames(spark, FIXTURE)
+    more = [(98, "A (1994)", None), (97, "A (1900)", "Comedy"), (96, "A", "Comedy"), (95, "E (1994)", "Comedy")]
+    return M.fit(ratings, items.unionByName(spark.createDataFrame(more, ITEM)), [DRAMA])
 
 
 FIT = M.Variant("x", "shrunk", item=True, user=True, tags=True)
 
 
 def predictions(spark, model, rows, variant, years=None):
-    scored = M.score(spark.createDataFrame(rows, SCHEMA), model, variant, years)
+    scored = M.score(spark.createDataFrame(rows, "rating_key string, user_id bigint, item_id bigint"), model, variant, years)
     return {r["rating_key"]: r["pred"] for r in scored.collect()}
 
 
 def test_unknown_tags(spark, small):
-    rows = [("has", 1, 10, 4.0, None, "A (1994)", 0), ("new", 9, 10, 4.0, None, "A (1994)", 0)]
-    exact = predictions(spark, small, rows, FIT)
-    assert exact == {"has": None, "new": None}
-    some = predictions(spark, small, rows, FIT.filled("user"))
-    assert some["has"] is None and close(some["new"], 3.75 + 0.4)
-    filled = predictions(spark, small, rows, FIT.filled("user", "tags"))
-    assert close(filled["has"], 3.75 + 0.4 - 0.03125)
+    rows = [("has", 1, 98), ("new", 9, 98)]
+    assert predictions(spark, small, rows, FIT) == {"has": None, "new": None}
+    some = predictions(spark, small, rows, FIT.filled("item", "user"))
+    assert some["has"] is None and close(some["new"], 3.75)
+    filled = predictions(spark, small, rows, FIT.filled("item", "user", "tags"))
+    assert close(filled["has"], 3.75 - 0.03125)
 
 
 def test_unseen_item_and_user(spark, small):
-    rows = [("item", 1, 99, 4.0, "Comedy", "Z (1994)", 0), ("user", 77, 10, 4.0, "Drama", "A (1994)", 0)]
-    assert predictions(spark, small, rows, FIT) == {"item": None, "user": None}
+    rows = [("listed", 1, 95), ("user", 77, 10)]
+    assert predictions(spark, small, rows, FIT) == {"listed": None, "user": None}
     filled = predictions(spark, small, rows, FIT.filled("item", "user"))
-    assert close(filled["item"], 3.75 - 0.03125) and close(filled["user"], 3.75 + 0.4)
+    assert close(filled["listed"], 3.75 - 0.03125) and close(filled["user"], 3.75 + 0.4)
+
+
+def test_item_in_no_list_has_no_tags_and_no_year(spark, small):
+    assert predictions(spark, small, [("x", 1, 12345)], FIT.filled("item", "user")) == {"x": None}
+    assert close(predictions(spark, small, [("x", 9, 12345)], FIT.filled("item", "user"))["x"], 3.75)
 
 
 def test_unseen_year_poisons_the_error(spark, small):
     years = spark.createDataFrame([(1994, 0.1), (None, 0.3)], "year int, knn double")
-    rows = [("old", 1, 10, 4.0, "Comedy", "A (1900)", 0), ("none", 1, 10, 4.0, "Comedy", "A", 0), ("ok", 1, 10, 4.0, "Comedy", "A (1994)", 0)]
-    full = M.Variant("x", "shrunk", True, True, True, True)
+    rows = [("old", 1, 97), ("none", 1, 96), ("ok", 1, 95)]
+    full = M.Variant("x", "shrunk", True, True, True, True).filled("item")
     got = predictions(spark, small, rows, full, years)
     assert got["old"] is None
-    assert close(got["ok"], 3.75 + 0.4 - 0.03125 + 0.1) and close(got["none"], 3.75 + 0.4 - 0.03125 + 0.3)
-    board = M.leaderboard(spark.createDataFrame(rows, SCHEMA), small, [full, full.filled("year")], years).collect()
+    assert close(got["ok"], 3.75 - 0.03125 + 0.1) and close(got["none"], 3.75 - 0.03125 + 0.3)
+    rated = spark.createDataFrame([(*r, 4.0) for r in rows], "rating_key string, user_id bigint, item_id bigint, rating double")
+    board = M.leaderboard(rated, small, [full, full.filled("item", "year")], years).collect()
     assert board[0]["rmse"] is None and board[0]["scored"] == 2 and board[0]["missing"] == 1
     assert board[1]["rmse"] is not None and board[1]["missing"] == 0
 
 
 def test_unknown_tags_make_their_year_unknown(spark):
-    rows = FIXTURE + [("g", 1, 10, 3.0, None, "A (1994)", 0)]
-    model = M.fit(spark.createDataFrame(rows, SCHEMA), [DRAMA])
+    model = fit(spark, FIXTURE + [("g", 1, 11, 3.0, None, "G (1994)", 0)], [DRAMA])
     years = {r["year"]: (r["b"], r["n"]) for r in M.year_residuals(model, "shrunk").collect()}
     assert years[1994] == (None, 5)
     assert years[2001][0] is not None
@@ -198,7 +225,7 @@ def test_specs_of_the_published_model():
 
 def test_specs_of_one_fit_must_share_tags(spark):
     with pytest.raises(ValueError):
-        M.fit(spark.createDataFrame(FIXTURE, SCHEMA), [DRAMA, SHRUNK])
+        fit(spark, FIXTURE, [DRAMA, SHRUNK])
 
 
 # --- tuning
@@ -219,7 +246,9 @@ def refit_error(train, test, mu, key, has, penalty):
 def test_sweeps_equal_refits(spark):
     rows = random_rows(7, 900)
     train, test = rows[:700], rows[700:]
-    a, b = spark.createDataFrame(train, SCHEMA), spark.createDataFrame(test, SCHEMA)
+    ratings, items = frames(spark, rows)
+    a, b = ratings.filter("int(rating_key) < 700"), ratings.filter("int(rating_key) >= 700")
+    features = E.item_features(items, SHRUNK.tokens)
     mu = 2.7
     penalties = [0.0, 0.5, 4.0, 20.0]
     tr, te = [(r, r[3] - mu) for r in train], [(r, r[3] - mu) for r in test]
@@ -236,7 +265,7 @@ def test_sweeps_equal_refits(spark):
     item, user, always = (lambda r: r[2]), (lambda r: r[1]), (lambda r: True)
     assert agrees(tuning.sweep_item(a, b, mu, penalties), item, always)
     tr, te = follow(item, always, 1.75)
-    cells = tuning.tuning_cells(a, b, mu, tuning.item_effect(a, mu, 1.75), SHRUNK.tokens)
+    cells = tuning.tuning_cells(a, b, mu, tuning.item_effect(a, features, mu, 1.75))
     assert agrees(tuning.sweep_user(cells, penalties), user, always)
     tr, te = follow(user, always, 5.0)
     slots = tuning.tuning_slots(cells, SHRUNK.tokens)
@@ -247,8 +276,8 @@ def test_sweeps_equal_refits(spark):
 
 
 def test_held_out_key_without_train_rows_makes_the_error_unknown(spark):
-    a = spark.createDataFrame(FIXTURE[:3], SCHEMA)
-    b = spark.createDataFrame([("x", 1, 99, 3.0, "Drama", "Z", 0)], SCHEMA)
+    a, _ = frames(spark, FIXTURE[:3])
+    b, _ = frames(spark, [("x", 1, 99, 3.0, "Drama", "Z", 0)])
     assert {r["rmse"] for r in tuning.sweep_item(a, b, 3.0, [0.0, 1.0]).collect()} == {None}
 
 
@@ -259,8 +288,9 @@ def test_best_penalty_prefers_the_lower_of_equals(spark):
 
 def test_tune_reaches_every_effect(spark):
     rows = random_rows(8, 500)
-    a, b = spark.createDataFrame(rows[:400], SCHEMA), spark.createDataFrame(rows[400:], SCHEMA)
+    ratings, items = frames(spark, rows)
+    a, b = ratings.filter("int(rating_key) < 400"), ratings.filter("int(rating_key) >= 400")
     spec = Spec("s", 0.0, 0.0, tuple(Stage(s.name, s.token, -1.0) for s in STAGES[:2]))
-    tuned = tuning.tune(a, b, 2.7, spec, [0.0, 5.0, 50.0])
+    tuned = tuning.tune(a, b, E.item_features(items, spec.tokens), 2.7, spec, [0.0, 5.0, 50.0])
     assert {tuned.item_penalty, tuned.user_penalty, *[s.penalty for s in tuned.stages]} <= {0.0, 5.0, 50.0}
     assert VIEW_SHRUNK.item_penalty == 1.75
