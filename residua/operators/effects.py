@@ -47,11 +47,14 @@ def item_features(items: DataFrame, tokens: Sequence[str]) -> DataFrame:
     )
 
 
-def item_effects(
-    totals: DataFrame, features: DataFrame, mu: Column, specs: Sequence[Spec]
-) -> DataFrame:
-    """``(item_id, mask, year, n, b_i_<spec>...)`` for all rated and all listed items."""
-    return totals.join(features, "item_id", "full").select(
+def item_table(totals: DataFrame, features: DataFrame) -> DataFrame:
+    """``(item_id, mask, year, total, n)`` for all rated and all listed items."""
+    return totals.join(features, "item_id", "full")
+
+
+def item_effects(table: DataFrame, mu: Column, specs: Sequence[Spec]) -> DataFrame:
+    """``(item_id, mask, year, n, b_i_<spec>...)`` from an item table."""
+    return table.select(
         "item_id",
         "mask",
         "year",

@@ -47,10 +47,10 @@ def fit(train: DataFrame, items: DataFrame, specs: Sequence[Spec]) -> Model:
     specs = tuple(specs)
     if any(set(s.tokens) != set(specs[0].tokens) for s in specs):
         raise ValueError("specs fitted together must have the same tags")
-    totals = stored(E.item_totals(train), "item-totals")
-    mu = E.global_mean(totals).first()["mu"]
     features = E.item_features(items, specs[0].tokens)
-    effects = stored(E.item_effects(totals, features, F.lit(mu), specs), "items")
+    table = stored(E.item_table(E.item_totals(train), features), "items")
+    mu = E.global_mean(table).first()["mu"]
+    effects = E.item_effects(table, F.lit(mu), specs)
     cells = stored(E.cells(train, effects, F.lit(mu), specs), "cells")
     users = stored(E.user_effects(cells, specs), "users")
     return Model(specs, mu, effects, users, cells)

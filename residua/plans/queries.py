@@ -361,8 +361,8 @@ def _profile(w: Workspace) -> DataFrame:
 
 
 query("user_tag_profile")(_profile)
-query("tag_box_stats")(lambda w: explore.tag_boxes(_profile(w)))
-query("tag_box_outliers")(lambda w: explore.tag_box_outliers(_profile(w)))
+query("tag_box_stats")(lambda w: explore.tag_boxes(w.profile))
+query("tag_box_outliers")(lambda w: explore.tag_box_outliers(w.profile))
 
 
 @query("panel_profiles")

@@ -94,7 +94,7 @@ def item_effect(train: DataFrame, features: DataFrame, mu: float, penalty: float
 def tuning_cells(train: DataFrame, test: DataFrame, mu: float, items: DataFrame) -> DataFrame:
     """Train and held-out sums per user and tag mask, after the item effect.
 
-    ``items`` has ``mask`` and ``b_i``.
+    ``items`` has ``mask`` and ``b_i``.  ``lost`` counts the held-out rows with unknown tags.
     """
     error = F.col("rating") - F.lit(mu) - F.col("b_i")
     return (
@@ -102,6 +102,7 @@ def tuning_cells(train: DataFrame, test: DataFrame, mu: float, items: DataFrame)
         .join(items.select("item_id", "mask", "b_i"), "item_id", "left")
         .groupBy("user_id", "mask")
         .agg(*_key_sums(error))
+        .withColumn("lost", F.when(F.col("mask").isNull(), F.col("m")).otherwise(0))
     )
 
 
@@ -115,7 +116,7 @@ def sweep_user(cell_rows: DataFrame, penalties: Sequence[float] = PENALTIES) ->
 
 def tuning_slots(cell_rows: DataFrame, tokens: Sequence[str]) -> DataFrame:
     """Per user the train and held-out sums per tag and pair of tags."""
-    return E.slot_sums(cell_rows, tokens, ["left", "e", "e2"], ["n", "m"])
+    return E.slot_sums(cell_rows, tokens, ["left", "e", "e2", "lost"], ["n", "m"])
 
 
 def sweep_tag(
@@ -123,7 +124,8 @@ def sweep_tag(
 ) -> DataFrame:
     """Errors of tag stage number ``stage`` of the spec, after the stages before it.
 
-    A held-out row whose user has no train row with the tag keeps its error.
+    A held-out row whose user has no train row with the tag keeps its error.  One with unknown
+    tags makes the error unknown if its user has any tag effect so far.
     """
     tokens = spec.tokens
     this = tokens.index(spec.stages[stage].token)
@@ -151,15 +153,17 @@ def sweep_tag(
     tagged = F.col("tagged")
     after_user = F.col("whole.e2") - 2 * b_u * F.col("whole.e") + F.col("whole.m") * b_u * b_u
     has_rows = F.coalesce(tagged["n"], F.lit(0)) > 0
+    some_effect = has_rows | F.exists(before, lambda effect: effect["b"].isNotNull())
+    lost = (F.col("whole.lost") > 0) & some_effect
     left = tagged["left"] - tagged["n"] * b_u - E.already_taken(tagged["n_with"], before)
     error = tagged["e"] - tagged["m"] * b_u - E.already_taken(tagged["m_with"], before)
     keys = solved.select(
         F.col("whole.m").alias("rows"),
         F.aggregate(before, after_user, moved).alias("fixed"),
-        F.when(has_rows, left).alias("left"),
+        F.when(has_rows & ~lost, left).alias("left"),
         tagged["n"].alias("n"),
         F.when(has_rows, error).otherwise(0.0).alias("e"),
-        F.when(has_rows, tagged["m"]).otherwise(0).alias("m"),
+        F.when(lost, F.col("whole.lost")).when(has_rows, tagged["m"]).otherwise(0).alias("m"),
         F.lit(0.0).alias("e2"),
     )
     return candidate_errors(keys, penalties)

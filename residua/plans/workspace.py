@@ -14,8 +14,8 @@ from residua.operators.effects import item_features
 from residua.operators.knn import choose_k, knn_smooth
 from residua.operators.sampling import draw_with_replacement, panels
 from residua.operators.split import NestedSplit, nested_split
+from residua.plans import explore, tuning
 from residua.plans import model as M
-from residua.plans import tuning
 from residua.session import stored
 from residua.sources import testview
 from residua.specs import VIEW_PLAIN, VIEW_SHRUNK
@@ -76,6 +76,14 @@ class Workspace:
     def fitted(self) -> DataFrame:
         return M.fitted(self.splits.train, self.model, "shrunk")
 
+    @cached_property
+    def profile(self) -> DataFrame:
+        """Tag profiles of the sampled users: at most as many rows as draws times tags."""
+        sample = self.sampled_users()
+        return stored(
+            explore.profiles(self.splits.train, self.model, "plain", sample, VIEW_PLAIN.stages), "profile"
+        )
+
     def sampled_users(self) -> DataFrame:
         return draw_with_replacement(self.model.users, "user_id", SAMPLED_USERS, "profile")
 

@@ -281,6 +281,20 @@ def test_held_out_key_without_train_rows_makes_the_error_unknown(spark):
     assert {r["rmse"] for r in tuning.sweep_item(a, b, 3.0, [0.0, 1.0]).collect()} == {None}
 
 
+def test_unknown_tags_of_a_held_out_row_make_the_tag_error_unknown(spark):
+    a, items = frames(spark, FIXTURE)
+    b = spark.createDataFrame([("x", 1, 98, 3.0, 0), ("y", 2, 20, 3.0, 0)], RATING)
+    items = items.unionByName(spark.createDataFrame([(98, "Z", None)], ITEM))
+    effects = tuning.item_effect(a, E.item_features(items, DRAMA.tokens), 3.0, 1.0).fillna({"b_i": 0.0})
+
+    def errors(held_out):
+        slots = tuning.tuning_slots(tuning.tuning_cells(a, held_out, 3.0, effects), DRAMA.tokens)
+        return {r["rmse"] is None for r in tuning.sweep_tag(slots, DRAMA, 0, [1.0, 2.0]).collect()}
+
+    assert errors(b) == {True}
+    assert errors(b.filter("item_id = 20")) == {False}
+
+
 def test_best_penalty_prefers_the_lower_of_equals(spark):
     errors = spark.createDataFrame([(2.0, 0.5), (1.0, 0.5), (0.0, None)], "penalty double, rmse double")
     assert tuning.best_penalty(errors).first()["penalty"] == 1.0
