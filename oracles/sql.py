@@ -53,11 +53,14 @@ cte(
   concat_ws('|', p_type, split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)) AS tags
 FROM part""",
 )
+LINE_KEY = """md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
+    date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))))"""
+FILE_KEY = """md5(concat_ws('|', o_custkey, l_partkey, ceil(l_quantity / 5.0::DOUBLE) / 2.0::DOUBLE,
+    date_diff('second', TIMESTAMP '1970-01-01', l_shipdate)))"""
 cte(
     "v_rows",
-    """SELECT md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
-    date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)))) AS rating_key,
+    f"""SELECT {LINE_KEY} AS rating_key,
   o_custkey AS user_id, l_partkey AS item_id,
   ceil(l_quantity / 5.0::DOUBLE) / 2.0::DOUBLE AS rating,
   CAST(date_diff('second', TIMESTAMP '1970-01-01', l_shipdate) AS BIGINT) AS ts, title, tags
@@ -277,6 +280,15 @@ def board(rows: str, predictions: list[tuple[str, str]]) -> str:
     )
 
 
+
+def job_boards() -> str:
+    """Both boards over rows whose key comes from the fields of the rating file."""
+    test = board("parts_test", list(PREDICTIONS.items()))
+    final = board("parts_validation", [("shrunk item + user + tags + year", FILLED + " + knn")])
+    both = f"SELECT 'test' AS rows, * FROM ({test}) UNION ALL SELECT 'validation', * FROM ({final})"
+    return both.replace(LINE_KEY, FILE_KEY)
+
+
 # --- penalties: every candidate refitted
 
 cte("grid", f"SELECT unnest({[float(p) for p in PENALTIES]})::DOUBLE AS penalty")
@@ -479,6 +491,7 @@ WHERE user_id NOT IN (SELECT user_id FROM shrunk_tags)"""
                 ("shrunk item + user + tags + year", FILLED + " + coalesce(knn, 0.0::DOUBLE)"),
             ],
         ),
+        "job_from_files": job_boards(),
         "sweep_item": build(
             f"SELECT penalty, {shown('rmse', 'rmse')} FROM ({sweep('f_train', 'f_test', 'item_id')})"
         ),

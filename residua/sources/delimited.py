@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from residua.functions.scalar import number
-from residua.schema import ITEMS, RATINGS
+from residua.schema import ITEMS, RATING_ROW, RATINGS
 
 SEPARATOR = "::"
 
@@ -36,6 +36,12 @@ def write_delimited(df: DataFrame, path: str) -> None:
     df.select(F.concat_ws(SEPARATOR, *fields).alias("value")).write.text(path)
 
 
+def with_key(ratings: DataFrame) -> DataFrame:
+    """Adds ``rating_key`` from all fields; equal rows get equal keys and count as copies."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RATINGS.names]
+    return ratings.withColumn("rating_key", F.md5(F.concat_ws("|", *fields))).select(*RATING_ROW)
+
+
 def join_items(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """Every rating with the title and tags of its item; unknown items keep NULLs."""
     return ratings.join(items, "item_id", "left")
