@@ -10,7 +10,7 @@ import re
 
 from residua.operators.knn import K_GRID, RESAMPLES
 from residua.operators.split import REJECTED, TEST, TRAIN
-from residua.plans.queries import SHOWN_DECIMALS, SMALL_K, SWEPT_STAGE
+from residua.plans.queries import NOISE_DECIMALS, SHOWN_DECIMALS, SMALL_K, SWEPT_STAGE
 from residua.plans.tuning import PENALTIES
 from residua.plans.workspace import PANEL_SIZE, PANELS, SAMPLED_USERS
 from residua.specs import VIEW_PLAIN, VIEW_SHRUNK, Spec, Stage
@@ -40,7 +40,8 @@ def build(final: str) -> str:
 
 
 def shown(expression: str, name: str) -> str:
-    return f"round({expression}, {SHOWN_DECIMALS}) + 0.0::DOUBLE AS {name}"
+    plain = f"CAST({expression} AS DECIMAL(38, {NOISE_DECIMALS}))"
+    return f"CAST(round({plain}, {SHOWN_DECIMALS}) AS DOUBLE) + 0.0::DOUBLE AS {name}"
 
 
 # --- the rows

@@ -25,6 +25,7 @@ from residua.specs import Spec, VIEW_PLAIN, VIEW_SHRUNK
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHOWN_DECIMALS = 7
+NOISE_DECIMALS = 12
 SMALL_K = 5
 SWEPT_STAGE = 2
 RATING_FIELDS = ["user_id", "item_id", "rating", "ts"]
@@ -34,9 +35,13 @@ _QUERIES: dict[str, Query] = {}
 
 
 def shown(df: DataFrame) -> DataFrame:
-    """Doubles to seven decimals: sums of doubles differ in the last bits from run to run."""
+    """Doubles to seven decimals: sums of doubles differ in the last bits from run to run.
+
+    Rounding to twelve first takes those bits away, so that a value half-way between two results
+    always goes the same way.
+    """
     columns = [
-        (F.round(f.name, SHOWN_DECIMALS) + F.lit(0.0)).alias(f.name)
+        (F.round(F.round(f.name, NOISE_DECIMALS), SHOWN_DECIMALS) + F.lit(0.0)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType)
         else F.col(f.name)
         for f in df.schema.fields
