@@ -274,6 +274,7 @@ def board(rows: str, predictions: list[tuple[str, str]]) -> str:
     return build(
         " UNION ALL ".join(
             f"SELECT {i} AS place, '{method}' AS method, {shown(whole_rmse(p), 'rmse')}, "
+            f"{shown('round(' + whole_rmse(p) + ', 4)', 'rmse_4')}, "
             f"{shown(rmse(p), 'rmse_scored')}, count({p}) AS scored, count(*) - count({p}) AS missing "
             f"FROM {rows}"
             for i, (method, p) in enumerate(predictions, 1)
@@ -540,14 +541,14 @@ GROUP BY t.tag"""
         "tag_box_stats": build(
             f"""SELECT *, CAST(rank() OVER (ORDER BY round(m, 9)) AS INTEGER) AS place FROM (
   SELECT p.tag, {shown('q1', 'q1')}, {shown('median', 'median')}, median AS m, {shown('q3', 'q3')},
-    {shown('min(x) FILTER (x BETWEEN lo AND hi)', 'whisker_low')},
-    {shown('max(x) FILTER (x BETWEEN lo AND hi)', 'whisker_high')}, count(*) AS n,
-    count(*) FILTER (x NOT BETWEEN lo AND hi) AS outliers
+    {shown('min(x) FILTER (round(x, 9) BETWEEN round(lo, 9) AND round(hi, 9))', 'whisker_low')},
+    {shown('max(x) FILTER (round(x, 9) BETWEEN round(lo, 9) AND round(hi, 9))', 'whisker_high')}, count(*) AS n,
+    count(*) FILTER (round(x, 9) NOT BETWEEN round(lo, 9) AND round(hi, 9)) AS outliers
   FROM profiled p JOIN fenced f ON p.tag = f.tag GROUP BY p.tag, f.q1, f.median, f.q3)"""
         ).replace("SELECT *, CAST(rank()", "SELECT * EXCLUDE (m), CAST(rank()"),
         "tag_box_outliers": build(
             f"""SELECT user_id, p.tag, {shown('x', 'x')} FROM profiled p JOIN fenced f ON p.tag = f.tag
-WHERE x NOT BETWEEN lo AND hi"""
+WHERE round(x, 9) NOT BETWEEN round(lo, 9) AND round(hi, 9)"""
         ),
         "panel_profiles": build(
             f"""SELECT p.panel, p.user_id, p.tag, {shown('x', 'x')}, place FROM panel_profiled p JOIN (

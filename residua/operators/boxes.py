@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+NOISE = 9  # decimals up to which two values are told apart
 WHISKER = 1.5  # fixed value: whiskers reach at most this many interquartile ranges
 
 
@@ -19,12 +20,18 @@ def _fences(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     return q.select("*", (F.col("q1") - reach).alias("fence_low"), (F.col("q3") + reach).alias("fence_high"))
 
 
+def _inside(value: str) -> Column:
+    """Within the fences; rounding noise does not put a value outside."""
+    low, high = F.round("fence_low", NOISE), F.round("fence_high", NOISE)
+    return F.round(value, NOISE).between(low, high)
+
+
 def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Quartiles, whisker ends (the outermost values inside the fences) and counts per category.
 
     The quartiles are exact, so a category must be a sample of bounded size.
     """
-    inside = F.col(value).between(F.col("fence_low"), F.col("fence_high"))
+    inside = _inside(value)
     return (
         df.join(_fences(df, by, value), list(by))
         .groupBy(*by, "q1", "median", "q3")
@@ -39,7 +46,7 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 def box_outliers(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """The rows outside the fences of their category."""
-    inside = F.col(value).between(F.col("fence_low"), F.col("fence_high"))
+    inside = _inside(value)
     return df.join(_fences(df, by, value), list(by)).filter(~inside).select(*df.columns)
 
 
@@ -48,5 +55,5 @@ def place_by(df: DataFrame, order: str, within: Sequence[str] = ()) -> DataFrame
 
     Values that differ by rounding noise only share a place.
     """
-    rounded = F.round(order, 9)
+    rounded = F.round(order, NOISE)
     return df.withColumn("place", F.rank().over(Window.partitionBy(*within).orderBy(rounded)))

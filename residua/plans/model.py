@@ -140,9 +140,10 @@ def leaderboard(
     variants: Sequence[Variant] = LEADERBOARD,
     year_effect: DataFrame | None = None,
 ) -> DataFrame:
-    """``(place, method, rmse, rmse_scored, scored, missing)``, one row per variant, from one pass.
+    """``(place, method, rmse, rmse_4, rmse_scored, scored, missing)``, one row per variant.
 
-    ``rmse`` is missing if any prediction is; ``rmse_scored`` leaves those rows out.
+    ``rmse`` is missing if any prediction is, and ``rmse_4`` is the same to four decimals;
+    ``rmse_scored`` leaves those rows out.  All variants are scored in one pass.
     """
     joined = with_parts(rows, model, variants, year_effect)
     predicted = joined.select(
@@ -155,6 +156,7 @@ def leaderboard(
                     F.lit(i + 1).alias("place"),
                     F.lit(v.method).alias("method"),
                     rmse(F.col("rating"), F.col(f"pred_{i}"), PROPAGATE).alias("rmse"),
+                    F.round(rmse(F.col("rating"), F.col(f"pred_{i}"), PROPAGATE), 4).alias("rmse_4"),
                     rmse(F.col("rating"), F.col(f"pred_{i}"), SKIP).alias("rmse_scored"),
                     F.count(f"pred_{i}").alias("scored"),
                     (F.count("*") - F.count(f"pred_{i}")).alias("missing"),
