@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from residua.operators.quantiles import quantiles
 from residua.operators.ranks import hash_order, prefix_digits, running_count
 from residua.session import stored
 
@@ -36,13 +37,10 @@ def value_counts(df: DataFrame, target: str) -> DataFrame:
     return df.filter(F.col(target).isNotNull()).groupBy(target).agg(F.count("*").alias("n"))
 
 
-def strata_edges(df: DataFrame, target: str = "rating") -> DataFrame:
-    """One row: the quantile edges with duplicates merged, and the row count."""
-    probs = F.array(*[F.lit(p) for p in QUARTILES])
-    return value_counts(df, target).agg(
-        F.array_distinct(F.percentile(target, probs, F.col("n"))).alias("edges"),
-        F.sum("n").alias("rows"),
-    )
+def strata_edges(df: DataFrame, target: str = "rating") -> tuple[list[float], int]:
+    """The quantile edges with duplicates merged, and the row count."""
+    edges, rows = quantiles(value_counts(df, target), target, QUARTILES)
+    return sorted(set(edges)), rows
 
 
 def stratum_of(target: str, edges: list[float]) -> Column:
@@ -127,13 +125,13 @@ def stratified_holdout(
     Reads ``df`` four times (edges, prefix counts, border prefixes, result), three of them for a
     handful of numbers; pass a stored table.
     """
-    first = strata_edges(df, target).first()
-    if not first["rows"]:
+    edges, rows = strata_edges(df, target)
+    if not rows:
         return df.withColumn("held_out", F.lit(False))
-    stratum = stratum_of(target, first["edges"])
+    stratum = stratum_of(target, edges)
     order = hash_order(salt, key)
     marked = df.select(stratum.alias("__stratum"), order.alias("__hash"))
-    cutoffs = _cutoffs(marked, fraction, first["rows"])
+    cutoffs = _cutoffs(marked, fraction, rows)
 
     last = per_stratum(stratum, {cut.stratum: cut.hash for cut in cutoffs})
     result = df.withColumn("held_out", F.coalesce(order <= last, F.lit(False)))

@@ -134,12 +134,14 @@ def _(w: Workspace) -> DataFrame:
 
 @query("strata_edges")
 def _(w: Workspace) -> DataFrame:
-    return S.strata_edges(w.rows).select(F.posexplode("edges").alias("place", "edge"), "rows")
+    edges, rows = S.strata_edges(w.rows)
+    places = [(place, edge, rows) for place, edge in enumerate(edges)]
+    return w.spark.createDataFrame(places, "place int, edge double, rows bigint")
 
 
 @query("strata_assignment")
 def _(w: Workspace) -> DataFrame:
-    stratum = S.stratum_of("rating", S.strata_edges(w.rows).first()["edges"])
+    stratum = S.stratum_of("rating", S.strata_edges(w.rows)[0])
     marked = S.stratified_holdout(w.rows, "outer")
     return marked.select("rating_key", stratum.alias("stratum"), "held_out")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from residua.operators import split as S
 from residua.operators.joins import natural_anti_join, natural_left_join, with_known_keys
+from residua.operators.quantiles import quantiles
 from residua.operators.ranks import keys_at_ranks
 from residua.session import stored
 from residua.sources import testview
@@ -29,7 +30,7 @@ def expected_holdout(keyed, edges, salt, fraction):
 
 
 def test_holdout_is_the_head_of_the_hash_order(spark, rows):
-    edges = S.strata_edges(rows).first()["edges"]
+    edges, _ = S.strata_edges(rows)
     assert edges == [0.5, 1.5, 2.5, 4.0, 5.0]
     marked = S.stratified_holdout(rows, "outer").collect()
     expected = expected_holdout([(r["rating_key"], r["rating"]) for r in marked], edges, "outer", 0.1)
@@ -41,9 +42,21 @@ def test_holdout_is_the_head_of_the_hash_order(spark, rows):
     assert got == expected
 
 
+@pytest.mark.parametrize("count", [1, 2, 5, 1000])
+def test_quantiles_of_many_values_equal_those_of_few(spark, count):
+    counts = spark.range(count).select(
+        (F.pmod(F.xxhash64("id"), F.lit(10**9)) / 7).alias("x"), (F.col("id") % 5 + 1).alias("n")
+    )
+    probs = [0.0, 0.1, 0.25, 0.5, 0.999, 1.0]
+    few, rows = quantiles(counts, "x", probs)
+    many, same = quantiles(counts, "x", probs, few=0)
+    assert rows == same
+    assert all(abs(a - b) < 1e-3 * 1e-3 for a, b in zip(few, many))
+
+
 def test_equal_ratings_make_one_stratum(spark):
     df = spark.range(95).select(F.col("id").cast("string").alias("rating_key"), F.lit(3.0).alias("rating"))
-    assert S.strata_edges(df).first()["edges"] == [3.0]
+    assert S.strata_edges(df) == ([3.0], 95)
     assert S.stratified_holdout(df, "s").filter("held_out").count() == 10
 
 
