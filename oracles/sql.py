@@ -515,7 +515,7 @@ ORDER BY s.rmse, penalty LIMIT 1"""
   nullif(regexp_extract(tags, '[a-zA-Z]+', 0), '') AS first_token FROM v_items"""
         ),
         "rating_dates": build(
-            f"""SELECT rating_key, date, CAST(date_diff('day', first, date) // 7 AS INTEGER) AS weeks,
+            f"""SELECT rating_key, CAST(date AS VARCHAR) AS date, CAST(date_diff('day', first, date) // 7 AS INTEGER) AS weeks,
   CAST({MONTHS} AS INTEGER) AS months, CAST(year(date) - year AS INTEGER) AS age
 FROM v_rows_year, (SELECT min(date) AS first FROM v_rows_year)"""
         ),

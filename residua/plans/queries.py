@@ -340,7 +340,7 @@ def _(w: Workspace) -> DataFrame:
     )
     return dated.select(
         "rating_key",
-        "date",
+        F.col("date").cast("string").alias("date"),
         X.whole_weeks(F.col("first"), F.col("date")).alias("weeks"),
         X.whole_months(F.col("first"), F.col("date")).alias("months"),
         X.age_in_years(F.col("date"), F.col("year")).alias("age"),
