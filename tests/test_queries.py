@@ -4,7 +4,9 @@ import duckdb
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracles.sql import all_oracles as oracle_sql
+from residua.plans.queries import all_queries as queries
 
 NAMES = list(queries())
 
