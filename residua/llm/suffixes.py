@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from residua.llm.batches import batches_of
 from residua.llm.words import Words, in_pieces, runs, utf8, windows, words_of
 from residua.session import stored
 
@@ -35,6 +36,7 @@ PASSAGE = 51
 GRAM, REACH = 8, 40
 KEY = PASSAGE - REACH + 1
 CHUNK = 400_000
+TEXTS = 500  # texts handed over at once
 SPAN = "array<struct<start:int,end:int,owner:bigint>>"
 
 
@@ -141,7 +143,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(id, first_word, n_words, kept_in) per repeated span; kept_in: the documents in which its parts stay."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.where("id IS NOT NULL AND text IS NOT NULL")
-    kept = stored(suffixes(rows), "suffixes")
+    with batches_of(docs.sparkSession, TEXTS):
+        kept = stored(suffixes(rows), "suffixes")
     alike = F.count("*") == F.count("wide")
     alike = (alike & (F.min("wide") == F.max("wide"))).alias("alike")
     met = stored(kept.select("id", "place", "key").join(shared(kept, "key", alike), "key"), "suffix-matches")
@@ -149,7 +152,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "id", (F.col("place") - REACH + 1).alias("start"), (F.col("place") + PASSAGE).alias("end"), "owner"
     )
     marked = met.where("NOT alike").groupBy("id").agg(F.collect_list("place").alias("places"))
-    parts = stored(stretches(rows.join(marked, "id")), "stretches")
+    with batches_of(docs.sparkSession, TEXTS):
+        parts = stored(stretches(rows.join(marked, "id")), "stretches")
     cut = parts.join(shared(parts, "hash"), "hash").where("id <> owner")
     cut = cut.select("id", "start", (F.col("start") + PASSAGE).alias("end"), "owner")
     spans = whole.union(cut).groupBy("id").agg(F.collect_list(F.struct("start", "end", "owner")).alias("spans"))
