@@ -13,9 +13,10 @@ Signature: for each of BANDS x ROWS draws, every shingle gets a random age that
 draw alone, and the youngest (with its quantised weight) is the sample; two documents agree in a draw with
 probability equal to their similarity.  At 0.8 a pair shares no band with probability 2e-4.
 
-Candidates lose nothing to large groups: documents with the same words are one node; each bucket is compared with
-its smallest member, what is linked is contracted, and only then are all pairs of a bucket compared
-that are still in different classes.  A group of copies therefore costs its size, not its square.
+Candidates lose nothing to large groups: documents with the same words are one node; each bucket is compared with its
+most central node, what is linked is contracted, and only buckets that are still in several classes are
+compared in full, as matrix products over blocks that yield one link for two classes.  A group of copies costs
+its size, not its square, and pairs are never listed.
 
 Null text, or text without a word, is in no group.  A null id is in no group and has a null class.  Rows that share
 an id are one document (its least text counts for the links).  Other columns do not matter.
@@ -23,8 +24,7 @@ an id are one document (its least text counts for the links).  Other columns do
 
 from __future__ import annotations
 
-from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from residua.llm.batches import batches_of
 from residua.llm.components import components
 from residua.llm.words import in_pieces, runs, scramble, words_of
 from residua.session import stored
@@ -42,6 +43,9 @@ BANDS, ROWS = 12, 3
 COUNTERS = 1 << 18
 LEAST = 0.05
 POOL_BITS = 14
+BLOCK = 256
+FEATURES = 4096  # columns of a matrix product
+TEXTS = 1000  # pairs of texts handed over at once
 CHUNK = 400_000  # characters worked on at once
 
 
@@ -154,32 +158,113 @@ def sketch(docs: DataFrame, idf) -> DataFrame:
     return docs.mapInPandas(of, "id long, words long, bands array<long>")
 
 
-def similar(pairs: DataFrame, idf, threshold: float) -> DataFrame:
-    """The pairs (a, b, text_a, text_b) with a weighted Jaccard similarity of at least the threshold."""
+def weighted(texts: Sequence[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, shingle, count, weight of one) of all texts, sorted by text and shingle."""
+    parts = []
+    for s in in_pieces(texts, CHUNK):
+        text, bag, count, _ = shingles(texts[s])
+        parts.append((text + s.start, bag, count, idf[bucket_of(bag)].astype(np.float64)))
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: OrderedDict[int, tuple[np.ndarray, np.ndarray]] = OrderedDict()
 
-        def bag_of(name: int, text: str) -> tuple[np.ndarray, np.ndarray]:
-            if name not in kept:
-                _, bag, count, _ = shingles([text])
-                kept[name] = bag, count * idf.value[bucket_of(bag)].astype(np.float64)
-                if len(kept) > 32:
-                    kept.popitem(last=False)
-            return kept[name]
+def similar(pairs: DataFrame, idf, threshold: float) -> DataFrame:
+    """(a, b) of the (a, b, text_a, text_b) rows with at least the threshold as weighted Jaccard similarity."""
 
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            texts = dict(zip(batch["a"], batch["text_a"])) | dict(zip(batch["b"], batch["text_b"]))
+            if not texts:
+                continue
+            text, bag, count, one = weighted(list(texts.values()), idf.value)
+            edge = np.searchsorted(text, np.arange(len(texts) + 1))
+            place = {name: slice(edge[i], edge[i + 1]) for i, name in enumerate(texts)}
             good = []
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
-                (p, u), (q, v) = bag_of(a, x), bag_of(b, y)
-                _, i, j = np.intersect1d(p, q, assume_unique=True, return_indices=True)
-                low = np.minimum(u[i], v[j]).sum()
+            for a, b in zip(batch["a"], batch["b"]):
+                p, q = place[a], place[b]
+                u, v = count[p] * one[p], count[q] * one[q]
+                at = np.minimum(np.searchsorted(bag[p], bag[q]), len(u) - 1)
+                both = bag[p][at] == bag[q]
+                low = np.minimum(u[at[both]], v[both]).sum()
                 good.append(low >= threshold * (u.sum() + v.sum() - low) * (1 - 1e-12))
             yield batch.loc[good, ["a", "b"]]
 
     return pairs.mapInPandas(of, "a long, b long")
 
 
+def overlaps(n: int, text: np.ndarray, bag: np.ndarray, count: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Sum of minima of every two of ``n`` texts.
+
+    A shingle that stands c times counts as c features, the first, second and so on, so that the minimum of two
+    counts is the number of common features, and all sums of minima are one matrix product.
+    """
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    text, one = np.repeat(text, count), np.repeat(one, count)
+    names = scramble(np.repeat(bag, count) + nth.astype(np.uint64))
+    _, column, times = np.unique(names, return_inverse=True, return_counts=True)
+    column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[column]
+    order = np.argsort(column, kind="stable")
+    text, column, one = text[order], column[order], np.sqrt(one[order])
+    total = np.zeros((n, n))
+    for low in range(0, int(column.max(initial=-1)) + 1, FEATURES):
+        s = slice(*np.searchsorted(column, [low, low + FEATURES]))
+        dense = np.zeros((n, FEATURES))
+        dense[text[s], column[s] - low] = one[s]
+        total += dense @ dense.T
+    return total
+
+
+def block_links(rows: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links between different classes within each block of (band, value, one, two, node, part, text) rows.
+
+    Of several links between the same two classes one is enough.
+    """
+
+    def of(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("node")
+        if len(block) < 2:
+            return pd.DataFrame({"a": [], "b": []})
+        text, bag, count, one = weighted(list(block["text"]), idf.value)
+        low = overlaps(len(block), text, bag, count, one)
+        size = np.bincount(text, count * one, minlength=len(block))
+        near = low >= threshold * (size[:, None] + size[None, :] - low) * (1 - 1e-12)
+        part, node = block["part"].to_numpy(), block["node"].to_numpy()
+        a, b = np.nonzero(near & (part[:, None] < part[None, :]))
+        _, first = np.unique(np.stack([part[a], part[b]]), axis=1, return_index=True)
+        return pd.DataFrame({"a": node[a[first]], "b": node[b[first]]})
+
+    return rows.groupBy("band", "value", "one", "two").applyInPandas(of, "a long, b long")
+
+
+def classes_of(buckets: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """(id, component) of the nodes with links, from (band, value, node, rank) rows and (id, text) rows.
+
+    The node of highest rank in each bucket is compared with the whole bucket, and what is linked is contracted.
+    Buckets whose nodes are then still in several classes are compared in full, in blocks of two times
+    BLOCK nodes, without listing their pairs.
+    """
+    key = ["band", "value"]
+    top = F.max(F.struct("rank", (-F.col("node")).alias("minus"))).alias("top")
+    heads = buckets.groupBy(*key).agg(top).select(*key, (-F.col("top.minus")).alias("a"))
+    pairs = buckets.join(heads, key).where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    links = stored(similar(pairs.join(one, "a").join(two, "b"), idf, threshold), "minhash-links")
+    parts = stored(components(links), "minhash-parts").withColumnRenamed("id", "node")
+    within = buckets.join(parts, "node", "left").select(*key, "node", F.coalesce("component", "node").alias("part"))
+    sizes = within.groupBy(*key).agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    )
+    live = within.join(sizes.where("low < high").select(*key, "blocks"), key)
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    live = live.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    live = stored(live.where("blocks = 1 OR own <> other"), "minhash-open")
+    blocks = live.select(
+        *key, F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "part", F.col("node").alias("id")
+    )
+    rest = stored(block_links(blocks.join(texts, "id").withColumnRenamed("id", "node"), idf, threshold), "minhash-rest")
+    return stored(components(links.union(rest)), "minhash-parts")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -192,38 +277,25 @@ def near_duplicates(
     idf = spark.sparkContext.broadcast(frequencies(rows))
     named = rows.where("id IS NOT NULL AND text IS NOT NULL")
     sketched = stored(sketch(named, idf), "minhash")
-    nodes = stored(
-        sketched.groupBy("id").agg(F.min(F.struct("words", "bands")).alias("s")).select("id", "s.*"), "minhash-documents"
-    )
+    one = F.min(F.struct("words", "bands")).alias("s")
+    nodes = stored(sketched.groupBy("id").agg(one).select("id", "s.*"), "minhash-documents")
     classes = nodes.groupBy("words").agg(F.min("id").alias("node"), F.first("bands").alias("bands"))
     classes = stored(classes, "minhash-nodes")
     hashed = classes.select("node", F.posexplode("bands").alias("band", "value"))
-    groups = hashed.groupBy("band", "value").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    buckets = stored(hashed.join(groups.drop("n"), ["band", "value"]), "minhash-buckets")
+    groups = hashed.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
+    grouped = stored(hashed.join(groups, ["band", "value"]), "minhash-grouped")
+    # a node that shares its bands with many is the likeliest to be linked with many
+    rank = grouped.groupBy("node").agg(F.sum("n").alias("rank"))
+    buckets = stored(grouped.drop("n").join(rank, "node"), "minhash-buckets")
     involved = buckets.select(F.col("node").alias("id")).distinct()
-    texts = stored(
-        named.join(involved, "id").groupBy("id").agg(F.min("text").alias("text")), "minhash-texts"
-    )
+    texts = named.join(involved, "id").groupBy("id").agg(F.min("text").alias("text"))
+    texts = stored(texts, "minhash-texts")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-        two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-        return stored(similar(pairs.distinct().join(one, "a").join(two, "b"), idf, threshold), "minhash-links")
-
-    starred = links(buckets.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")))
-    first = stored(components(starred), "minhash-first")
-    within = buckets.join(first, buckets["node"] == first["id"], "left").select(
-        "band", "value", "node", F.coalesce("component", "node").alias("part")
-    )
-    mixed = within.groupBy("band", "value").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    mixed = mixed.where("low < high").select("band", "value")
-    open_rows = stored(within.join(mixed, ["band", "value"]), "minhash-open")
-    other = open_rows.select("band", "value", F.col("node").alias("b"), F.col("part").alias("part_b"))
-    across = open_rows.join(other, ["band", "value"]).where("node < b AND part <> part_b")
-    rest = links(across.select(F.col("node").alias("a"), "b"))
-    joined = stored(components(starred.union(rest)), "minhash-classes")
-    by_node = classes.select("words", "node").join(joined, F.col("node") == F.col("id"), "left")
+    with batches_of(spark, TEXTS):
+        parts = classes_of(buckets, texts, idf, threshold)
+    by_node = classes.select("words", "node").join(parts, F.col("node") == F.col("id"), "left")
     by_node = by_node.select("words", F.coalesce("component", "node").alias("class_id"))
     by_id = nodes.select("id", "words").join(by_node, "words").select("id", "class_id")
     out = rows.select("id").join(by_id, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"))
-    return out.select(F.col("id").alias(id_col), "class_id", F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("keep"))
+    keep = F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("keep")
+    return out.select(F.col("id").alias(id_col), "class_id", keep)
