@@ -26,6 +26,7 @@ import pickle
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -44,9 +45,11 @@ ROUNDS = 3
 SMOOTH = 0.05
 LOST = 1e-9  # probability of a character that no piece covers
 LONGEST = 40
+LONGEST_PIECE = 64
+BREAK = "\n"  # in no word and in no piece
 WORD = regex.compile(r"\p{L}+")
 CHUNK = 2_000_000
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 def word_list(text: str | None) -> list[str]:
@@ -67,16 +70,23 @@ class Lattice:
     character that no piece covers by itself.
     """
 
-    def __init__(self, automaton: ahocorasick.Automaton, single: set[str], words: Sequence[str]):
-        found: list[tuple[int, int, int, int]] = []
-        for w, word in enumerate(words):
-            marked = MARK + word
-            found += [(e + 1, w, e + 1 - size, piece) for e, (piece, size) in automaton.iter(marked)]
-            found += [(i + 1, w, i, -1) for i, c in enumerate(marked) if c not in single]
-        rows = np.array(found, np.int64).reshape(-1, 4)
-        rows = rows[np.argsort(rows[:, 0], kind="stable")]
-        self.end, self.word, self.start, self.piece = rows.T
+    def __init__(self, automaton: ahocorasick.Automaton, words: Sequence[str]):
+        text = BREAK.join([MARK + w for w in words])
         self.sizes = np.array([len(w) + 1 for w in words], np.int64)
+        begins = np.cumsum(self.sizes + 1) - self.sizes - 1
+        found = np.fromiter(chain.from_iterable(automaton.iter(text)), np.int64).reshape(-1, 2)
+        end, size, piece = found[:, 0] + 1, found[:, 1] % LONGEST_PIECE, found[:, 1] // LONGEST_PIECE
+        lost = np.ones(len(text), bool)
+        lost[(begins - 1)[1:]] = False
+        lost[end[size == 1] - 1] = False
+        alone = np.flatnonzero(lost)
+        start = np.concatenate([end - size, alone])
+        end = np.concatenate([end, alone + 1])
+        piece = np.concatenate([piece, np.full(len(alone), -1)])
+        word = np.searchsorted(begins, start, side="right") - 1
+        start, end = start - begins[word], end - begins[word]
+        order = np.argsort(end * len(words) + word, kind="stable")
+        self.end, self.word, self.start, self.piece = end[order], word[order], start[order], piece[order]
         self.longest = int(self.sizes.max(initial=0))
         self.steps = np.searchsorted(self.end, np.arange(self.longest + 2))
 
@@ -117,18 +127,18 @@ class Lattice:
 
 
 @lru_cache(maxsize=2)
-def piece_table(path: str) -> tuple[ahocorasick.Automaton, set[str], int]:
-    pieces = [p for p, _ in vocabulary(path) if usable(p)]
+def piece_table(path: str) -> tuple[ahocorasick.Automaton, int]:
+    """The pieces' automaton, whose values hold a piece's number and length, and how many there are."""
+    pieces = [p for p, _ in vocabulary(path) if usable(p) and len(p) < LONGEST_PIECE]
     automaton = ahocorasick.Automaton()
     for i, piece in enumerate(pieces):
-        automaton.add_word(piece, (i, len(piece)))
+        automaton.add_word(piece, i * LONGEST_PIECE + len(piece))
     automaton.make_automaton()
-    return automaton, {p for p in pieces if len(p) == 1}, len(pieces)
+    return automaton, len(pieces)
 
 
 def lattice(words: Sequence[str], path: str) -> Lattice:
-    automaton, single, _ = piece_table(path)
-    return Lattice(automaton, single, words)
+    return Lattice(piece_table(path)[0], words)
 
 
 def normalised(counts: np.ndarray) -> np.ndarray:
@@ -143,7 +153,8 @@ def sampled(labelled: DataFrame, sample_docs: int) -> DataFrame:
     """About ``sample_docs`` rows of each language, drawn by a hash of the row."""
     counts = labelled.groupBy("lang").agg(F.count("*").alias("there"))
     drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < F.lit(float((1 << 30) * sample_docs)) / F.col("there")
-    return labelled.join(counts, "lang").where(drawn).select("lang", "text")
+    # written out: a handful of rows whose size is known, so that the texts stay where they are
+    return labelled.join(stored(counts, "langid-counts"), "lang").where(drawn).select("lang", "text")
 
 
 def learn(
@@ -160,7 +171,7 @@ def learn(
     sample = sampled(labelled, sample_docs).mapInPandas(counted, "lang string, word string, n long")
     words = stored(sample.groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
     langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
-    _, _, size = piece_table(path)
+    _, size = piece_table(path)
     chance = normalised(np.ones((size + 1, max(1, len(langs)))))
     for _ in range(rounds if langs else 0):
         sent = words.sparkSession.sparkContext.broadcast(chance)
