@@ -113,9 +113,13 @@ def stretches(marked: DataFrame) -> DataFrame:
 
 
 def shared(rows: DataFrame, key: str, *more) -> DataFrame:
-    """Keys that stand in several documents, with the smallest of these as ``owner``."""
+    """Keys that stand in several documents, with the smallest of these as ``owner``.
+
+    Written out: a join with it then has one row per key on this side and plain rows on the other, so that the rows
+    of a key with very many of them can be split.
+    """
     groups = rows.groupBy(key).agg(F.min("id").alias("owner"), F.max("id").alias("last"), *more)
-    return groups.where("owner < last").drop("last")
+    return stored(groups.where("owner < last").drop("last"), f"shared-{key}")
 
 
 def joined_spans(stretched: DataFrame) -> DataFrame:
