@@ -8,8 +8,8 @@ and the sample is as large as that allows.  A document is kept if a number in [0
 alone is below its probability.
 
 Targets: a share per value of each margin, or by default the present token shares to the power ``TEMPER``, rescaled
-to sum 1.  A value without a target, or with target 0, is not kept.  The cells stay a table; each
-sweep is written out, so nothing grows on the driver.
+to sum 1.  A value without a target, or with target 0, is not kept.  Documents are summed to cells before
+anything is raked; the cells stay a table, written out every few sweeps.
 
 Null source or language is the value ``(none)``.  A document without tokens weighs nothing and gets its cell's
 probability; if its whole cell has no tokens, 1.  Rows that share an id share their fate.
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from residua.llm.packing import fraction, word_count
@@ -27,6 +27,7 @@ from residua.session import stored
 
 MARGINS = ("source", "lang", "topic")
 SWEEPS = 8
+AT_ONCE = 4  # sweeps in one job
 TEMPER = 0.85
 NONE = "(none)"
 #: A topic stands for the kind of text, told by the share of some characters among all.
@@ -52,42 +53,41 @@ def profile(docs: DataFrame) -> dict[str, Column]:
 
 def tempered(cells: DataFrame, margin: str, power: float = TEMPER) -> DataFrame:
     shares = cells.groupBy(margin).agg(F.sum("n").alias("n"))
-    raised = shares.select(margin, F.pow(F.col("n"), F.lit(power)).alias("r"))
-    whole = raised.agg(F.sum("r").alias("whole"))
-    return raised.join(F.broadcast(whole), F.lit(True)).select(margin, (F.col("r") / F.col("whole")).alias("target"))
+    raised = stored(shares.select(margin, F.pow(F.col("n"), F.lit(power)).alias("r")), "targets")
+    whole = raised.agg(F.sum("r")).first()[0] or 1.0
+    return raised.select(margin, (F.col("r") / F.lit(whole)).alias("target"))
 
 
 def rake(
     cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, sweeps: int = SWEEPS
 ) -> DataFrame:
     """Cells (margins, n) with ``w``, the raked weights; n: tokens of the cell."""
-    spark = cells.sparkSession
-    wanted = {}
+    now = cells.withColumn("w", F.col("n").cast("double"))
     for margin in MARGINS:
         if targets and margin in targets:
             whole = sum(targets[margin].values())
             rows = [(value, share / whole) for value, share in targets[margin].items()]
-            wanted[margin] = spark.createDataFrame(rows, f"{margin} string, target double")
+            wanted = cells.sparkSession.createDataFrame(rows, f"{margin} string, target double")
         else:
-            wanted[margin] = stored(tempered(cells, margin), "targets")
-    now = cells.withColumn("w", F.col("n").cast("double"))
-    for _ in range(sweeps):
+            wanted = tempered(cells, margin)
+        now = now.join(wanted, margin, "left").withColumnRenamed("target", f"to_{margin}")
+    now = stored(now.fillna(0.0, [f"to_{m}" for m in MARGINS]), "raked")
+    for k in range(sweeps):
         for margin in MARGINS:
-            sums = now.groupBy(margin).agg(F.sum("w").alias("has")).join(wanted[margin], margin, "left")
-            factor = F.when(F.col("has") > 0, F.coalesce("target", F.lit(0.0)) / F.col("has")).otherwise(0.0)
-            now = now.join(sums.select(margin, factor.alias("factor")), margin).select(
-                *MARGINS, "n", (F.col("w") * F.col("factor")).alias("w")
-            )
-        now = stored(now, "raked")
-    return now
+            has = F.sum("w").over(Window.partitionBy(margin))
+            step = F.when(has > 0, F.col("w") * (F.col(f"to_{margin}") / has)).otherwise(0.0)
+            now = now.withColumn("w", step)
+        if k % AT_ONCE == AT_ONCE - 1 or k == sweeps - 1:
+            now = stored(now, "raked")
+    return now.select(*MARGINS, "n", "w")
 
 
 def probabilities(raked: DataFrame) -> DataFrame:
     """Cells with ``p``, the probability to keep a document."""
     rate = F.when(F.col("n") > 0, F.col("w") / F.col("n"))
-    top = raked.agg(F.max(rate).alias("top"))
-    p = F.when(F.col("n") == 0, 1.0).when(F.col("top") > 0, F.least(F.lit(1.0), rate / F.col("top"))).otherwise(0.0)
-    return raked.join(F.broadcast(top), F.lit(True)).select(*MARGINS, "n", "w", p.alias("p"))
+    top = raked.agg(F.max(rate)).first()[0] or 0.0
+    p = F.when(F.col("n") == 0, 1.0).otherwise(F.least(F.lit(1.0), rate / F.lit(top)) if top > 0 else F.lit(0.0))
+    return raked.select(*MARGINS, "n", "w", p.alias("p"))
 
 
 def chances(
