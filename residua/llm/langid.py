@@ -49,7 +49,7 @@ LONGEST_PIECE = 64
 BREAK = "\n"  # in no word and in no piece
 WORD = regex.compile(r"\p{L}+")
 CHUNK = 2_000_000
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def word_list(text: str | None) -> list[str]:
