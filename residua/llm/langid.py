@@ -214,7 +214,8 @@ class Scorer:
         lists = [word_list(t) for t in texts]
         if len(self.place) > REMEMBERED:
             self.forget()
-        if new := list(dict.fromkeys(w for words in lists for w in words if w not in self.place)):
+        new = list(dict.fromkeys(w for words in lists for w in words if w not in self.place))
+        if new and self.langs:
             self.learn_words(new)
         langs, best = [], np.zeros(len(lists))
         for i, words in enumerate(lists):
