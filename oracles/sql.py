@@ -12,7 +12,7 @@ from residua.operators.knn import K_GRID, RESAMPLES
 from residua.operators.split import REJECTED, TEST, TRAIN
 from residua.plans.queries import NOISE_DECIMALS, SHOWN_DECIMALS, SMALL_K, SWEPT_STAGE
 from residua.plans.tuning import PENALTIES
-from residua.plans.workspace import PANEL_SIZE, PANELS, SAMPLED_USERS
+from residua.plans.workspace import PANEL_SIZE, PANELS, SAMPLED_USERS, UNKNOWN_EVERY
 from residua.specs import VIEW_PLAIN, VIEW_SHRUNK, Spec, Stage
 
 _CTES: dict[str, str] = {}
@@ -144,22 +144,26 @@ def double(value: float) -> str:
 cte("v_mu", "SELECT avg(rating) AS mu FROM s_inner_train")
 
 
-def add_model(spec: Spec) -> None:
-    p = spec.name
+cte("u_rows", f"SELECT * FROM v_rows WHERE (user_id + item_id) % {UNKNOWN_EVERY} <> 0")
+cte("u_mu", "SELECT avg(rating) AS mu FROM u_rows")
+
+
+def add_model(spec: Spec, rows: str = "s_inner_train", mu: str = "v_mu", prefix: str = "") -> None:
+    p = prefix + spec.name
     cte(
         f"{p}_item",
         f"""SELECT item_id, sum(rating - mu) / (count(*) + {double(spec.item_penalty)}) AS b_i, count(*) AS n
-FROM s_inner_train, v_mu GROUP BY item_id""",
+FROM {rows}, {mu} GROUP BY item_id""",
     )
     cte(
         f"{p}_user",
         f"""SELECT user_id, sum(rating - mu - b_i) / (count(*) + {double(spec.user_penalty)}) AS b_u, count(*) AS n
-FROM s_inner_train JOIN {p}_item USING (item_id), v_mu GROUP BY user_id""",
+FROM {rows} JOIN {p}_item USING (item_id), {mu} GROUP BY user_id""",
     )
     cte(
         f"{p}_start",
         f"""SELECT {ROW}, rating - mu - b_i - b_u AS e
-FROM s_inner_train JOIN {p}_item USING (item_id) JOIN {p}_user USING (user_id), v_mu""",
+FROM {rows} JOIN {p}_item USING (item_id) JOIN {p}_user USING (user_id), {mu}""",
     )
     last = add_tag_stages(p, f"{p}_start", [(s, double(s.penalty)) for s in spec.stages], f"{p}_user")
     cte(f"{p}_left", f"SELECT * FROM {last}")
@@ -171,6 +175,7 @@ FROM s_inner_train JOIN {p}_item USING (item_id) JOIN {p}_user USING (user_id),
 
 add_model(VIEW_PLAIN)
 add_model(VIEW_SHRUNK)
+add_model(VIEW_SHRUNK, "u_rows", "u_mu", "u_")
 
 cte("shrunk_fitted", "SELECT *, rating - e AS pred, e AS residual FROM shrunk_left")
 cte(
@@ -471,6 +476,19 @@ EXCEPT ALL SELECT {NARROW} FROM s_inner_test"""
             f"SELECT {NARROW} FROM s_outer_train EXCEPT ALL SELECT {NARROW} FROM s_inner_train"
         ),
         "global_mean": build(f"SELECT {shown('mu', 'mu')} FROM v_mu"),
+        "global_mean_unknown": build(f"SELECT {shown('mu', 'mu')} FROM u_mu"),
+        "item_effect_unknown": build(f"SELECT item_id, {shown('b_i', 'b_i')}, n FROM u_shrunk_item"),
+        "user_effect_unknown": build(f"SELECT user_id, {shown('b_u', 'b_u')} FROM u_shrunk_user"),
+        "tag_effects_unknown": build(f"SELECT user_id, tag, {shown('b', 'b')}, n FROM u_shrunk_tags"),
+        "leaderboard_unknown": build(
+            f"""SELECT 1 AS place, 'shrunk item + user + tags' AS method, {shown('rmse', 'rmse')},
+  {shown('round(rmse, 4)', 'rmse_4')}, {shown('rmse', 'rmse_scored')}, scored, 0::BIGINT AS missing
+FROM (SELECT sqrt(avg(e * e)) AS rmse, count(*) AS scored FROM u_shrunk_left)"""
+        ),
+        "unreadable_ratings": build(
+            f"""SELECT user_id || '::' || item_id || '::::' || ts AS value FROM v_rows
+WHERE (user_id + item_id) % {UNKNOWN_EVERY} = 0"""
+        ),
         "tag_effect_map": build(
             f"""SELECT user_id, count(*) AS tags, string_agg(tag, ',' ORDER BY tag) AS names,
   {shown('sum(b)', 'total')} FROM shrunk_tags GROUP BY user_id

@@ -18,13 +18,18 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from residua.functions.scalar import release_year, sql_text, tag_mask, token_bit
+from residua.functions.scalar import present, release_year, sql_text, tag_mask, token_bit
 from residua.specs import Spec, Stage
 
 
+def rated(rows: DataFrame) -> DataFrame:
+    """The rows that count in any mean, fit, sweep, curve or score: those with a known rating."""
+    return rows.filter(present("rating"))
+
+
 def item_totals(rows: DataFrame) -> DataFrame:
     """``(item_id, total, n)``: enough for the global mean and every item effect."""
-    return rows.groupBy("item_id").agg(F.sum("rating").alias("total"), F.count("*").alias("n"))
+    return rated(rows).groupBy("item_id").agg(F.sum("rating").alias("total"), F.count("*").alias("n"))
 
 
 def global_mean(totals: DataFrame) -> DataFrame:
@@ -73,7 +78,8 @@ def cells(rows: DataFrame, items: DataFrame, mu: Column, specs: Sequence[Spec])
     """
     effects = items.select("item_id", "mask", "year", *[f"b_i_{s.name}" for s in specs])
     return (
-        rows.select("user_id", "item_id", "rating")
+        rated(rows)
+        .select("user_id", "item_id", "rating")
         .join(effects, "item_id", "left")
         .groupBy("user_id", "mask", "year")
         .agg(

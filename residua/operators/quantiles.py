@@ -11,35 +11,17 @@ from pyspark.sql import functions as F
 from residua.operators.ranks import running_count
 from residua.session import stored
 
-FEW_VALUES = 1_000_000  # up to here one task merges all value counts
 
-
-def quantiles(
-    counts: DataFrame, value: str, probs: Sequence[float], few: int = FEW_VALUES
-) -> tuple[list[float], int]:
+def quantiles(counts: DataFrame, value: str, probs: Sequence[float]) -> tuple[list[float], int]:
     """The quantiles, interpolated between neighbours, and the row count; ``counts`` has ``value`` and ``n``.
 
-    No more than ``few`` values are aggregated by one task.  More are sorted over all tasks, and
-    only the parts that hold a wanted rank are looked at closer.
+    The values are sorted over all tasks, and only the parts that hold a wanted rank are looked at closer.
     """
-    counts = counts.persist()
-    try:
-        return _quantiles(counts, value, probs, few)
-    finally:
-        counts.unpersist()
-
-
-def _quantiles(
-    counts: DataFrame, value: str, probs: Sequence[float], few: int
-) -> tuple[list[float], int]:
-    size = counts.agg(F.count("*").alias("values"), F.sum("n").alias("rows")).first()
-    if not size["values"]:
+    counts = stored(counts.select(value, "n"), "value-counts")
+    rows = counts.agg(F.sum("n")).first()[0]
+    if not rows:
         return [], 0
-    if size["values"] <= few:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return counts.agg(F.percentile(value, wanted, F.col("n")).alias("q")).first()["q"], size["rows"]
-
-    positions = [(size["rows"] - 1) * p for p in probs]
+    positions = [(rows - 1) * p for p in probs]
     ranks = sorted({r for at in positions for r in (math.floor(at), math.ceil(at))})
     at_rank = _at_ranks(counts, value, ranks)
 
@@ -49,15 +31,15 @@ def _quantiles(
             return at_rank[low]
         return (high - at) * at_rank[low] + (at - low) * at_rank[high]
 
-    return [between(at) for at in positions], size["rows"]
+    return [between(at) for at in positions], rows
 
 
 def _at_ranks(counts: DataFrame, value: str, ranks: list[int]) -> dict[int, float]:
     """The value at each of a handful of 0-based ranks."""
     # Written down, so that the parts stay the same in both looks at them.
     parts = stored(
-        counts.select(value, "n").repartitionByRange(value).withColumn("part", F.spark_partition_id()),
-        "value-counts",
+        counts.repartitionByRange(value).withColumn("part", F.spark_partition_id()),
+        "value-parts",
     )
     wanted = F.array(*[F.lit(r).cast("bigint") for r in ranks])
 

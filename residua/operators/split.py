@@ -125,13 +125,18 @@ def stratified_holdout(
     Reads ``df`` four times (edges, prefix counts, border prefixes, result), three of them for a
     handful of numbers; pass a stored table.
     """
+    return _marked(df, salt, fraction, target, key)[0]
+
+
+def _marked(df: DataFrame, salt: str, fraction: float, target: str, key: str) -> tuple[DataFrame, bool]:
+    """The marked rows, and whether the mark is an expression of the row alone."""
     edges, rows = strata_edges(df, target)
-    if not rows:
-        return df.withColumn("held_out", F.lit(False))
     stratum = stratum_of(target, edges)
     order = hash_order(salt, key)
     marked = df.select(stratum.alias("__stratum"), order.alias("__hash"))
-    cutoffs = _cutoffs(marked, fraction, rows)
+    cutoffs = _cutoffs(marked, fraction, rows) if rows else []
+    if not cutoffs:
+        return df.withColumn("held_out", F.lit(False)), True
 
     last = per_stratum(stratum, {cut.stratum: cut.hash for cut in cutoffs})
     result = df.withColumn("held_out", F.coalesce(order <= last, F.lit(False)))
@@ -141,7 +146,7 @@ def stratified_holdout(
         result = result.filter(~at_cutoff).unionByName(
             _split_copies(df.filter(at_cutoff), cut.take, df.columns)
         )
-    return result
+    return result, not tied
 
 
 def bernoulli_holdout(df: DataFrame, salt: str, fraction: float = 0.1, key: str = "rating_key") -> DataFrame:
@@ -172,14 +177,22 @@ def judged(
 
 
 def split(
-    df: DataFrame, salt: str, fraction: float = 0.1, return_rejected: bool = False
+    df: DataFrame,
+    salt: str,
+    fraction: float = 0.1,
+    return_rejected: bool = False,
+    target: str = "rating",
+    key: str = "rating_key",
 ) -> DataFrame:
-    """Stratified hold-out and repair: ``df`` with ``fold``.
+    """Stratified hold-out and repair: ``df``, a stored table, with ``fold``.
 
-    The marked rows are stored once, apart by mark; then only the held-out tenth is joined and
-    stored again.  The train rows are read as stored.
+    The train rows are not written again: the mark is a comparison of the row's hash with a literal, so
+    they are ``df`` under a filter.  Only the held-out tenth is joined and stored.  (Where copies of
+    one row stand at a cutoff, some of them are held out and others not; then the mark is stored.)
     """
-    marked = stored(stratified_holdout(df, salt, fraction), f"{salt}-marked", ["held_out"])
+    marked, plain = _marked(df, salt, fraction, target, key)
+    if not plain:
+        marked = stored(marked, f"{salt}-marked", ["held_out"])
     train = marked.filter(~F.col("held_out")).drop("held_out")
     held_out = marked.filter("held_out").drop("held_out")
     verdict = stored(judged(train, held_out, return_rejected), f"{salt}-judged", ["fold"])
@@ -228,6 +241,7 @@ class NestedSplit:
 
 
 def nested_split(df: DataFrame, fraction: float = 0.1) -> NestedSplit:
+    """Splits a stored table; every level writes its held-out rows only."""
     outer = split(df, "outer", fraction, return_rejected=True)
     inner = split(NestedSplit._fold(outer, TRAIN), "inner", fraction)
     tuning = split(NestedSplit._fold(inner, TRAIN), "tuning", fraction)

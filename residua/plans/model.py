@@ -130,8 +130,8 @@ def score(
 
 
 def score_error(scored: DataFrame, policy: str = PROPAGATE) -> DataFrame:
-    """One row with the RMSE of a scored table."""
-    return scored.agg(rmse(F.col("rating"), F.col("pred"), policy).alias("rmse"))
+    """One row with the RMSE of a scored table; rows without a known rating cannot be scored."""
+    return E.rated(scored).agg(rmse(F.col("rating"), F.col("pred"), policy).alias("rmse"))
 
 
 def leaderboard(
@@ -145,7 +145,7 @@ def leaderboard(
     ``rmse`` is missing if any prediction is, and ``rmse_4`` is the same to four decimals;
     ``rmse_scored`` leaves those rows out.  All variants are scored in one pass.
     """
-    joined = with_parts(rows, model, variants, year_effect)
+    joined = with_parts(E.rated(rows), model, variants, year_effect)
     predicted = joined.select(
         "rating", *[prediction(model, v).alias(f"pred_{i}") for i, v in enumerate(variants)]
     )
@@ -174,7 +174,7 @@ def leaderboard(
 def fitted(train: DataFrame, model: Model, name: str) -> DataFrame:
     """The train rows with release year, the prediction of item, user and tags, and the residual."""
     variant = Variant("fitted", name, item=True, user=True, tags=True)
-    joined = with_parts(train, model, [variant])
+    joined = with_parts(E.rated(train), model, [variant])
     scored = joined.select(*train.columns, "year", prediction(model, variant).alias("pred"))
     return scored.withColumn("residual", F.col("rating") - F.col("pred"))
 

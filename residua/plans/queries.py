@@ -223,6 +223,42 @@ def _(w: Workspace) -> DataFrame:
     return E.tag_effects(model.users, VIEW_SHRUNK, model.tokens)
 
 
+@query("global_mean_unknown")
+def _(w: Workspace) -> DataFrame:
+    return E.global_mean(E.item_totals(w.partly_rated))
+
+
+@query("item_effect_unknown")
+def _(w: Workspace) -> DataFrame:
+    rated = w.partly_rated_model.items.filter("n > 0")
+    return rated.select("item_id", F.col("b_i_shrunk").alias("b_i"), "n")
+
+
+@query("user_effect_unknown")
+def _(w: Workspace) -> DataFrame:
+    return w.partly_rated_model.users.select("user_id", F.col("b_u_shrunk").alias("b_u"))
+
+
+@query("tag_effects_unknown")
+def _(w: Workspace) -> DataFrame:
+    model = w.partly_rated_model
+    return E.tag_effects(model.users, VIEW_SHRUNK, model.tokens)
+
+
+@query("leaderboard_unknown")
+def _(w: Workspace) -> DataFrame:
+    """Scored on rows of which some have no rating; the errors count the others."""
+    return M.leaderboard(w.partly_rated, w.partly_rated_model, [M.TAGS_SHRUNK])
+
+
+@query("unreadable_ratings")
+def _(w: Workspace) -> DataFrame:
+    """Lines without a rating in a file of the whole view."""
+    path = new_path(w.spark, "ratings-text")
+    delimited.write_delimited(w.partly_rated.select(*RATING_FIELDS), path)
+    return delimited.unreadable_ratings(w.spark, path)
+
+
 @query("tag_effect_map")
 def _(w: Workspace) -> DataFrame:
     maps = E.tag_effect_maps(w.model.users, VIEW_SHRUNK)

@@ -56,9 +56,10 @@ def best_penalty(errors: DataFrame) -> DataFrame:
 def _both(train: DataFrame, test: DataFrame) -> DataFrame:
     columns = ["user_id", "item_id", "rating"]
     return (
-        train.select(*columns)
+        E.rated(train)
+        .select(*columns)
         .withColumn("fits", F.lit(True))
-        .unionByName(test.select(*columns).withColumn("fits", F.lit(False)))
+        .unionByName(E.rated(test).select(*columns).withColumn("fits", F.lit(False)))
     )
 
 

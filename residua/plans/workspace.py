@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from residua.operators.effects import item_features
 from residua.operators.knn import choose_k, knn_smooth
@@ -22,6 +23,7 @@ from residua.specs import VIEW_PLAIN, VIEW_SHRUNK
 
 SAMPLED_USERS = 1000  # fixed value
 PANELS, PANEL_SIZE = 5, 5  # fixed values
+UNKNOWN_EVERY = 5
 
 
 class Workspace:
@@ -59,6 +61,16 @@ class Workspace:
         """Both specs, fitted on the train rows."""
         return M.fit(self.splits.train, self.items, [VIEW_PLAIN, VIEW_SHRUNK])
 
+    @property
+    def partly_rated(self) -> DataFrame:
+        """The whole view, the ratings of a fixed fifth of its rows unknown."""
+        unknown = (F.col("user_id") + F.col("item_id")) % UNKNOWN_EVERY == 0
+        return self.rows.withColumn("rating", F.when(~unknown, F.col("rating")))
+
+    @cached_property
+    def partly_rated_model(self) -> M.Model:
+        return M.fit(self.partly_rated, self.items, [VIEW_SHRUNK])
+
     @cached_property
     def years(self) -> DataFrame:
         return stored(M.year_residuals(self.model, "shrunk"), "years")

@@ -16,6 +16,18 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RATINGS).csv(path, sep=SEPARATOR, quote="")
 
 
+def unreadable_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a ratings file in which some field is missing or is no number, or that have too many.
+
+    Their unknown fields are NULL in ``read_ratings``; rows with an unknown rating take no part in any fit or score.
+    """
+    fields = F.split("value", SEPARATOR)
+    bad = F.size(fields) != len(RATINGS)
+    for place, field in enumerate(RATINGS):
+        bad = bad | F.get(fields, F.lit(place)).try_cast(field.dataType).isNull()
+    return spark.read.text(path).filter(bad)
+
+
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """At most three fields per line: the third keeps any further separator.
 

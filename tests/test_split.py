@@ -43,17 +43,25 @@ def test_holdout_is_the_head_of_the_hash_order(spark, rows):
 
 
 @pytest.mark.parametrize("count", [1, 2, 5, 1000])
-def test_quantiles_of_many_values_equal_those_of_few(spark, count):
+def test_quantiles_over_parts_equal_those_of_one_task(spark, count):
     counts = spark.range(count).select(
         (F.pmod(F.xxhash64("id"), F.lit(10**9)) / 7).alias("x"), (F.col("id") % 5 + 1).alias("n")
     )
     probs = [0.0, 0.1, 0.25, 0.5, 0.999, 1.0]
-    few, rows = quantiles(counts, "x", probs)
-    many, same = quantiles(counts, "x", probs, few=0)
+    wanted = F.array(*[F.lit(p) for p in probs])
+    few, same = counts.agg(F.percentile("x", wanted, F.col("n")), F.sum("n")).first()
+    many, rows = quantiles(counts, "x", probs)
     assert rows == same
     assert all(abs(a - b) < 1e-3 * 1e-3 for a, b in zip(few, many))
 
 
+@pytest.mark.parametrize("fraction, held", [(0.0, 0), (1.0, 95)])
+def test_fractions_at_the_ends(spark, fraction, held):
+    rating = (F.col("id") % 7).cast("double").alias("rating")
+    df = spark.range(95).select(F.col("id").cast("string").alias("rating_key"), rating)
+    assert S.stratified_holdout(df, "s", fraction).filter("held_out").count() == held
+
+
 def test_equal_ratings_make_one_stratum(spark):
     df = spark.range(95).select(F.col("id").cast("string").alias("rating_key"), F.lit(3.0).alias("rating"))
     assert S.strata_edges(df) == ([3.0], 95)
