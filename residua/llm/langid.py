@@ -48,7 +48,7 @@ LONGEST = 40
 LONGEST_PIECE = 64
 BREAK = "\n"  # in no word and in no piece
 WORD = regex.compile(r"\p{L}+")
-CHUNK = 2_000_000
+CHUNK = 500_000
 REMEMBERED = 250_000
 
 

@@ -24,7 +24,6 @@ different dimensions.  Rows that share an id are one vector; a null id is left o
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
