@@ -176,6 +176,9 @@ FROM {rows} JOIN {p}_item USING (item_id) JOIN {p}_user USING (user_id), {mu}"""
 add_model(VIEW_PLAIN)
 add_model(VIEW_SHRUNK)
 add_model(VIEW_SHRUNK, "u_rows", "u_mu", "u_")
+cte("t_rows", "SELECT * FROM s_inner_train WHERE user_id % 5 <> 0 AND item_id % 7 <> 0")
+cte("t_mu", "SELECT avg(rating) AS mu FROM t_rows")
+add_model(VIEW_SHRUNK, "t_rows", "t_mu", "t_")
 
 cte("shrunk_fitted", "SELECT *, rating - e AS pred, e AS residual FROM shrunk_left")
 cte(
@@ -260,6 +263,14 @@ PREDICTIONS = {
     "shrunk item + user + tags": "mu + si + su + st",
     "shrunk item + user + tags + year": "mu + si + su + st + knn",
 }
+THIN_KNOWN = "item_id IN (SELECT item_id FROM t_rows) AND user_id IN (SELECT user_id FROM t_rows)"
+cte(
+    "t_parts",
+    f"""SELECT x.rating_key, x.rating, mu, si.b_i AS si, su.b_u AS su, coalesce(st.b_tags, 0.0::DOUBLE) AS st
+FROM s_inner_test x CROSS JOIN t_mu
+LEFT JOIN t_shrunk_item si ON x.item_id = si.item_id LEFT JOIN t_shrunk_user su ON x.user_id = su.user_id
+LEFT JOIN ({tag_sum("t_shrunk", "s_inner_test")}) st ON x.rating_key = st.rating_key""",
+)
 FILLED = "mu + coalesce(si, 0.0::DOUBLE) + coalesce(su, 0.0::DOUBLE) + st"
 
 
@@ -489,6 +500,19 @@ FROM (SELECT sqrt(avg(e * e)) AS rmse, count(*) AS scored FROM u_shrunk_left)"""
             f"""SELECT user_id || '::' || item_id || '::::' || ts AS value FROM v_rows
 WHERE (user_id + item_id) % {UNKNOWN_EVERY} = 0"""
         ),
+        "semi_thin": build(f"SELECT {NARROW} FROM s_inner_test WHERE {THIN_KNOWN}"),
+        "anti_thin": build(f"SELECT {NARROW} FROM s_inner_test WHERE NOT ({THIN_KNOWN})"),
+        "judged_thin": build(
+            f"""SELECT rating_key, CASE WHEN {THIN_KNOWN} THEN '{TEST}' ELSE '{REJECTED}' END AS fold,
+  CASE WHEN {THIN_KNOWN} THEN '{TEST}' ELSE '{TRAIN}' END AS returned FROM s_inner_test"""
+        ),
+        "score_thin": build(
+            f"SELECT rating_key, {shown('mu + si + su + st', 'pred')}, {shown(FILLED, 'filled')} FROM t_parts"
+        ),
+        "leaderboard_thin": board(
+            "t_parts",
+            [("shrunk item + user + tags", "mu + si + su + st"), ("shrunk item + user + tags", FILLED)],
+        ),
         "tag_effect_map": build(
             f"""SELECT user_id, count(*) AS tags, string_agg(tag, ',' ORDER BY tag) AS names,
   {shown('sum(b)', 'total')} FROM shrunk_tags GROUP BY user_id

@@ -1,4 +1,8 @@
-"""Box-plot statistics per category."""
+"""Box-plot statistics per category.
+
+Values are compared exactly, or, if ``decimals`` is given, rounded to so many decimals: then sums that differ
+in their last bits only fall on the same side of a fence and share a place.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-NOISE = 9  # decimals up to which two values are told apart
 WHISKER = 1.5  # fixed value: whiskers reach at most this many interquartile ranges
 
 
@@ -20,18 +23,21 @@ def _fences(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     return q.select("*", (F.col("q1") - reach).alias("fence_low"), (F.col("q3") + reach).alias("fence_high"))
 
 
-def _inside(value: str) -> Column:
-    """Within the fences; rounding noise does not put a value outside."""
-    low, high = F.round("fence_low", NOISE), F.round("fence_high", NOISE)
-    return F.round(value, NOISE).between(low, high)
+def _told(value: str, decimals: int | None) -> Column:
+    return F.col(value) if decimals is None else F.round(value, decimals)
+
+
+def _inside(value: str, decimals: int | None) -> Column:
+    """Within the fences."""
+    return _told(value, decimals).between(_told("fence_low", decimals), _told("fence_high", decimals))
 
 
-def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+def box_stats(df: DataFrame, by: Sequence[str], value: str, decimals: int | None = None) -> DataFrame:
     """Quartiles, whisker ends (the outermost values inside the fences) and counts per category.
 
     The quartiles are exact, so a category must be a sample of bounded size.
     """
-    inside = _inside(value)
+    inside = _inside(value, decimals)
     return (
         df.join(_fences(df, by, value), list(by))
         .groupBy(*by, "q1", "median", "q3")
@@ -44,16 +50,15 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def box_outliers(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+def box_outliers(df: DataFrame, by: Sequence[str], value: str, decimals: int | None = None) -> DataFrame:
     """The rows outside the fences of their category."""
-    inside = _inside(value)
+    inside = _inside(value, decimals)
     return df.join(_fences(df, by, value), list(by)).filter(~inside).select(*df.columns)
 
 
-def place_by(df: DataFrame, order: str, within: Sequence[str] = ()) -> DataFrame:
-    """``place`` of each category in ascending ``order``.
-
-    Values that differ by rounding noise only share a place.
-    """
-    rounded = F.round(order, NOISE)
-    return df.withColumn("place", F.rank().over(Window.partitionBy(*within).orderBy(rounded)))
+def place_by(
+    df: DataFrame, order: str, within: Sequence[str] = (), decimals: int | None = None
+) -> DataFrame:
+    """``place`` of each category in ascending ``order``."""
+    by_value = Window.partitionBy(*within).orderBy(_told(order, decimals))
+    return df.withColumn("place", F.rank().over(by_value))

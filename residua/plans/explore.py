@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from residua.functions.metrics import mean
 from residua.functions.scalar import (
     age_in_years,
     first_token,
@@ -132,53 +131,58 @@ def profiles(
     )
 
 
-def tag_boxes(profile: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+def tag_boxes(profile: DataFrame, within: Sequence[str] = (), decimals: int | None = None) -> DataFrame:
     """Box statistics per tag, with the place of the tag in the order of medians."""
-    return place_by(box_stats(profile, [*within, "tag"], "x"), "median", within)
+    return place_by(box_stats(profile, [*within, "tag"], "x", decimals), "median", within, decimals)
 
 
-def tag_box_outliers(profile: DataFrame) -> DataFrame:
-    return box_outliers(profile, ["tag"], "x")
+def tag_box_outliers(profile: DataFrame, decimals: int | None = None) -> DataFrame:
+    return box_outliers(profile, ["tag"], "x", decimals)
 
 
-def placed_by_median(profile: DataFrame, within: Sequence[str]) -> DataFrame:
+def placed_by_median(profile: DataFrame, within: Sequence[str], decimals: int | None = None) -> DataFrame:
     """The profile rows with the place of their tag in the order of medians."""
     medians = profile.groupBy(*within, "tag").agg(F.percentile("x", F.lit(0.5)).alias("median"))
-    return profile.join(place_by(medians, "median", within).drop("median"), [*within, "tag"])
+    return profile.join(place_by(medians, "median", within, decimals).drop("median"), [*within, "tag"])
 
 
-# --- residual curves; ``fitted`` has year, ts and residual
+# --- residual curves, all from one table of sums
 
 
-def residual_by_month(fitted: DataFrame) -> DataFrame:
+def residual_sums(fitted: DataFrame) -> DataFrame:
+    """``(date, year, total, n, known)``: residuals summed by day of rating and release year.
+
+    One pass over the fitted rows (year, ts, residual); as many rows as days and years meet.
+    """
+    return fitted.groupBy(utc_date("ts").alias("date"), "year").agg(
+        F.sum("residual").alias("total"), F.count("*").alias("n"), F.count("residual").alias("known")
+    )
+
+
+def _mean_of_sums() -> Column:
+    """Unknown if one of the residuals is."""
+    return F.when(F.sum("known") == F.sum("n"), F.sum("total") / F.sum("n"))
+
+
+def residual_by_month(sums: DataFrame) -> DataFrame:
     """Mean residual by whole months since the first rating of all."""
-    dated = fitted.select(utc_date("ts").alias("date"), "residual")
-    first = fitted.agg(utc_date(F.min("ts")).alias("first")).scalar()
-    month = whole_months(F.col("first"), F.col("date"))
+    first = sums.agg(F.min("date")).scalar()
     return (
-        dated.withColumn("first", first)
-        .groupBy(month.alias("month"))
-        .agg(mean(F.col("residual")).alias("b"))
+        sums.withColumn("first", first)
+        .groupBy(whole_months(F.col("first"), F.col("date")).alias("month"))
+        .agg(_mean_of_sums().alias("b"))
     )
 
 
-def residual_by_age(fitted: DataFrame) -> DataFrame:
+def residual_by_age(sums: DataFrame) -> DataFrame:
     """Mean residual by the age of the item when it was rated; unknown and negative ages are left out."""
-    age = age_in_years(utc_date("ts"), F.col("year"))
-    return (
-        fitted.select(age.alias("age"), "residual")
-        .filter("age >= 0")
-        .groupBy("age")
-        .agg(mean(F.col("residual")).alias("b"))
-    )
+    age = age_in_years(F.col("date"), F.col("year")).alias("age")
+    return sums.withColumn("age", age).filter("age >= 0").groupBy("age").agg(_mean_of_sums().alias("b"))
 
 
-def residual_by_release_year(fitted: DataFrame) -> DataFrame:
+def residual_by_release_year(sums: DataFrame) -> DataFrame:
     """Mean residual and row count by release year, from the rows."""
-    return (
-        fitted.groupBy("year")
-        .agg(mean(F.col("residual")).alias("b"), F.count("*").alias("n"))
-    )
+    return sums.groupBy("year").agg(_mean_of_sums().alias("b"), F.sum("n").alias("n"))
 
 
 def curve_long(year_effect: DataFrame) -> DataFrame:

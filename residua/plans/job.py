@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
+from residua.operators.effects import global_mean, item_features, item_totals
 from residua.operators.split import NestedSplit, nested_split
 from residua.plans import model as M
+from residua.plans import tuning
 from residua.session import stored
+from residua.sources import tables
 from residua.sources.delimited import read_items, read_ratings, with_key
-from residua.specs import FILM_PLAIN, FILM_SHRUNK, Spec
+from residua.specs import FILM_PLAIN, FILM_SHRUNK, Spec, Stage
+
+
+SPLITS = [f.name for f in fields(NestedSplit)]
 
 
 @dataclass(frozen=True)
@@ -25,6 +32,24 @@ class Outcome:
         """All models on the test rows."""
         return M.leaderboard(self.splits.test, self.model, year_effect=self.year_effect)
 
+    def tables(self) -> dict[str, DataFrame]:
+        """All that a saved run consists of, by name."""
+        return {
+            "items": self.items,
+            **{name: getattr(self.splits, name) for name in SPLITS},
+            "model_items": self.model.items,
+            "model_users": self.model.users,
+            "model_cells": self.model.cells,
+            "year_effect": self.year_effect,
+        }
+
+    def save(self, path: str) -> None:
+        """One table per name under ``path``, and the settings as text; ``load_run`` reads it in any session."""
+        for name, table in self.tables().items():
+            tables.save_table(table, f"{path}/{name}", ["fold"] if name in SPLITS else ())
+        settings = json.dumps({"mu": self.model.mu, "specs": [asdict(s) for s in self.model.specs]})
+        self.items.sparkSession.createDataFrame([(settings,)], "value string").write.text(f"{path}/settings")
+
     def final(self) -> DataFrame:
         """The last model on the validation rows."""
         return M.leaderboard(self.splits.validation, self.model, [M.FINAL], self.year_effect)
@@ -36,10 +61,34 @@ def run(
     items_path: str,
     specs: Sequence[Spec] = (FILM_PLAIN, FILM_SHRUNK),
     k: int | None = None,
+    tune: bool = False,
 ) -> Outcome:
-    """``specs`` are a plain and a shrunk one; ``k`` fixes the number of neighbours."""
+    """``specs`` are a plain and a shrunk one; ``k`` fixes the number of neighbours.
+
+    ``tune`` chooses the penalties of the shrunk one on the tuning split before anything is fitted.
+    """
     rows = stored(with_key(read_ratings(spark, ratings_path)), "rows")
     items = stored(read_items(spark, items_path), "item-texts")
     splits = nested_split(rows)
+    if tune:
+        mu = global_mean(item_totals(splits.train)).first()["mu"]
+        shrunk = next(s for s in specs if s.name == "shrunk")
+        features = item_features(items, shrunk.tokens)
+        chosen = tuning.tune(splits.tune_train, splits.tune_test, features, mu, shrunk)
+        specs = [chosen if s is shrunk else s for s in specs]
     model = M.fit(splits.train, items, specs)
     return Outcome(items, splits, model, stored(M.year_effect(model, "shrunk", k), "year-effect"))
+
+
+def load_run(spark: SparkSession, path: str) -> Outcome:
+    """A run that ``Outcome.save`` wrote."""
+    settings = json.loads(spark.read.text(f"{path}/settings").first()["value"])
+    specs = tuple(
+        Spec(**{**s, "stages": tuple(Stage(**stage) for stage in s["stages"])}) for s in settings["specs"]
+    )
+
+    def read(name: str) -> DataFrame:
+        return tables.load_table(spark, f"{path}/{name}")
+
+    model = M.Model(specs, settings["mu"], *[read(f"model_{name}") for name in ("items", "users", "cells")])
+    return Outcome(read("items"), NestedSplit(**{name: read(name) for name in SPLITS}), model, read("year_effect"))

@@ -25,6 +25,7 @@ from residua.specs import Spec, VIEW_PLAIN, VIEW_SHRUNK
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHOWN_DECIMALS = 7
+BOX_DECIMALS = 9  # profile values are sums, equal up to their last bits
 NOISE_DECIMALS = 12
 SMALL_K = 5
 SWEPT_STAGE = 2
@@ -259,6 +260,42 @@ def _(w: Workspace) -> DataFrame:
     return delimited.unreadable_ratings(w.spark, path)
 
 
+# Held-out rows against train rows without a seventh of the items and a fifth of the users, so that the joins,
+# the return to train and the fill have rows to act on.
+
+
+@query("semi_thin")
+def _(w: Workspace) -> DataFrame:
+    return with_known_keys(w.splits.test, w.thin_train, "item_id", "user_id")
+
+
+@query("anti_thin")
+def _(w: Workspace) -> DataFrame:
+    known = with_known_keys(w.splits.test, w.thin_train, "item_id", "user_id")
+    return natural_anti_join(w.splits.test, known)
+
+
+@query("judged_thin")
+def _(w: Workspace) -> DataFrame:
+    rejected = S.judged(w.thin_train, w.splits.test, False).select("rating_key", "fold")
+    returned = S.judged(w.thin_train, w.splits.test, True).select("rating_key", F.col("fold").alias("returned"))
+    return rejected.join(returned, "rating_key")
+
+
+@query("score_thin")
+def _(w: Workspace) -> DataFrame:
+    """Unknown items and users make a prediction unknown, unless they are filled."""
+    scored = M.score(w.splits.test, w.thin_model, M.TAGS_SHRUNK).select("rating_key", "pred")
+    filled = M.score(w.splits.test, w.thin_model, M.TAGS_SHRUNK.filled("item", "user"))
+    return filled.select("rating_key", F.col("pred").alias("filled")).join(scored, "rating_key")
+
+
+@query("leaderboard_thin")
+def _(w: Workspace) -> DataFrame:
+    variants = [M.TAGS_SHRUNK, M.TAGS_SHRUNK.filled("item", "user")]
+    return M.leaderboard(w.splits.test, w.thin_model, variants)
+
+
 @query("tag_effect_map")
 def _(w: Workspace) -> DataFrame:
     maps = E.tag_effect_maps(w.model.users, VIEW_SHRUNK)
@@ -420,8 +457,8 @@ def _profile(w: Workspace) -> DataFrame:
 
 
 query("user_tag_profile")(_profile)
-query("tag_box_stats")(lambda w: explore.tag_boxes(w.profile))
-query("tag_box_outliers")(lambda w: explore.tag_box_outliers(w.profile))
+query("tag_box_stats")(lambda w: explore.tag_boxes(w.profile, decimals=BOX_DECIMALS))
+query("tag_box_outliers")(lambda w: explore.tag_box_outliers(w.profile, BOX_DECIMALS))
 
 
 @query("panel_profiles")
@@ -429,10 +466,10 @@ def _(w: Workspace) -> DataFrame:
     profile = explore.profiles(
         w.splits.train, w.model, "plain", w.user_panels(), VIEW_PLAIN.stages, ["panel", "user_id"]
     )
-    return explore.placed_by_median(profile, ["panel"])
+    return explore.placed_by_median(profile, ["panel"], BOX_DECIMALS)
 
 
-query("residual_by_month")(lambda w: explore.residual_by_month(w.fitted()))
-query("residual_by_age")(lambda w: explore.residual_by_age(w.fitted()))
-query("residual_by_release_year")(lambda w: explore.residual_by_release_year(w.fitted()))
+query("residual_by_month")(lambda w: explore.residual_by_month(w.residual_sums))
+query("residual_by_age")(lambda w: explore.residual_by_age(w.residual_sums))
+query("residual_by_release_year")(lambda w: explore.residual_by_release_year(w.residual_sums))
 query("curve_long")(lambda w: explore.curve_long(w.year_effect))

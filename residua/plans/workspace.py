@@ -71,6 +71,19 @@ class Workspace:
     def partly_rated_model(self) -> M.Model:
         return M.fit(self.partly_rated, self.items, [VIEW_SHRUNK])
 
+    @property
+    def thin_train(self) -> DataFrame:
+        """Train rows without every fifth user and every seventh item."""
+        return self.splits.train.filter("user_id % 5 <> 0 AND item_id % 7 <> 0")
+
+    @cached_property
+    def thin_model(self) -> M.Model:
+        return M.fit(self.thin_train, self.items, [VIEW_SHRUNK])
+
+    @cached_property
+    def residual_sums(self) -> DataFrame:
+        return stored(explore.residual_sums(self.fitted()), "residual-sums")
+
     @cached_property
     def years(self) -> DataFrame:
         return stored(M.year_residuals(self.model, "shrunk"), "years")

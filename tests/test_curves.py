@@ -103,7 +103,7 @@ def test_tag_frequencies(spark):
 def test_residual_curves(spark):
     day = 86400
     rows = [(1960, 0, 1.0), (1960, 40 * day, 2.0), (1999, 41 * day, 4.0), (None, 41 * day, 6.0)]
-    df = spark.createDataFrame(rows, "year int, ts bigint, residual double")
+    df = explore.residual_sums(spark.createDataFrame(rows, "year int, ts bigint, residual double"))
     assert {r["month"]: r["b"] for r in explore.residual_by_month(df).collect()} == {0: 1.0, 1: 4.0}
     assert {r["age"]: r["b"] for r in explore.residual_by_age(df).collect()} == {10: 1.5}
     assert {r["year"]: (r["b"], r["n"]) for r in explore.residual_by_release_year(df).collect()} == {

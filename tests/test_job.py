@@ -5,7 +5,7 @@ import random
 import pytest
 
 from residua.plans import job
-from residua.session import new_path
+from residua.session import new_path, shared_folder
 from residua.specs import FILM_SHRUNK
 
 
@@ -39,3 +39,31 @@ def test_job(spark, files):
     final = done.final().first()
     assert final["scored"] == s.validation.count() and final["rmse"] < board["average"] / 2
     assert done.model.users.selectExpr("size(tags_shrunk) AS k").distinct().collect()[0]["k"] == 19
+
+
+def test_saved_run_gives_the_same_boards_in_another_session(spark, files):
+    done = job.run(spark, *files[0], k=5, tune=True)
+    assert any(s.item_penalty != FILM_SHRUNK.item_penalty for s in done.model.specs if s.name == "shrunk")
+    path = new_path(spark, "run")
+    done.save(path)
+    again = job.load_run(spark.newSession(), path)
+    assert again.model.specs == done.model.specs
+    for ours, theirs in ((done.leaderboard(), again.leaderboard()), (done.final(), again.final())):
+        rounded = [[(r["method"], r["missing"], round(r["rmse"], 9)) for r in board.collect()] for board in (ours, theirs)]
+        assert rounded[0] == rounded[1]
+
+
+def test_no_shared_folder_is_one_clear_error():
+    class Bare:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+        class sparkContext:
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Bare())
