@@ -242,12 +242,13 @@ def predictor(
 
     @F.pandas_udf("lang_pred string, score double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        score = scorer(model.value).scores
+        known = scorer(model.value)
         for texts in batches:
-            parts = [score(list(texts[s])) for s in in_pieces(texts, CHUNK)]
+            parts = [known.scores(list(texts[s])) for s in in_pieces(texts, CHUNK)]
             names = [name for found, _ in parts for name in found]
             values = np.concatenate([np.zeros(0), *(value for _, value in parts)])
             yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": values})
+        known.forget()  # the worker lives on
 
     return of
 
