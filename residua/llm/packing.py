@@ -21,6 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from residua.session import stored
+
 BUCKETS = 8
 BUDGET = 16_384
 SALT_ROWS = 100_000
@@ -79,7 +81,9 @@ def pack(rows: DataFrame, id_col: str = "doc_id", buckets: int = BUCKETS, budget
 
     bucket counts from 0 by length; batch counts from 0 within its bucket; slot from 0 within its batch.
     """
-    rows = rows.select(id_col, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"))
+    # written out, as it is read three times and may be counted from texts
+    lengths = rows.select(id_col, F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"))
+    rows = stored(lengths, "lengths")
     histogram = rows.groupBy("n_tokens").agg(F.count("*").alias("n")).toPandas().sort_values("n_tokens")
     cuts = best_cuts(histogram["n_tokens"].to_numpy(np.int64), histogram["n"].to_numpy(np.int64), buckets)
     salts = max(1, math.ceil(int(histogram["n"].sum()) / SALT_ROWS))
