@@ -40,6 +40,8 @@ HEADLINE = [
     "panel_profiles",
     "residual_by_month",
     "residual_by_age",
+    "tuned_penalties",
+    "job_from_files",
 ]
 
 

@@ -36,14 +36,15 @@ def _tag_texts(rows: DataFrame, items: DataFrame) -> DataFrame:
     return texts.groupBy("tags").agg(F.sum("n").alias("n"))
 
 
-def _substrings(run: Column, longest: Column) -> Column:
-    size = F.length(run)
+def _substrings(run: Column, lengths: Column) -> Column:
+    """All substrings of the run that have one of the lengths."""
+    fitting = F.filter(lengths, lambda length: length <= F.length(run))
     return F.flatten(
         F.transform(
-            F.sequence(F.lit(1), size),
-            lambda start: F.transform(
-                F.sequence(F.lit(1), F.least(size - start + 1, longest)),
-                lambda length: F.substring(run, start, length),
+            fitting,
+            lambda length: F.transform(
+                F.sequence(F.lit(1), F.length(run) - length + 1),
+                lambda start: F.substring(run, start, length),
             ),
         )
     )
@@ -58,15 +59,16 @@ def tag_frequency_first_token(rows: DataFrame, items: DataFrame) -> DataFrame:
     """``(tag, n)``, most frequent first: for each first token the rows whose text contains it.
 
     A token is one alphabetic run, so it can only lie inside an alphabetic run of the text.  The
-    substrings of those runs are joined with the tokens by equality: no text meets every token.
+    substrings of those runs that are as long as some token are joined with the tokens by equality: no text
+    meets every token.
     """
     texts = _tag_texts(rows, items)
     tokens = first_tokens(texts)
-    longest = tokens.agg(F.max(F.length("tag"))).scalar()
-    runs = texts.withColumn("longest", longest).select(
-        "tags", "n", "longest", F.explode(F.array_distinct(F.regexp_extract_all("tags", F.lit(RUN), F.lit(0)))).alias("run")
+    lengths = tokens.agg(F.collect_set(F.length("tag"))).scalar()  # as many as there are different lengths
+    runs = texts.withColumn("lengths", lengths).select(
+        "tags", "n", "lengths", F.explode(F.array_distinct(F.regexp_extract_all("tags", F.lit(RUN), F.lit(0)))).alias("run")
     )
-    parts = runs.select("tags", "n", F.explode(_substrings(F.col("run"), F.col("longest"))).alias("tag"))
+    parts = runs.select("tags", "n", F.explode(_substrings(F.col("run"), F.col("lengths"))).alias("tag"))
     found = parts.join(tokens, "tag", "left_semi").distinct()
     return found.groupBy("tag").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "tag")
 
