@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SECONDS_PER_DAY = 86400
-MAX_TOKENS = 62  # one bit each in a BIGINT
 
 
 def _col(c: Column | str) -> Column:
@@ -20,11 +19,6 @@ def number(c: Column | str, to: str = "double") -> Column:
     return _col(c).try_cast(to)
 
 
-def if_known(condition: Column, yes: Column, no: Column) -> Column:
-    """``yes`` or ``no``, and NULL where the condition is unknown."""
-    return F.when(condition, yes).when(~condition, no)
-
-
 def or_zero(c: Column | str) -> Column:
     return F.coalesce(_col(c), F.lit(0.0))
 
@@ -37,9 +31,9 @@ def present(c: Column | str) -> Column:
 # --- text
 
 
-def has_tag(tags: Column | str, token: str) -> Column:
+def has_tag(tags: Column | str, token: Column | str) -> Column:
     """Case-sensitive substring test, so ``old`` is also found in ``cold``."""
-    return F.contains(_col(tags), F.lit(token))
+    return F.contains(_col(tags), F.lit(token) if isinstance(token, str) else token)
 
 
 def sql_text(value: str) -> str:
@@ -47,19 +41,13 @@ def sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def token_bit(tokens: Sequence[str], token: str) -> int:
-    return 1 << tokens.index(token)
-
-
-def tag_mask(tags: str, tokens: Sequence[str]) -> Column:
-    """One bit per token found in the text of column ``tags``; NULL for a NULL text.
-
-    Long sums over tokens or penalties are written as SQL text: one call instead of hundreds.
-    """
-    if len(tokens) > MAX_TOKENS:
-        raise ValueError(f"{len(tokens)} tokens do not fit the {MAX_TOKENS} bits of a mask")
-    bits = [f"if(contains({tags}, {sql_text(t)}), {token_bit(tokens, t)}L, 0L)" for t in tokens]
-    return F.expr(f"CASE WHEN {tags} IS NOT NULL THEN {' | '.join(bits) or '0L'} END")
+def token_hits(tags: str, tokens: Sequence[str]) -> Column:
+    """Places of the tokens found in the text of column ``tags``, ascending; NULL for a NULL text."""
+    if not tokens:
+        return F.when(F.col(tags).isNotNull(), F.array().cast("array<int>"))
+    listed = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(t).alias("token")) for i, t in enumerate(tokens)])
+    found = F.filter(listed, lambda t: has_tag(tags, t["token"]))
+    return F.when(F.col(tags).isNotNull(), F.transform(found, lambda t: t["place"]))
 
 
 def first_token(text: Column | str) -> Column:

@@ -12,7 +12,6 @@ from residua.functions.scalar import (
     first_token,
     present,
     sql_text,
-    token_bit,
     utc_date,
     whole_months,
 )
@@ -103,7 +102,7 @@ def profiles(
     out.  ``sample`` has the columns ``by`` and may name a user more than once.
     """
     users = model.users.select("user_id", F.col(f"b_u_{name}").alias("b_u"))
-    items = model.items.select("item_id", "mask", F.col(f"b_i_{name}").alias("b_i"))
+    items = model.items.select("item_id", "hits", F.col(f"b_i_{name}").alias("b_i"))
     chosen = sample.select("user_id").distinct()
     per_user = (
         train.join(chosen, "user_id", "left_semi")
@@ -113,7 +112,7 @@ def profiles(
             F.avg("b_i").alias("b_i"),
             *[
                 F.expr(
-                    f"avg(CASE WHEN mask & {token_bit(model.tokens, stage.token)}L != 0 THEN rating END) AS mean_{i}"
+                    f"avg(CASE WHEN array_contains(hits, {model.tokens.index(stage.token)}) THEN rating END) AS mean_{i}"
                 )
                 for i, stage in enumerate(stages)
             ],

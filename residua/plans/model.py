@@ -21,7 +21,7 @@ from residua.session import stored
 class Model:
     """Effect tables of one or more specs over the same train rows and tags.
 
-    ``items`` (effects, tag mask and year per item), ``users`` and ``cells`` have one column or set
+    ``items`` (effects, places of the tags found and year per item), ``users`` and ``cells`` have one column or set
     of columns per spec, named after it.
     """
 
@@ -58,7 +58,7 @@ def fit(train: DataFrame, items: DataFrame, specs: Sequence[Spec]) -> Model:
 
 def with_effects(rows: DataFrame, model: Model, names: Sequence[str]) -> DataFrame:
     """Two left joins, by item and by user, bring all effects of the named specs to the rows."""
-    items = model.items.select("item_id", "mask", "year", *[f"b_i_{n}" for n in names])
+    items = model.items.select("item_id", "hits", "year", *[f"b_i_{n}" for n in names])
     users = model.users.select(
         "user_id", *[f"b_u_{n}" for n in names], *[f"tags_{n}" for n in names]
     )
@@ -188,7 +188,7 @@ def year_residuals(model: Model, name: str) -> DataFrame:
     users = model.users.select("user_id", f"b_u_{name}", f"tags_{name}")
     tags = E.tag_adjustment(spec, model.tokens)
     left = F.col(f"left_{name}") - F.col("n") * (F.col(f"b_u_{name}") + tags)
-    per_cell = model.cells.select("user_id", "mask", "year", "n", f"left_{name}").join(
+    per_cell = model.cells.select("user_id", "hits", "year", "n", f"left_{name}").join(
         users, "user_id", "left"
     )
     return (

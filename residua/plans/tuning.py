@@ -86,24 +86,24 @@ def sweep_item(
 
 
 def item_effect(train: DataFrame, features: DataFrame, mu: float, penalty: float) -> DataFrame:
-    """``(item_id, mask, b_i)``."""
+    """``(item_id, hits, b_i)``."""
     total = F.col("total") - F.col("n") * F.lit(mu)
     effect = E.shrunken(total, F.col("n"), penalty).alias("b_i")
-    return E.item_totals(train).join(features, "item_id", "full").select("item_id", "mask", effect)
+    return E.item_totals(train).join(features, "item_id", "full").select("item_id", "hits", effect)
 
 
 def tuning_cells(train: DataFrame, test: DataFrame, mu: float, items: DataFrame) -> DataFrame:
-    """Train and held-out sums per user and tag mask, after the item effect.
+    """Train and held-out sums per user and set of tags, after the item effect.
 
-    ``items`` has ``mask`` and ``b_i``.  ``lost`` counts the held-out rows with unknown tags.
+    ``items`` has ``hits`` and ``b_i``.  ``lost`` counts the held-out rows with unknown tags.
     """
     error = F.col("rating") - F.lit(mu) - F.col("b_i")
     return (
         _both(train, test)
-        .join(items.select("item_id", "mask", "b_i"), "item_id", "left")
-        .groupBy("user_id", "mask")
+        .join(items.select("item_id", "hits", "b_i"), "item_id", "left")
+        .groupBy("user_id", "hits")
         .agg(*_key_sums(error))
-        .withColumn("lost", F.when(F.col("mask").isNull(), F.col("m")).otherwise(0))
+        .withColumn("lost", F.when(F.col("hits").isNull(), F.col("m")).otherwise(0))
     )
 
 

@@ -223,6 +223,22 @@ def test_specs_of_the_published_model():
     assert FILM_PLAIN.stages[2:] == tuple(Stage(s.name, s.token) for s in FILM_SHRUNK.stages[2:])
 
 
+def test_a_hundred_tags(spark):
+    words = [f"t{i:03d}" for i in range(100)]
+    rng = random.Random(11)
+    texts = {i: "|".join(rng.sample(words, 4)) for i in range(60)}
+    rows = [
+        (str(k), rng.randint(1, 8), i, rng.randint(1, 10) / 2, texts[i], f"T{i} (1990)", 0)
+        for k, i in enumerate(rng.randrange(60) for _ in range(400))
+    ]
+    spec = Spec("shrunk", 1.75, 5.0, tuple(Stage(w, w, float(n % 7)) for n, w in enumerate(words)))
+    train, items = frames(spark, rows)
+    model = M.fit(train, items, [spec])
+    *_, left = reference_fit(rows, spec)
+    got = {r["rating_key"]: r["residual"] for r in M.fitted(train, model, "shrunk").collect()}
+    assert len(got) == 400 and all(close(got[r[0]], e) for r, e in zip(rows, left))
+
+
 def test_specs_of_one_fit_must_share_tags(spark):
     with pytest.raises(ValueError):
         fit(spark, FIXTURE, [DRAMA, SHRUNK])

@@ -32,12 +32,12 @@ def test_tag_test_is_by_substring_and_case(spark):
     assert one(spark, X.has_tag("t", "war"), t="Sci-Fi|War") is False
 
 
-def test_mask_has_one_bit_per_token(spark):
+def test_hits_are_the_places_of_the_tokens(spark):
     tokens = ["Drama", "War", "it's", "a\\b"]
-    assert one(spark, X.tag_mask("t", tokens), t="War|Drama") == 3
-    assert one(spark, X.tag_mask("t", tokens), t="it's|a\\b") == 12
-    assert one(spark, X.tag_mask("t", tokens), t="none") == 0
-    assert one(spark, X.tag_mask("t", tokens), t=None) is None
+    assert one(spark, X.token_hits("t", tokens), t="War|Drama") == [0, 1]
+    assert one(spark, X.token_hits("t", tokens), t="it's|a\\b") == [2, 3]
+    assert one(spark, X.token_hits("t", tokens), t="none") == []
+    assert one(spark, X.token_hits("t", tokens), t=None) is None
 
 
 def test_dates_are_utc(spark):
@@ -66,12 +66,6 @@ def test_whole_weeks(spark):
     assert one(spark, X.whole_weeks(start, end), x=1) == 2
 
 
-def test_unknown_condition_stays_unknown(spark):
-    c = F.lit(None).cast("boolean")
-    assert one(spark, X.if_known(c, F.lit(1), F.lit(0)), x=1) is None
-    assert one(spark, X.if_known(F.lit(False), F.lit(1), F.lit(0)), x=1) == 0
-
-
 def test_bad_number_is_null(spark):
     assert one(spark, X.number("t"), t="x1") is None
     assert one(spark, X.number("t"), t="1.5") == 1.5
