@@ -1,60 +1,103 @@
 """Nearest-neighbour smoothing of a group curve, and the choice of k by bootstrap.
 
-A group is one release year, written with four digits, so there are at most 10 000 groups however
-many ratings stand behind them.  That bound is what allows one array of all groups to go to each
-query group.
+The exact neighbours are found without comparing all groups with all.  Groups are sorted along a Z-order
+curve, which keeps groups that are close in all features together, and cut into blocks of ``2 k``; the k-th
+nearest inside its own block bounds how far a group must look.  The bound, rounded up to a power of two, is the width of a grid; a group meets the points of the few cells
+within its bound, those are ranked by their true distance, and all ties of the k-th are kept.  A group
+whose block has fewer than k points looks at all points.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from residua.operators.ranks import hash_number
+from residua.operators.ranks import hash_number, numbered
+from residua.session import stored
 
 FEATURES = ("year", "n")
 K_GRID = tuple(range(1, 52, 2))  # fixed values: 1, 3, ..., 51
 RESAMPLES = 25  # fixed value
 
+UNBOUNDED = 1100  # 2 to this power is infinite, so its grid has one cell
+FINEST = -10
+CURVE_BITS = 40
+ROUNDING = 1 + 1e-9
 
-def _usable(groups: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    known = F.col(target).isNotNull()
-    for feature in features:
-        known = known & F.col(feature).isNotNull()
-    return groups.filter(known)
 
+def _known(features: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in features])
 
-def _points(features: Sequence[str], target: str) -> Column:
-    return F.struct(
-        *[F.col(f).cast("double").alias(f) for f in features], F.col(target).alias("value")
-    )
 
+def _on_curve(features: Sequence[str]) -> Column:
+    """The place on the Z-order curve: the bits of all features in turns.  It steers the search, not its result."""
+    most = F.lit(float(2 ** (CURVE_BITS - 1)))
+    shifted = [F.floor(F.greatest(-most, F.least(F.col(f).cast("double"), most - 1)) + most) for f in features]
+    bits = [F.lpad(F.bin(x), CURVE_BITS, "0") for x in shifted]
+    turns = [F.substring(b, i, 1) for i in range(1, CURVE_BITS + 1) for b in bits]
+    return F.concat(*turns)
 
-def _by_distance(points: Column, features: Sequence[str]) -> Column:
-    """``(d2, value)`` per point, nearest first."""
 
-    def squared(p: Column) -> Column:
-        parts = [(F.col(f).cast("double") - p[f]) for f in features]
-        total = parts[0] * parts[0]
-        for part in parts[1:]:
-            total = total + part * part
-        return total
+def _in_blocks(groups: DataFrame, features: Sequence[str], k: int) -> DataFrame:
+    """Adds ``__query``, a number per row, and ``__block``; consecutive rows on the curve share a block."""
+    curve = groups.withColumn("__curve", _on_curve(features))
+    placed = numbered(curve, ["__curve", *features], "__query").drop("__curve")
+    return placed.withColumn("__block", F.floor(F.col("__query") / (2 * k)))
+
+
+def _points(rows: DataFrame, features: Sequence[str], target: str, keys: Sequence[str]) -> DataFrame:
+    placed = [F.col(f).cast("double").alias(f"__p_{f}") for f in features]
+    return rows.filter(F.col(target).isNotNull()).select(*keys, *placed, F.col(target).alias("__value"))
 
-    return F.array_sort(
-        F.transform(points, lambda p: F.struct(squared(p).alias("d2"), p["value"].alias("value")))
-    )
 
+def _distance(features: Sequence[str]) -> Column:
+    """Squared distance of a query from a point."""
+    parts = [F.col(f).cast("double") - F.col(f"__p_{f}") for f in features]
+    return reduce(lambda a, b: a + b, [p * p for p in parts])
 
-def _nearest_mean(ordered: Column, k: Column) -> Column:
-    """Mean value of the k nearest points and of all others as near as the k-th."""
-    limit = ordered[F.least(k, F.size(ordered)) - 1]["d2"]
-    return F.aggregate(
-        F.filter(ordered, lambda p: p["d2"] <= limit),
-        F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
-        lambda a, p: F.struct((a["sum"] + p["value"]).alias("sum"), (a["n"] + 1).alias("n")),
-        lambda a: a["sum"] / a["n"],
+
+def _nearest(
+    queries: DataFrame, points: DataFrame, k: int, features: Sequence[str], within: Sequence[str] = ()
+) -> DataFrame:
+    """``queries`` with ``__value`` and ``__rank``: a row for each of the k nearest points and for all ties of the k-th.
+
+    ``queries`` has ``__query`` and, like ``points``, ``__block``; only points with the same ``within`` count.
+    """
+    near = queries.join(points, [*within, "__block"]).withColumn("__d2", _distance(features))
+    in_block = Window.partitionBy(*within, "__block", "__query").orderBy("__d2")
+    kth = near.withColumn("__rank", F.row_number().over(in_block)).filter(F.col("__rank") == k)
+    reach = kth.select(*within, "__query", (F.sqrt("__d2") * ROUNDING).alias("__reach"))
+    level = F.greatest(F.lit(FINEST), F.ceil(F.log2(F.nullif("__reach", F.lit(0.0)))).cast("int"))
+    bounded = stored(
+        queries.join(reach, [*within, "__query"], "left").withColumn(
+            "__level", F.when(F.col("__reach").isNull(), UNBOUNDED).otherwise(level)
+        ),
+        "knn-bounds",
+    )
+    # A level is an exponent of a double, so there are at most about a thousand.
+    levels = [row["__level"] for row in bounded.select("__level").distinct().collect()]
+    width = F.pow(F.lit(2.0), F.col("__level"))
+    cells = points.drop("__block").withColumn("__level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    asked = bounded
+    for f in features:
+        x = F.col(f).cast("double")
+        low, high = F.floor((x - F.col("__reach")) / width), F.floor((x + F.col("__reach")) / width)
+        bins = F.when(F.col("__reach").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(low, high))
+        asked = asked.withColumn(f"__bin_{f}", F.explode(bins))
+        cells = cells.withColumn(f"__bin_{f}", F.floor(F.col(f"__p_{f}") / width))
+    met = (
+        asked.join(cells, [*within, "__level", *[f"__bin_{f}" for f in features]])
+        .withColumn("__d2", _distance(features))
+        .filter(F.col("__reach").isNull() | (F.col("__d2") <= F.col("__reach") * F.col("__reach")))
+    )
+    by_distance = Window.partitionBy(*within, "__query").orderBy("__d2")
+    return (
+        met.withColumn("__rank", F.rank().over(by_distance))
+        .filter(F.col("__rank") <= k)
+        .select(*queries.columns, "__value", "__rank")
     )
 
 
@@ -66,17 +109,11 @@ def knn_smooth(
     A group with an unknown feature or target is no neighbour, and one with an unknown feature
     gets no ``knn``.
     """
-    points = _usable(groups, features, target).agg(
-        F.collect_list(_points(features, target)).alias("points")
-    )
-    known = F.col(features[0]).isNotNull()
-    for feature in features[1:]:
-        known = known & F.col(feature).isNotNull()
-    ordered = groups.withColumn("__points", points.scalar()).withColumn(
-        "__near", _by_distance(F.col("__points"), features)
-    )
-    smooth = F.when(known & (F.size("__near") > 0), _nearest_mean(F.col("__near"), F.lit(k)))
-    return ordered.withColumn("knn", smooth).drop("__points", "__near")
+    queries = _in_blocks(groups.filter(_known(features)), features, k)
+    points = _points(queries, features, target, ["__block"])
+    means = _nearest(queries, points, k, features).groupBy("__query").agg(F.avg("__value").alias("knn"))
+    smooth = queries.join(means, "__query", "left").select(*groups.columns, "knn")
+    return smooth.unionByName(groups.filter(~_known(features)).withColumn("knn", F.lit(None).cast("double")))
 
 
 def k_errors(
@@ -91,39 +128,28 @@ def k_errors(
     Draws are salted hashes, so the result is reproducible.  A group drawn twice counts as two
     neighbours.
     """
-    place = F.row_number().over(Window.orderBy(*features)) - 1
-    numbered = _usable(groups, features, target).select(
-        place.cast("bigint").alias("place"), *features, target
-    )
-    size = numbered.agg(F.count("*").alias("n")).scalar()
-    slots = numbered.select("place").withColumn(
+    most = max(grid)
+    usable = groups.filter(_known(features) & F.col(target).isNotNull()).select(*features, target)
+    placed = _in_blocks(numbered(usable, features, "place"), features, most)
+    size = placed.count()
+    slots = placed.select("place").withColumn(
         "resample", F.explode(F.sequence(F.lit(1), F.lit(resamples)))
     )
-    draws = slots.select(
-        "resample",
-        F.pmod(hash_number(F.concat_ws("|", F.lit("boot"), "resample", "place")), size).alias("place"),
+    number = hash_number(F.concat_ws("|", F.lit("boot"), "resample", "place"))
+    draws = slots.select("resample", F.pmod(number, F.lit(max(size, 1))).alias("place"))
+    bags = _points(draws.join(placed, "place"), features, target, ["resample", "__block"])
+    queries = slots.join(draws, ["resample", "place"], "left_anti").join(placed, "place")
+    near = _nearest(queries, bags, most, features, ["resample"])
+    guesses = near.groupBy("resample", "__query", target).agg(
+        *[F.avg(F.when(F.col("__rank") <= k, F.col("__value"))).alias(f"k_{k}") for k in grid]
     )
-    bags = (
-        draws.join(numbered, "place")
-        .groupBy("resample")
-        .agg(F.collect_list(_points(features, target)).alias("bag"))
+    errors = guesses.groupBy("resample").agg(
+        *[F.sqrt(F.avg(F.pow(F.col(f"k_{k}") - F.col(target), F.lit(2)))).alias(f"k_{k}") for k in grid]
     )
-    queries = (
-        slots.join(draws, ["resample", "place"], "left_anti").join(numbered, "place").join(bags, "resample")
-    )
-    # Only the points up to the k-th neighbour of the largest k can ever count.
-    near = queries.select("resample", target, _by_distance(F.col("bag"), features).alias("near"))
-    furthest = F.col("near")[F.least(F.lit(max(grid)), F.size("near")) - 1]["d2"]
-    cut = near.withColumn("near", F.filter("near", lambda p: p["d2"] <= furthest))
-    errors = cut.select(
-        "resample", target, "near", F.explode(F.array(*[F.lit(k) for k in grid])).alias("k")
-    ).select("resample", "k", (_nearest_mean(F.col("near"), F.col("k")) - F.col(target)).alias("e"))
-    return (
-        errors.groupBy("resample", "k")
-        .agg(F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"))
-        .groupBy("k")
-        .agg(F.avg("rmse").alias("rmse"))
+    means = errors.agg(
+        F.array(*[F.struct(F.lit(k).alias("k"), F.avg(f"k_{k}").alias("rmse")) for k in grid]).alias("tried")
     )
+    return means.select(F.inline("tried")).filter("rmse IS NOT NULL")
 
 
 def choose_k(groups: DataFrame, **settings) -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from residua.session import stored
+
 
 def hash_order(salt: str, *key: str | Column) -> Column:
     """32 lower-case hexadecimal digits."""
@@ -38,6 +40,20 @@ def running_count(groups: DataFrame, order: str, within: Sequence[str] = ()) ->
     )
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``df`` with its 0-based place in the given order, as column ``name``.
+
+    Rows are sorted over all tasks; what one task adds up is one row count per part.  Stored, so that rows that
+    are equal in the order keep their places.
+    """
+    parts = stored(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "sorted-parts")
+    sizes = running_count(parts.groupBy("__part").agg(F.count("*").alias("n")), "__part")
+    starts = sizes.select("__part", F.col("below").alias("__start"))
+    row = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    place = (F.col("__start") + row - 1).cast("bigint")
+    return stored(parts.join(starts, "__part").select(*df.columns, place.alias(name)), "numbered")
+
+
 def keys_at_ranks(keys: DataFrame, key: str, salt: str, ranks: DataFrame, rows: int) -> DataFrame:
     """Rows of ``keys`` at the 0-based ranks listed in column ``rank``; a small table of ranks.
 

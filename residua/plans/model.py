@@ -205,5 +205,6 @@ def year_effect(model: Model, name: str, k: int | None = None) -> DataFrame:
     """``(year, b, n, knn)``: the year curve smoothed over ``k`` neighbours, or the best ``k``."""
     groups = stored(year_residuals(model, name), "years")
     if k is None:
-        k = choose_k(groups).first()["k"]
+        best = choose_k(groups).first()
+        k = best["k"] if best else 1  # a lone group is always drawn, so no k has an error
     return knn_smooth(groups, k)

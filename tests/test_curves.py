@@ -1,3 +1,5 @@
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,28 @@ def test_smoothing_equals_brute_force(spark, features, k):
         assert abs(r["knn"] - plain_knn(points, r, k, features)) < 1e-12
 
 
+def test_unknown_target_is_smoothed_but_no_neighbour(spark):
+    rows = [(2000, None, 5), (2001, 2.0, 5), (2002, 4.0, 5), (2000, 7.0, 900)]
+    got = {(r["year"], r["n"]): r["knn"] for r in knn_smooth(spark.createDataFrame(rows, GROUPS), 1).collect()}
+    assert got == {(2000, 5): 2.0, (2001, 5): 2.0, (2002, 5): 4.0, (2000, 900): 7.0}
+    assert knn_smooth(spark.createDataFrame([], GROUPS), 3).collect() == []
+
+
+def test_smoothing_many_groups(spark):
+    """Skewed row counts, many equal ones, repeated groups."""
+    rng = np.random.default_rng(5)
+    year = rng.integers(0, 10_000, 50_000)
+    n = np.where(rng.random(50_000) < 0.3, 1, rng.pareto(1.0, 50_000) * 50).astype(int)
+    b = np.round(rng.normal(size=50_000), 6)
+    df = spark.createDataFrame(pd.DataFrame({"year": year, "b": b, "n": n}), "year int, b double, n bigint")
+    got = knn_smooth(df, 7).toPandas()
+    assert len(got) == 50_000 and got["knn"].notna().all()
+    for i in range(0, 50_000, 250):
+        d2 = (year - float(got["year"][i])) ** 2 + (n - float(got["n"][i])) ** 2
+        near = b[d2 <= np.partition(d2, 6)[6]]
+        assert abs(got["knn"][i] - near.mean()) < 1e-9
+
+
 def test_one_neighbour_returns_the_group_itself(spark):
     df = spark.createDataFrame([(1990, 0.1, 1), (1995, 0.2, 7), (2000, 0.3, 3)], GROUPS)
     assert all(r["knn"] == r["b"] for r in knn_smooth(df, 1).collect())
