@@ -7,8 +7,8 @@ each candidate is one more sum over keys.  Nothing is refitted and no rows are m
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import replace
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -170,31 +170,62 @@ def sweep_tag(
     return candidate_errors(keys, penalties)
 
 
-def tune(
+@dataclass(frozen=True)
+class Choice:
+    """The penalty chosen for one effect; at the edge of its grid a wider grid may do better."""
+
+    effect: str
+    penalty: float
+    rmse: float | None
+    at_edge: bool
+
+
+def tuned(
     train: DataFrame,
     test: DataFrame,
     features: DataFrame,
     mu: float,
     spec: Spec,
-    penalties: Sequence[float] = PENALTIES,
-) -> Spec:
+    penalties: Sequence[float] | Mapping[str, Sequence[float]] = PENALTIES,
+) -> tuple[Spec, list[Choice]]:
     """Chooses the penalty of each effect in turn, later ones given the earlier choices.
 
-    Rows are read for the item sweep and once more for the cells; every later sweep reads the
-    stored sums per user.
+    ``penalties`` is one grid for all effects or a grid per effect, by ``item``, ``user`` or the name of
+    the tag stage; effects without one get the default grid.  No penalty lies below 0, so 0 is no edge.
+    Rows are read for the item sweep and once more for the cells; every later sweep reads the stored
+    sums per user.
     """
+    choices: list[Choice] = []
+
+    def candidates(effect: str) -> Sequence[float]:
+        return penalties.get(effect, PENALTIES) if isinstance(penalties, Mapping) else penalties
 
-    def best(errors: DataFrame) -> float:
-        return best_penalty(errors).first()["penalty"]
+    def best(effect: str, errors: DataFrame) -> float:
+        found, tried = best_penalty(errors).first(), candidates(effect)
+        at_edge = found["penalty"] in (min(tried), max(tried)) and found["penalty"] != 0
+        choices.append(Choice(effect, found["penalty"], found["rmse"], at_edge))
+        return found["penalty"]
 
-    chosen = replace(spec, item_penalty=best(sweep_item(train, test, mu, penalties)))
+    chosen = replace(spec, item_penalty=best("item", sweep_item(train, test, mu, candidates("item"))))
     items = item_effect(train, features, mu, chosen.item_penalty)
     cell_rows = stored(tuning_cells(train, test, mu, items), "tuning-cells")
-    chosen = replace(chosen, user_penalty=best(sweep_user(cell_rows, penalties)))
+    chosen = replace(chosen, user_penalty=best("user", sweep_user(cell_rows, candidates("user"))))
     slots = stored(tuning_slots(cell_rows, spec.tokens), "tuning-slots")
-    for place in range(len(spec.stages)):
-        penalty = best(sweep_tag(slots, chosen, place, penalties))
+    for place, stage in enumerate(spec.stages):
+        penalty = best(stage.name, sweep_tag(slots, chosen, place, candidates(stage.name)))
         stages = list(chosen.stages)
         stages[place] = replace(stages[place], penalty=penalty)
         chosen = replace(chosen, stages=tuple(stages))
-    return chosen
+    return chosen, choices
+
+
+def tune(
+    train: DataFrame,
+    test: DataFrame,
+    features: DataFrame,
+    mu: float,
+    spec: Spec,
+    penalties: Sequence[float] | Mapping[str, Sequence[float]] = PENALTIES,
+) -> Spec:
+    """The spec with the penalties that ``tuned`` chooses."""
+    return tuned(train, test, features, mu, spec, penalties)[0]

@@ -324,3 +324,10 @@ def test_tune_reaches_every_effect(spark):
     tuned = tuning.tune(a, b, E.item_features(items, spec.tokens), 2.7, spec, [0.0, 5.0, 50.0])
     assert {tuned.item_penalty, tuned.user_penalty, *[s.penalty for s in tuned.stages]} <= {0.0, 5.0, 50.0}
     assert VIEW_SHRUNK.item_penalty == 1.75
+    grids = {"item": [1.75], "user": [0.0, 5.5, 11.0], STAGES[0].name.lower(): [62.0, 36.0]}
+    spec, choices = tuning.tuned(a, b, E.item_features(items, spec.tokens), 2.7, spec, grids)
+    assert [c.effect for c in choices] == ["item", "user", *[s.name for s in spec.stages]]
+    assert spec.item_penalty == 1.75 and choices[0].at_edge
+    assert spec.user_penalty in grids["user"] and choices[1].at_edge == (spec.user_penalty == 11.0)
+    assert spec.stages[0].penalty in (36.0, 62.0) and choices[2].at_edge
+    assert spec.stages[1].penalty in tuning.PENALTIES
