@@ -9,6 +9,7 @@
 3. Each shard becomes a flat graph: every node's candidates (its nearest ones, and all within the radius however
    many) are pruned robustly: the nearest stays and removes those that are ``ALPHA`` times nearer to it
    than to the node.  Pruned edges within the radius are not capped.
+   Nodes at distance 0 (scaled copies, float noise) take part as one, their first; it has edges to and from the others.
 4. Every node is searched for: greedily from the medoid, then from what that found and from the node's
    own edges the search expands over all nodes within twice the radius.  Pruned paths get nearer by
    a factor at each step, so each node within the radius is reached inside that ball.
@@ -43,6 +44,7 @@ SALT_ROWS = 20_000
 DEPTH = 4
 ALPHA = 1.05
 CANDIDATES, DEGREE = 32, 16
+SAME = 1e-14  # vectors that are no further from cosine 1 have distance 0, but for the rounding of doubles
 SLACK = 1e-6  # far above the rounding of a single-precision product of unit vectors
 AUDIT = 200
 BLOCK = 256  # rows pruned at once
@@ -129,29 +131,50 @@ class FlatGraph:
     """Robust-pruned neighbours of unit vectors: those of row i are ``edges[first[i]:first[i + 1]]``."""
 
     def __init__(self, points: np.ndarray, cosine: float):
-        self.near = (points @ points.T).astype(np.float32)
+        near = points @ points.T
+        np.fill_diagonal(near, -2.0)
+        leader = self.leaders(near >= 1.0 - SAME)
+        # distances are worked out in double precision: single cosines are all 1 below a distance of 3e-4
+        self.near, self.apart = near.astype(np.float32), distance(near).astype(np.float32)
         self.within = np.float32(cosine - SLACK)
         self.ball = np.float32(1.0 - (2.0 * distance(cosine)) ** 2 / 2.0 - SLACK)
-        np.fill_diagonal(self.near, -2.0)
         self.medoid = int((points @ points.mean(axis=0)).argmax())
-        blocks = [self.prune(np.arange(i, min(i + BLOCK, len(points)))) for i in range(0, len(points), BLOCK)]
-        rows, self.edges = np.concatenate(blocks, axis=1)
-        self.first = np.searchsorted(rows, np.arange(len(points) + 1))
+        alone = leader == np.arange(len(points))
+        self.heads, rest = np.flatnonzero(alone), np.flatnonzero(~alone)
+        blocks = [np.stack([rest, leader[rest]]), np.stack([leader[rest], rest])]
+        if len(self.heads) > 1:
+            blocks += [self.prune(self.heads[i : i + BLOCK]) for i in range(0, len(self.heads), BLOCK)]
+        rows, edges = np.concatenate(blocks, axis=1)
+        order = np.argsort(rows, kind="stable")
+        self.edges = edges[order]
+        self.first = np.searchsorted(rows[order], np.arange(len(points) + 1))
+
+    @staticmethod
+    def leaders(same: np.ndarray) -> np.ndarray:
+        """The first row of each row's group at distance 0; no two first rows are at distance 0."""
+        leader = np.arange(len(same))
+        for i in np.flatnonzero(same.any(axis=1)):
+            if leader[i] == i:
+                others = np.flatnonzero(same[i])
+                leader[others[(others > i) & (leader[others] == others)]] = i
+        return leader
 
     def candidates(self, rows: np.ndarray) -> np.ndarray:
-        """The nearest CANDIDATES of each row and all within the radius, nearest first."""
-        near = self.near[rows]
+        """The nearest CANDIDATES first rows of each row and all within the radius, nearest first."""
+        whole = len(self.heads) == len(self.near)
+        apart = self.apart[rows] if whole else self.apart[np.ix_(rows, self.heads)]
+        near = self.near[rows] if whole else self.near[np.ix_(rows, self.heads)]
         inside = int((near >= self.within).sum(axis=1).max(initial=0))
         n = min(near.shape[1] - 1, max(CANDIDATES, inside))
-        found = np.argpartition(-near, n - 1, axis=1)[:, :n]
-        order = np.argsort(-np.take_along_axis(near, found, axis=1), axis=1, kind="stable")
-        return np.take_along_axis(found, order, axis=1)
+        found = np.argpartition(apart, n - 1, axis=1)[:, :n]
+        order = np.argsort(np.take_along_axis(apart, found, axis=1), axis=1, kind="stable")
+        return self.heads[np.take_along_axis(found, order, axis=1)]
 
     def prune(self, rows: np.ndarray) -> np.ndarray:
         """Edges (from, to) of the rows.  Each step takes the nearest candidate left and drops those it stands for."""
         found = self.candidates(rows)
-        value = np.take_along_axis(self.near[rows], found, axis=1)
-        away, inside = distance(value), value >= self.within
+        away = np.take_along_axis(self.apart[rows], found, axis=1)
+        inside = np.take_along_axis(self.near[rows], found, axis=1) >= self.within
         alive = np.ones(found.shape, bool)
         chosen_rows, chosen, steps = [], [], 0
         while True:
@@ -169,15 +192,13 @@ class FlatGraph:
             one = found[np.arange(len(rows)), pick]
             chosen_rows.append(rows)
             chosen.append(one)
-            between = distance(self.near[one[:, None], found])
+            between = self.apart[one[:, None], found]
             alive &= ALPHA * between > away
             alive[np.arange(len(rows)), pick] = False
             steps += 1
             if steps >= DEGREE:
                 alive &= inside  # only edges within the radius go on
-        source, target = np.concatenate(chosen_rows), np.concatenate(chosen)
-        order = np.argsort(source, kind="stable")
-        return np.stack([source[order], target[order]])
+        return np.stack([np.concatenate(chosen_rows), np.concatenate(chosen)])
 
     def neighbours(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each place of ``at`` all neighbours of that row: (place, neighbour)."""

@@ -257,6 +257,32 @@ def test_vector_graph_and_audit(spark):
     assert true > 100 and got >= 0.99 * true
 
 
+@pytest.mark.parametrize("size", [4, 50, 500])
+@pytest.mark.parametrize("kind", ["scaled", "noisy", "both"])
+def test_groups_of_almost_identical_vectors_lose_no_link(kind, size):
+    rng = np.random.default_rng(size)
+    x = rng.normal(size=(700, 24))
+    x[:size] = x[0] * (np.arange(1, size + 1)[:, None] if kind != "noisy" else 1.0)
+    if kind != "scaled":
+        x[1 : size // 2 + 1] += 1e-6 * rng.normal(size=(size // 2, 24))
+    x = x[rng.permutation(len(x))]
+    y = vector_graph.unit(x)
+    a, b = np.nonzero(np.triu(y @ y.T >= 0.95, 1))
+    found = vector_graph.FlatGraph(y, 0.95).links()
+    assert set(zip(a.tolist(), b.tolist())) == set(zip(*(f.tolist() for f in found))) and len(a) >= size * (size - 1) // 2
+
+
+def test_scaled_copies_have_exact_links(spark):
+    rng = np.random.default_rng(6)
+    rows = [(rng.normal(size=16) * 1.0).tolist() for _ in range(300)]
+    for n in (4, 50):
+        base = rng.normal(size=16)
+        rows += [(base * k).tolist() for k in range(1, n + 1)]
+    table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    found = vector_graph.near_vectors(table, shard_rows=120).toPandas().sort_values("vec_id")["n_links"].tolist()
+    assert found[300:304] == [3] * 4 and found[304:] == [49] * 50
+
+
 @pytest.mark.parametrize("factor", [1.0, 1.3])
 def test_vantage_point_trees(spark, factor):
     x = planted(np.random.default_rng(5), 1200)
