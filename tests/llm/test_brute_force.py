@@ -320,6 +320,21 @@ def test_main_text_by_template():
     assert wrapper.main_text(story, wrapper.induce([story] * 6)) == "T\n\nsame text"
 
 
+def test_only_attribute_names_and_whole_class_names_drop_an_element():
+    kept = [
+        '<p style="overflow:hidden">', '<p data-hidden="false">', '<p title="hidden costs">', '<h2 id="cookies">', '<p id=comments>',
+        '<section id="related-work">', '<p class="legal-text">', '<p class="a social-enabled">', "<p data-class='ad'>",
+    ]
+    for start in ("<article>", '<article style="overflow:hidden">', '<main class="post social-enabled">', '<article class="related">'):
+        page = "<body>" + start + "".join(f"{tag}text {i}</{tag[1:].split()[0]}>" for i, tag in enumerate(kept))
+        page += '<p>a <a href="/hidden-gems">link</a> <span class="search-term">term</span> <i id=share>x</i></p>'
+        want = [f"text {i}" for i in range(len(kept))] + ["a link term x"]
+        assert wrapper.main_text(page).split("\n\n") == want
+    gone = ["hidden", 'aria-hidden="true"', "hidden=until-found", 'class="x site-footer"', "class=cookie-notice", "role=banner", "id=comments"]
+    page = "<article><p>text</p>" + "".join(f"<div {g}>gone <b>now</b></div>" for g in gone) + "<span class=ad>gone</span></article>"
+    assert wrapper.main_text(page) == "text"
+
+
 def test_main_text_of_the_pages(spark, folder):
     found = QUERIES["op8_main_texts"](spark, folder).toPandas()
     assert len(found) == 50 and (found["n_chars"] == found["text"].map(len)).all() and (found["n_chars"] > 0).all()
