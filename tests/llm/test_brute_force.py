@@ -335,6 +335,28 @@ def test_only_attribute_names_and_whole_class_names_drop_an_element():
     assert wrapper.main_text(page) == "text"
 
 
+def test_repeated_boxes_inside_an_article_are_template():
+    page = (
+        "<nav>x</nav><article><h1>T{0}</h1><p>Own text of page {0}, which is longer than the box</p><div class=c9>Follow us</div>"
+        "{1}<p>More of {0}</p></article>"
+    )
+    pages = [page.format(i, "<p>extra</p>" * (i % 3)) for i in range(10, 17)]
+    saved = wrapper.induce(pages[:6])
+    for i, html in enumerate(pages, 10):  # the last one was not drawn
+        want = [f"T{i}", f"Own text of page {i}, which is longer than the box", *["extra"] * (i % 3), f"More of {i}"]
+        assert wrapper.main_text(html, saved).split("\n\n") == want
+    copies = [f"<p>{i}</p>" + pages[0] for i in range(6)]  # one article on six pages
+    assert "Follow us" in wrapper.main_text(copies[0], wrapper.induce(copies))
+    dated = ["<article><h1>Title</h1><p>The same long text on all of them</p><p>%d</p></article>" % i for i in range(6)]
+    assert wrapper.main_text(dated[2], wrapper.induce(dated)) == "Title\n\nThe same long text on all of them\n\n2"
+
+
+def test_the_slot_of_the_template_is_used():
+    page = "<div><div><p>{0}</p><p>{0}</p></div><div><p>{1}</p></div></div>"
+    saved = wrapper.induce([page.format(f"own words {i} " * 9, f"quote {i}") for i in range(6)])
+    assert wrapper.main_text(page.format("own words here", "a quote of many words"), saved) == "own words here\n\nown words here"
+
+
 def test_main_text_of_the_pages(spark, folder):
     found = QUERIES["op8_main_texts"](spark, folder).toPandas()
     assert len(found) == 50 and (found["n_chars"] == found["text"].map(len)).all() and (found["n_chars"] > 0).all()
