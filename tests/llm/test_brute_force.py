@@ -357,6 +357,17 @@ def test_the_slot_of_the_template_is_used():
     assert wrapper.main_text(page.format("own words here", "a quote of many words"), saved) == "own words here\n\nown words here"
 
 
+@pytest.mark.parametrize("tag", ["div", "blockquote", "section"])
+def test_deeply_nested_pages(tag):
+    pages = [f"<p>Menu</p>{f'<{tag}>' * 20_000}<p>text {i}" for i in range(4)]
+    pages += ["<body>" + "".join(f"<{tag}>line {k}" for k in range(20_000))]
+    saved = wrapper.induce(pages[:4])
+    assert wrapper.main_text(pages[3], saved) == "text 3"
+    assert wrapper.main_text(pages[4], saved).endswith("line 19999")
+    article = "<article>" + "".join(f"<{tag}>line {k}" for k in range(20_000))
+    assert wrapper.main_text(article, saved).split("\n\n") == [f"line {k}" for k in range(20_000)]
+
+
 def test_main_text_of_the_pages(spark, folder):
     found = QUERIES["op8_main_texts"](spark, folder).toPandas()
     assert len(found) == 50 and (found["n_chars"] == found["text"].map(len)).all() and (found["n_chars"] > 0).all()
