@@ -1,7 +1,8 @@
 """Near-duplicate documents: improved consistent weighted sampling over TF-IDF shingles, banded and verified.
 
 A document is the bag of its shingles: ``WIDTH`` consecutive words, or all its words if it has fewer.  A shingle weighs
-its count in the document times ln(documents / frequency).  Two documents are linked if the weighted Jaccard
+its count in the document times ln(documents / frequency), where texts with the same words count as one document, so
+that a large group of copies does not make its own shingles light.  Two documents are linked if the weighted Jaccard
 similarity of their bags, sum of minima over sum of maxima, is ``THRESHOLD`` or more; a class is what links connect.
 
 Frequencies are kept in a table of ``COUNTERS`` counters that every shingle of every document is hashed into: a count
@@ -49,6 +50,16 @@ TEXTS = 1000  # pairs of texts handed over at once
 CHUNK = 400_000  # characters worked on at once
 
 
+def all_words(words, n: np.ndarray) -> np.ndarray:
+    """A hash of all words of each text, 0 for none; n: words per text."""
+    order = np.zeros(len(n), np.uint64)
+    if len(words.hash):
+        mixed = scramble(words.hash + scramble(np.arange(len(words.hash), dtype=np.uint64) - words.first[words.text].astype(np.uint64)))
+        full = np.flatnonzero(n)
+        order[full] = scramble(np.add.reduceat(mixed, words.first[full]))
+    return order
+
+
 def shingles(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, shingle, count) sorted by both, one row per different shingle of a text; and a hash of all words per text."""
     words = words_of(texts)
@@ -58,11 +69,7 @@ def shingles(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         whole = words.text[: len(words.text) - WIDTH + 1] == words.text[WIDTH - 1 :]
         at.append(words.text[: len(whole)][whole])
         bags.append(runs(words.hash, WIDTH)[whole])
-    order = np.zeros(len(n), np.uint64)
-    if len(words.hash):
-        mixed = scramble(words.hash + scramble(np.arange(len(words.hash), dtype=np.uint64) - words.first[words.text].astype(np.uint64)))
-        full = np.flatnonzero(n)
-        order[full] = scramble(np.add.reduceat(mixed, words.first[full]))
+    order = all_words(words, n)
     short = np.flatnonzero((n > 0) & (n < WIDTH))
     at.append(short)
     bags.append(order[short])
@@ -78,8 +85,22 @@ def bucket_of(bag: np.ndarray) -> np.ndarray:
     return (bag % np.uint64(COUNTERS)).astype(np.int64)
 
 
+def different(docs: DataFrame) -> DataFrame:
+    """(text) one text for each sequence of words."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for s in in_pieces(batch["text"], CHUNK):
+                texts = list(batch["text"][s])
+                words = words_of(texts)
+                yield pd.DataFrame({"words": all_words(words, np.diff(words.first)).view(np.int64), "text": texts})
+
+    named = docs.select("text").where("text IS NOT NULL").mapInPandas(of, "words long, text string")
+    return named.groupBy("words").agg(F.min("text").alias("text")).select("text")
+
+
 def frequencies(docs: DataFrame) -> np.ndarray:
-    """ln(documents / frequency) for every counter, from the whole text of every document."""
+    """ln(documents / frequency) for every counter, from the whole text of every different document."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(COUNTERS, np.int64)
@@ -93,7 +114,7 @@ def frequencies(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pd.DataFrame({"counter": np.append(at, -1).astype(np.int32), "n": np.append(total[at], texts)})
 
-    sums = docs.select("text").mapInPandas(counted, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    sums = different(docs).mapInPandas(counted, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     found = sums.toPandas()
     total = np.ones(COUNTERS)
     places = found["counter"] >= 0

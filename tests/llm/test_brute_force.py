@@ -138,6 +138,20 @@ def test_a_bucket_without_a_common_centre_loses_no_link(spark):
     assert {x for x, c in found.items() if c == 0} == seen
 
 
+def test_near_copies_of_a_text_that_fills_a_third_of_the_table(spark):
+    rng = np.random.default_rng(11)
+
+    def fresh(k):
+        return [f"w{i}" for i in rng.integers(0, 10**9, k)]
+
+    base = fresh(1000)
+    near = base[:500] + fresh(50) + base[550:]
+    texts = [" ".join(base)] * 100 + [" ".join(near)] + [" ".join(fresh(100)) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs).collect()}
+    assert found == {i: 0 if i <= 100 else i for i in range(301)}
+
+
 def test_repeated_passages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     words = {k: fold(t).split() for k, t in texts_of(folder).items()}
