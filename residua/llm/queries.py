@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from residua.llm import (
-    langid, licenses, minhash, mixing, packing, suffixes, token_counts, vector_graph, vptree, wrapper,
+    langid, licenses, minhash, mixing, packing, periodic, suffixes, token_counts, vector_graph, vptree, wrapper,
 )
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -73,6 +73,11 @@ def packed(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs.select("doc_id", packing.word_count(F.col("text")).alias("n_tokens")))
 
 
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return periodic.digests(periodic.periodic_runs(docs, rebuild=periodic.repeated_tail))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_vectors": near_vectors,
@@ -85,6 +90,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_main_texts": main_texts,
         "op9_neighbours": neighbours,
         "op10_packing": packed,
+        "op11_periodic_runs": periodic_runs,
     }
 
 
