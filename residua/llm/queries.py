@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from residua.llm import (
-    langid, licenses, minhash, mixing, packing, periodic, suffixes, token_counts, vector_graph, vptree, wrapper,
+    langid, licenses, minhash, mixing, packing, periodic, prefix_trie, suffixes, token_counts, vector_graph, vptree, wrapper,
 )
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -78,6 +78,11 @@ def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.digests(periodic.periodic_runs(docs, rebuild=periodic.repeated_tail))
 
 
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    paths = prefix_trie.with_lent_turns(prefix_trie.paths_of(table(spark, folder, "conversations")))
+    return prefix_trie.digests(*prefix_trie.prefix_trie(paths))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_vectors": near_vectors,
@@ -91,6 +96,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_neighbours": neighbours,
         "op10_packing": packed,
         "op11_periodic_runs": periodic_runs,
+        "op13_prefix_trie": conversation_trie,
     }
 
 
