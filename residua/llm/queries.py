@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from residua.llm import (
-    langid, licenses, minhash, mixing, packing, periodic, prefix_trie, suffixes, token_counts, vector_graph, vptree, wrapper,
+    langid, licenses, minhash, mixing, packing, periodic, prefix_trie, suffixes, token_counts, toxicity,
+    vector_graph, vptree, wrapper,
 )
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -78,6 +79,11 @@ def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.digests(periodic.periodic_runs(docs, rebuild=periodic.repeated_tail))
 
 
+def toxic_texts(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.toxicity(docs, labels, held_out="crc32(CAST(doc_id AS STRING)) % 5 = 0")[0]
+
+
 def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     paths = prefix_trie.with_lent_turns(prefix_trie.paths_of(table(spark, folder, "conversations")))
     return prefix_trie.digests(*prefix_trie.prefix_trie(paths))
@@ -96,6 +102,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_neighbours": neighbours,
         "op10_packing": packed,
         "op11_periodic_runs": periodic_runs,
+        "op12_toxicity": toxic_texts,
         "op13_prefix_trie": conversation_trie,
     }
 
