@@ -12,18 +12,28 @@ from residua.operators.ranks import running_count
 from residua.session import stored
 
 
+def in_value_parts(counts: DataFrame, value: str) -> DataFrame:
+    """``counts`` sorted by value over all tasks, with ``part``, and written once, so that the parts stay the same."""
+    return stored(counts.repartitionByRange(value).withColumn("part", F.spark_partition_id()), "value-parts")
+
+
 def quantiles(counts: DataFrame, value: str, probs: Sequence[float]) -> tuple[list[float], int]:
-    """The quantiles, interpolated between neighbours, and the row count; ``counts`` has ``value`` and ``n``.
+    """The quantiles, interpolated between neighbours, and the row count; ``counts`` has ``value`` and ``n``."""
+    return quantiles_of_parts(in_value_parts(counts.select(value, "n"), value), value, probs)
+
+
+def quantiles_of_parts(parts: DataFrame, value: str, probs: Sequence[float]) -> tuple[list[float], int]:
+    """The same from rows with ``value``, ``n`` and ``part``, where the parts follow one another in value.
 
-    The values are sorted over all tasks, and only the parts that hold a wanted rank are looked at closer.
+    What the driver adds up is one row count per part; only the parts that hold a wanted rank are looked at closer.
     """
-    counts = stored(counts.select(value, "n"), "value-counts")
-    rows = counts.agg(F.sum("n")).first()[0]
+    sizes = sorted((r["part"], r["n"]) for r in parts.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    rows = sum(n for _, n in sizes)
     if not rows:
         return [], 0
     positions = [(rows - 1) * p for p in probs]
     ranks = sorted({r for at in positions for r in (math.floor(at), math.ceil(at))})
-    at_rank = _at_ranks(counts, value, ranks)
+    at_rank = _at_ranks(parts, value, sizes, ranks)
 
     def between(at: float) -> float:
         low, high = math.floor(at), math.ceil(at)
@@ -34,24 +44,20 @@ def quantiles(counts: DataFrame, value: str, probs: Sequence[float]) -> tuple[li
     return [between(at) for at in positions], rows
 
 
-def _at_ranks(counts: DataFrame, value: str, ranks: list[int]) -> dict[int, float]:
+def _at_ranks(parts: DataFrame, value: str, sizes: list[tuple[int, int]], ranks: list[int]) -> dict[int, float]:
     """The value at each of a handful of 0-based ranks."""
-    # Written down, so that the parts stay the same in both looks at them.
-    parts = stored(
-        counts.repartitionByRange(value).withColumn("part", F.spark_partition_id()),
-        "value-parts",
-    )
-    wanted = F.array(*[F.lit(r).cast("bigint") for r in ranks])
-
-    def holding(groups: DataFrame) -> DataFrame:
-        inside = F.filter(wanted, lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n")))
-        return groups.withColumn("ranks", inside).filter(F.size("ranks") > 0)
-
-    per_part = running_count(parts.groupBy("part").agg(F.sum("n").alias("n")), "part")
-    near = holding(per_part).select("part", F.col("below").alias("start"))
-    in_part = Window.partitionBy("part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    counted = parts.join(near, "part").withColumn(
-        "below", F.col("start") + F.coalesce(F.sum("n").over(in_part), F.lit(0))
-    )
-    found = holding(counted).select(value, F.explode("ranks").alias("rank"))
-    return {row["rank"]: row[value] for row in found.collect()}
+    wanted, below = [], 0
+    for part, n in sizes:
+        inside = [r - below for r in ranks if below <= r < below + n]
+        wanted += [(part, r, r + below) for r in inside]
+        below += n
+    near = F.col("part").isin(sorted({part for part, _, _ in wanted}))
+    asked = F.array(*[F.struct(*[F.lit(x).cast("bigint").alias(name) for name, x in zip(("part", "at", "rank"), w)]) for w in wanted])
+    values = parts.filter(near).groupBy("part", value).agg(F.sum("n").alias("n"))
+    counted = running_count(values, value, ["part"])
+
+    def holds(w):
+        return (w["part"] == F.col("part")) & (w["at"] >= F.col("below")) & (w["at"] < F.col("below") + F.col("n"))
+
+    found = counted.select(value, F.explode(F.filter(asked, holds)).alias("w"))
+    return {row["rank"]: row[value] for row in found.select(value, "w.rank").collect()}

@@ -7,11 +7,13 @@ plain row expression: nothing is ranked, sorted or shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from residua.operators.quantiles import quantiles
 from residua.operators.ranks import hash_order, prefix_digits, running_count
@@ -155,6 +157,44 @@ def bernoulli_holdout(df: DataFrame, salt: str, fraction: float = 0.1, key: str
     return df.withColumn("held_out", F.substring(hash_order(salt, key), 1, 13) < limit)
 
 
+KEYS = ("item_id", "user_id")
+
+
+def key_counts(rows: DataFrame, place: Column, places: int, keys: Sequence[str] = KEYS) -> DataFrame:
+    """``(kind, key, n_0, n_1, ...)``: per key how many of its rows are in each place; ``kind`` says which key it is.
+
+    One pass over the rows for all keys, summed up before anything is shuffled.
+    """
+    kind = key_type(rows, keys)
+    either = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(k).cast(kind).alias("key")) for i, k in enumerate(keys)])
+    counts = [F.count_if(F.col("place") == i).alias(f"n_{i}") for i in range(places)]
+    return rows.select(place.alias("place"), F.inline(either)).groupBy("kind", "key").agg(*counts)
+
+
+def key_type(rows: DataFrame, keys: Sequence[str]) -> str:
+    """A type that tells all keys apart."""
+    whole = all(isinstance(rows.schema[k].dataType, T.IntegralType) for k in keys)
+    return "bigint" if whole else "string"
+
+
+def lost_keys(held: str, train: Sequence[str]) -> Column:
+    """Over key counts: keys of rows in place ``held`` that no row of the ``train`` places has; no row knows a null key."""
+    known = reduce(lambda a, b: a + b, [F.col(c) for c in train])
+    return (F.col(held) > 0) & (F.col("key").isNull() | (known == 0))
+
+
+def with_lost(rows: DataFrame, lost: DataFrame, name: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """``rows`` with a boolean column: has the row a key that is in ``lost``, or a null one?"""
+    columns, type_ = rows.columns, key_type(rows, keys)
+    unknown = F.lit(False)
+    for i, key in enumerate(keys):
+        kind = lost.filter((F.col("kind") == i) & F.col("key").isNotNull())
+        kind = kind.select(F.col("key").alias(f"__lost_{i}"))
+        rows = rows.join(kind, F.col(key).cast(type_) == F.col(f"__lost_{i}"), "left")
+        unknown = unknown | F.col(f"__lost_{i}").isNotNull() | F.col(key).isNull()
+    return rows.select(*columns, unknown.alias(name))
+
+
 def judged(
     train: DataFrame,
     held_out: DataFrame,
@@ -167,13 +207,11 @@ def judged(
     A held-out row is a test row only if its item and its user both occur among the train rows.
     The others go back to train, or are labelled rejected.
     """
-    rows = held_out
-    for key in (item, user):
-        known = train.select(key).distinct().withColumn(f"__known_{key}", F.lit(True))
-        rows = rows.join(known, key, "left")
-    both = F.col(f"__known_{item}").isNotNull() & F.col(f"__known_{user}").isNotNull()
-    fold = F.when(both, TEST).otherwise(TRAIN if return_rejected else REJECTED)
-    return rows.select(*held_out.columns, fold.alias("fold"))
+    keys = (item, user)
+    both = train.select(*keys, F.lit(0).alias("side")).unionByName(held_out.select(*keys, F.lit(1).alias("side")))
+    lost = key_counts(both, F.col("side"), 2, keys).filter(lost_keys("n_1", ["n_0"]))
+    fold = F.when(~F.col("__lost"), TEST).otherwise(TRAIN if return_rejected else REJECTED)
+    return with_lost(held_out, lost, "__lost", keys).select(*held_out.columns, fold.alias("fold"))
 
 
 def split(
@@ -186,16 +224,22 @@ def split(
 ) -> DataFrame:
     """Stratified hold-out and repair: ``df``, a stored table, with ``fold``.
 
-    The train rows are not written again: the mark is a comparison of the row's hash with a literal, so
-    they are ``df`` under a filter.  Only the held-out tenth is joined and stored.  (Where copies of
-    one row stand at a cutoff, some of them are held out and others not; then the mark is stored.)
+    Known keys come from one table of rows per key and side: a key is known in train if it has rows that are not
+    held out.  Usually no held-out row has an unknown key; then the fold is a comparison of the row's hash
+    with a literal and nothing is joined or written.  Else the held-out tenth is joined with the lost keys and stored.
+    (Where copies of one row stand at a cutoff, some of them are held out and others not; then the mark is stored.)
     """
     marked, plain = _marked(df, salt, fraction, target, key)
     if not plain:
         marked = stored(marked, f"{salt}-marked", ["held_out"])
+    counts = key_counts(marked, F.col("held_out").cast("int"), 2)
+    lost = stored(counts.filter(lost_keys("n_1", ["n_0"])), f"{salt}-lost")
+    if lost.isEmpty():
+        return marked.select(*df.columns, F.when(F.col("held_out"), TEST).otherwise(TRAIN).alias("fold"))
     train = marked.filter(~F.col("held_out")).drop("held_out")
-    held_out = marked.filter("held_out").drop("held_out")
-    verdict = stored(judged(train, held_out, return_rejected), f"{salt}-judged", ["fold"])
+    fold = F.when(~F.col("__lost"), TEST).otherwise(TRAIN if return_rejected else REJECTED)
+    held_out = with_lost(marked.filter("held_out").drop("held_out"), lost, "__lost")
+    verdict = stored(held_out.select(*df.columns, fold.alias("fold")), f"{salt}-judged", ["fold"])
     return train.withColumn("fold", F.lit(TRAIN)).unionByName(verdict)
 
 
@@ -238,11 +282,3 @@ class NestedSplit:
     @property
     def tune_test(self) -> DataFrame:
         return self._fold(self.tuning, TEST)
-
-
-def nested_split(df: DataFrame, fraction: float = 0.1) -> NestedSplit:
-    """Splits a stored table; every level writes its held-out rows only."""
-    outer = split(df, "outer", fraction, return_rejected=True)
-    inner = split(NestedSplit._fold(outer, TRAIN), "inner", fraction)
-    tuning = split(NestedSplit._fold(inner, TRAIN), "tuning", fraction)
-    return NestedSplit(outer, inner, tuning)

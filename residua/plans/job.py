@@ -9,7 +9,8 @@ from dataclasses import asdict, dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 
 from residua.operators.effects import global_mean, item_features, item_totals
-from residua.operators.split import NestedSplit, nested_split
+from residua.operators.nested import nested_split
+from residua.operators.split import NestedSplit
 from residua.plans import model as M
 from residua.plans import tuning
 from residua.session import stored

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from residua.operators.effects import item_features
 from residua.operators.knn import choose_k, knn_smooth
 from residua.operators.sampling import draw_with_replacement, panels
-from residua.operators.split import NestedSplit, nested_split
+from residua.operators.nested import nested_split
+from residua.operators.split import NestedSplit
 from residua.plans import explore, tuning
 from residua.plans import model as M
 from residua.session import stored

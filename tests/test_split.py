@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from residua.operators import split as S
+from residua.operators.nested import nested_split
 from residua.operators.joins import natural_anti_join, natural_left_join, with_known_keys
 from residua.operators.quantiles import quantiles
 from residua.operators.ranks import keys_at_ranks
@@ -102,7 +103,7 @@ def test_no_rows(spark):
 
 
 def test_nested_split_is_disjoint_complete_and_known(spark, rows):
-    s = S.nested_split(rows)
+    s = nested_split(rows)
     everything = rows.count()
     assert s.development.count() + s.validation.count() == everything
     assert s.outer.select("rating_key").distinct().count() == everything
