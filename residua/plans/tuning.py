@@ -7,10 +7,11 @@ each candidate is one more sum over keys.  Nothing is refitted and no rows are m
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from residua.functions.scalar import grid
@@ -19,6 +20,7 @@ from residua.session import stored
 from residua.specs import Spec
 
 PENALTIES = tuple(grid(0, 30))  # fixed values: 0, 1, ..., 30
+WRITTEN_EVERY = 4  # stages
 
 
 def candidate_errors(keys: DataFrame, penalties: Sequence[float]) -> DataFrame:
@@ -48,6 +50,40 @@ def candidate_errors(keys: DataFrame, penalties: Sequence[float]) -> DataFrame:
     )
 
 
+def _sums_by_rows(keys: DataFrame) -> list[Row]:
+    """What the errors of any grid follow from: sums over the keys with the same number of train rows.
+
+    With N train rows there are at most sqrt(2 N) such numbers, so the driver can take them.
+    """
+    return (
+        keys.groupBy(F.coalesce("n", F.lit(0)).alias("n"))
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.sum(F.col("fixed") + F.col("e2")).alias("fixed"),
+            F.expr("count_if(m > 0 AND (n > 0 AND left IS NOT NULL) IS NOT TRUE)").alias("unknown"),
+            F.sum(F.col("left") * F.col("e")).alias("le"),
+            F.sum(F.col("m") * F.col("left") * F.col("left")).alias("mll"),
+        )
+        .collect()
+    )
+
+
+def _best_of_sums(sums: Sequence[Row], penalties: Sequence[float]) -> tuple[float, float | None]:
+    """The penalty with the lowest error and that error; the lower penalty if two are equal."""
+    rows = sum(r["rows"] or 0 for r in sums)
+    if not rows or any(r["unknown"] for r in sums):
+        return float(min(penalties)), None
+    fixed = math.fsum(r["fixed"] or 0.0 for r in sums)
+    tagged = [(r["n"], r["le"] or 0.0, r["mll"] or 0.0) for r in sums if r["n"] > 0]
+
+    def rmse(p: float) -> float:
+        moved = math.fsum(mll / (n + p) ** 2 - 2 * le / (n + p) for n, le, mll in tagged)
+        return math.sqrt(max(0.0, fixed + moved) / rows)
+
+    error, penalty = min((rmse(float(p)), float(p)) for p in penalties)
+    return penalty, error
+
+
 def best_penalty(errors: DataFrame) -> DataFrame:
     """One row: the lowest error, and the lower penalty if two are equal."""
     return errors.orderBy(F.asc_nulls_last("rmse"), "penalty").limit(1)
@@ -120,54 +156,103 @@ def tuning_slots(cell_rows: DataFrame, tokens: Sequence[str]) -> DataFrame:
     return E.slot_sums(cell_rows, tokens, ["left", "e", "e2", "lost"], ["n", "m"])
 
 
-def sweep_tag(
-    slots: DataFrame, spec: Spec, stage: int, penalties: Sequence[float] = PENALTIES
-) -> DataFrame:
-    """Errors of tag stage number ``stage`` of the spec, after the stages before it.
+# --- tag stages, one after another
+#
+# The state of a user is what the stages so far have left: per tag the sums of the train and held-out rows that have
+# it, and the squared error of all held-out rows.  Choosing a stage's penalty moves the sums of the tags that share
+# rows with it, once; nothing is solved again.
 
-    A held-out row whose user has no train row with the tag keeps its error.  One with unknown
-    tags makes the error unknown if its user has any tag effect so far.
+STATE = ["rows", "lost", "fixed", "some", "n", "m", "left", "e", "n_with", "m_with"]
+SWEPT = ["key_left", "key_n", "key_e", "key_m"]
+
+
+def tag_state(slots: DataFrame, spec: Spec) -> DataFrame:
+    """One row per user after the user effect, before any tag stage; arrays run over the tokens of the spec.
+
+    ``n_with`` and ``m_with`` split the rows of a tag by the other tags, NULL for a tag without rows.
     """
-    tokens = spec.tokens
-    this = tokens.index(spec.stages[stage].token)
     whole = F.col("slots")[E.ALL_ROWS]
-    b_u, before = F.col("b_u"), F.col("before")
-    solved = (
-        slots.select("slots", whole.alias("whole"), F.col("slots")[this].alias("tagged"))
-        .withColumn("b_u", E.shrunken(F.col("whole.left"), F.col("whole.n"), spec.user_penalty))
-        .withColumn("before", E.staged(F.col("slots"), "left", b_u, spec.stages[:stage], tokens))
+    placed = slots.select(whole.alias("whole"), F.transform(F.sequence(F.lit(0), F.lit(len(spec.tokens) - 1)), lambda i: F.col("slots")[i]).alias("s"))
+    b_u = E.shrunken(F.col("whole.left"), F.col("whole.n"), spec.user_penalty)
+    placed = placed.withColumn("b_u", b_u)
+    b_u = F.col("b_u")
+
+    def each(value: Callable[[Column], Column], empty: Column) -> Column:
+        return F.transform("s", lambda slot: F.coalesce(value(slot), empty))
+
+    return placed.select(
+        F.col("whole.m").alias("rows"),
+        F.col("whole.lost").alias("lost"),
+        (F.col("whole.e2") - 2 * b_u * F.col("whole.e") + F.col("whole.m") * b_u * b_u).alias("fixed"),
+        F.lit(False).alias("some"),
+        each(lambda slot: slot["n"], F.lit(0).cast("bigint")).alias("n"),
+        each(lambda slot: slot["m"], F.lit(0).cast("bigint")).alias("m"),
+        each(lambda slot: slot["left"] - slot["n"] * b_u, F.lit(0.0)).alias("left"),
+        each(lambda slot: slot["e"] - slot["m"] * b_u, F.lit(0.0)).alias("e"),
+        F.transform("s", lambda slot: slot["n_with"]).alias("n_with"),
+        F.transform("s", lambda slot: slot["m_with"]).alias("m_with"),
     )
 
-    def moved(total: Column, effect: Column) -> Column:
-        """The squared error after one more stage.
 
-        With all effects b it changes by b'Mb - 2 b'e, M counting the held-out rows per pair of
-        tags and e summing their errors per tag; this adds the share of one stage.
-        """
+def advanced(state: DataFrame, token: int, penalty: float) -> DataFrame:
+    """The state after the stage of that token with the penalty chosen for it."""
+    has_rows = F.get("n", F.lit(token)) > 0
+    b = F.when(has_rows, F.get("left", F.lit(token)) / (F.get("n", F.lit(token)) + F.lit(float(penalty))))
+    state = state.select(*STATE, b.alias("b"))
+
+    def moved(sums: str, shared: str) -> Column:
+        less = F.zip_with(sums, F.get(shared, F.lit(token)), lambda total, rows: total - rows * F.col("b"))
+        return F.when(F.col("b").isNotNull(), less).otherwise(F.col(sums)).alias(sums)
+
+    def others(shared: str) -> Column:
+        return F.transform(shared, lambda rows, i: F.when(i != token, rows)).alias(shared)
+
+    change = F.col("b") * (F.get("m", F.lit(token)) * F.col("b") - 2 * F.get("e", F.lit(token)))
+    return state.select(
+        "rows",
+        "lost",
+        (F.col("fixed") + F.coalesce(change, F.lit(0.0))).alias("fixed"),
+        (F.col("some") | has_rows).alias("some"),
+        "n",
+        "m",
+        moved("left", "n_with"),
+        moved("e", "m_with"),
+        others("n_with"),
+        others("m_with"),
+    )
 
-        def share(slot: Column) -> Column:
-            error = slot["e"] - slot["m"] * b_u
-            return effect["b"] * (E.already_taken(slot["m_with"], before) - 2 * error)
 
-        return total + F.coalesce(E.let(F.col("slots")[effect["slot"]], share), F.lit(0.0))
+def _with_key(state: DataFrame, token: int) -> DataFrame:
+    """The state and the key sums of one more stage, see ``candidate_errors``.
 
-    tagged = F.col("tagged")
-    after_user = F.col("whole.e2") - 2 * b_u * F.col("whole.e") + F.col("whole.m") * b_u * b_u
-    has_rows = F.coalesce(tagged["n"], F.lit(0)) > 0
-    some_effect = has_rows | F.exists(before, lambda effect: effect["b"].isNotNull())
-    lost = (F.col("whole.lost") > 0) & some_effect
-    left = tagged["left"] - tagged["n"] * b_u - E.already_taken(tagged["n_with"], before)
-    error = tagged["e"] - tagged["m"] * b_u - E.already_taken(tagged["m_with"], before)
-    keys = solved.select(
-        F.col("whole.m").alias("rows"),
-        F.aggregate(before, after_user, moved).alias("fixed"),
-        F.when(has_rows & ~lost, left).alias("left"),
-        tagged["n"].alias("n"),
-        F.when(has_rows, error).otherwise(0.0).alias("e"),
-        F.when(lost, F.col("whole.lost")).when(has_rows, tagged["m"]).otherwise(0).alias("m"),
-        F.lit(0.0).alias("e2"),
+    A held-out row whose user has no train row with the tag keeps its error.  One with unknown
+    tags makes the error unknown if its user has any tag effect so far.
+    """
+    n, m, left, e = [F.get(c, F.lit(token)) for c in ("n", "m", "left", "e")]
+    has_rows = n > 0
+    lost = (F.col("lost") > 0) & (has_rows | F.col("some"))
+    return state.select(
+        *STATE,
+        F.when(has_rows & ~lost, left).alias("key_left"),
+        n.alias("key_n"),
+        F.when(has_rows, e).otherwise(0.0).alias("key_e"),
+        F.when(lost, F.col("lost")).when(has_rows, m).otherwise(0).alias("key_m"),
     )
-    return candidate_errors(keys, penalties)
+
+
+def _keys(keyed: DataFrame) -> DataFrame:
+    named = [F.col(c).alias(c.removeprefix("key_")) for c in SWEPT]
+    return keyed.select("rows", "fixed", *named, F.lit(0.0).alias("e2"))
+
+
+def sweep_tag(
+    slots: DataFrame, spec: Spec, stage: int, penalties: Sequence[float] = PENALTIES
+) -> DataFrame:
+    """Errors of tag stage number ``stage`` of the spec, after the stages before it."""
+    tokens, state = spec.tokens, tag_state(slots, spec)
+    for before in spec.stages[:stage]:
+        state = advanced(state, tokens.index(before.token), before.penalty)
+    return candidate_errors(_keys(_with_key(state, tokens.index(spec.stages[stage].token))), penalties)
 
 
 @dataclass(frozen=True)
@@ -192,31 +277,38 @@ def tuned(
 
     ``penalties`` is one grid for all effects or a grid per effect, by ``item``, ``user`` or the name of
     the tag stage; effects without one get the default grid.  No penalty lies below 0, so 0 is no edge.
-    Rows are read for the item sweep and once more for the cells; every later sweep reads the stored
-    sums per user.
+    Rows are read for the item sweep and once more for the cells.  The tag sweeps carry a state per user, which each
+    chosen penalty moves once; it is written after every few stages, so that no stage is worked out more than those few times.
     """
     choices: list[Choice] = []
 
     def candidates(effect: str) -> Sequence[float]:
         return penalties.get(effect, PENALTIES) if isinstance(penalties, Mapping) else penalties
 
+    def noted(effect: str, penalty: float, rmse: float | None) -> float:
+        tried = candidates(effect)
+        choices.append(Choice(effect, penalty, rmse, penalty in (min(tried), max(tried)) and penalty != 0))
+        return penalty
+
     def best(effect: str, errors: DataFrame) -> float:
-        found, tried = best_penalty(errors).first(), candidates(effect)
-        at_edge = found["penalty"] in (min(tried), max(tried)) and found["penalty"] != 0
-        choices.append(Choice(effect, found["penalty"], found["rmse"], at_edge))
-        return found["penalty"]
+        found = best_penalty(errors).first()
+        return noted(effect, found["penalty"], found["rmse"])
 
     chosen = replace(spec, item_penalty=best("item", sweep_item(train, test, mu, candidates("item"))))
     items = item_effect(train, features, mu, chosen.item_penalty)
     cell_rows = stored(tuning_cells(train, test, mu, items), "tuning-cells")
     chosen = replace(chosen, user_penalty=best("user", sweep_user(cell_rows, candidates("user"))))
-    slots = stored(tuning_slots(cell_rows, spec.tokens), "tuning-slots")
-    for place, stage in enumerate(spec.stages):
-        penalty = best(stage.name, sweep_tag(slots, chosen, place, candidates(stage.name)))
-        stages = list(chosen.stages)
-        stages[place] = replace(stages[place], penalty=penalty)
-        chosen = replace(chosen, stages=tuple(stages))
-    return chosen, choices
+    state = tag_state(tuning_slots(cell_rows, spec.tokens), chosen)
+    stages = []
+    for place, stage in enumerate(chosen.stages):
+        if place % WRITTEN_EVERY == 0:
+            state = stored(state, "tuning-state")
+        token = spec.tokens.index(stage.token)
+        sums = _sums_by_rows(_keys(_with_key(state, token)))
+        penalty = noted(stage.name, *_best_of_sums(sums, candidates(stage.name)))
+        stages.append(replace(stage, penalty=penalty))
+        state = advanced(state, token, penalty)
+    return replace(chosen, stages=tuple(stages)), choices
 
 
 def tune(
