@@ -11,9 +11,10 @@ pieces, and the pieces' expected counts, smoothed, give the next probabilities.
 only the model is fitted on it: every document is scored, and whole.  What reaches the driver is the
 piece table, at most pieces x languages numbers.
 
-A word is a run of letters, lower-cased, with the mark U+2581 before it; words over 40 letters are cut into parts
-of 40, each scored like a word, so that no product leaves the range of doubles.  A character that no piece
-covers has one small probability, the same for every language.
+A word is a run of letters, lower-cased, with the mark U+2581 before it, whatever its length.  A character that no piece
+covers has one small probability, the same for every language.  The forward pass works on probabilities times a
+constant for every character, and sets them back to about 1 every few characters of a long word, so
+that no product leaves the range of doubles.  (Only learning cuts words over 40 letters into parts of 40.)
 
 Null text, or text without a letter: ``und`` with score 0.  With nothing to learn from, every text is ``und``.
 A tie of two languages goes to the one first in alphabetical order.  Repeated rows give repeated results; a
@@ -46,14 +47,23 @@ SMOOTH = 0.05
 LOST = 1e-9  # probability of a character that no piece covers
 LONGEST = 40
 LONGEST_PIECE = 64
+SCALE = 1e4  # for every character; between the chance of a letter and that of a lost one
+SCALES = SCALE ** np.arange(LONGEST_PIECE + 1.0)
+RESET_EVERY = 16
+POSITIONS = 200_000  # of words worked on together
 BREAK = "\n"  # in no word and in no piece
 WORD = regex.compile(r"\p{L}+")
 CHUNK = 500_000
 REMEMBERED = 250_000
 
 
+def whole_words(text: str | None) -> list[str]:
+    return WORD.findall((text or "").lower())
+
+
 def word_list(text: str | None) -> list[str]:
-    found = WORD.findall((text or "").lower())
+    """Words to learn from: long ones in parts."""
+    found = whole_words(text)
     if max(map(len, found), default=0) <= LONGEST:
         return found
     return [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
@@ -91,15 +101,21 @@ class Lattice:
         self.steps = np.searchsorted(self.end, np.arange(self.longest + 2))
 
     def forward(self, chance: np.ndarray) -> np.ndarray:
-        """Summed probability of every beginning of every word; chance: pieces (last: lost) x languages."""
+        """Summed probability of every beginning of every word, times ``SCALE`` for each of its characters.
+
+        chance: pieces (last: lost) x languages.
+        """
         total = np.zeros((self.longest + 1, len(self.sizes), chance.shape[1]))
         total[0] = 1.0
         for e in range(1, self.longest + 1):
-            s = slice(self.steps[e], self.steps[e + 1])
-            add = total[self.start[s], self.word[s]] * chance[self.piece[s]]
-            self.add(total[e], self.word[s], add)
+            self.step(total, e, chance)
         return total
 
+    def step(self, total: np.ndarray, e: int, chance: np.ndarray) -> None:
+        s = slice(self.steps[e], self.steps[e + 1])
+        scale = SCALES[e - self.start[s]]
+        self.add(total[e], self.word[s], total[self.start[s], self.word[s]] * chance[self.piece[s]] * scale[:, None])
+
     @staticmethod
     def add(target: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
         """target[at] += values; equal places in ``at`` stand together."""
@@ -108,8 +124,24 @@ class Lattice:
             target[at[cut]] += np.add.reduceat(values, cut, axis=0)
 
     def log_chance(self, chance: np.ndarray) -> np.ndarray:
-        total = self.forward(chance)
-        return np.log(total[self.sizes, np.arange(len(self.sizes))])
+        """Log probability of every word by language; words of any length."""
+        if self.longest <= LONGEST + 1:
+            total = self.forward(chance)
+            return np.log(total[self.sizes, np.arange(len(self.sizes))]) - self.sizes[:, None] * np.log(SCALE)
+        total = np.zeros((self.longest + 1, len(self.sizes), chance.shape[1]))
+        total[0] = 1.0
+        lifted, result = np.zeros(total.shape[1:]), np.zeros(total.shape[1:])
+        ending = np.argsort(self.sizes, kind="stable")
+        ends = np.searchsorted(self.sizes[ending], np.arange(self.longest + 2))
+        for e in range(1, self.longest + 1):
+            self.step(total, e, chance)
+            done = ending[ends[e] : ends[e + 1]]
+            result[done] = np.log(total[e, done]) + lifted[done]
+            if e % RESET_EVERY == 0:
+                size = np.where(total[e] > 0, total[e], 1.0)
+                total[max(0, e - LONGEST_PIECE) : e + 1] /= size
+                lifted += np.log(size)
+        return result - self.sizes[:, None] * np.log(SCALE)
 
     def expected(self, chance: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected count of every piece; chance: one language's column; weight: copies of every word."""
@@ -119,8 +151,10 @@ class Lattice:
         whole = ahead[self.sizes, np.arange(len(self.sizes))]
         for e in range(self.longest, 0, -1):
             s = slice(self.steps[e], self.steps[e + 1])
-            np.add.at(behind, (self.start[s], self.word[s]), behind[e, self.word[s]] * chance[self.piece[s], 0])
-        share = ahead[self.start, self.word] * chance[self.piece, 0] * behind[self.end, self.word]
+            scaled = chance[self.piece[s], 0] * SCALES[e - self.start[s]]
+            np.add.at(behind, (self.start[s], self.word[s]), behind[e, self.word[s]] * scaled)
+        scaled = chance[self.piece, 0] * SCALES[self.end - self.start]
+        share = ahead[self.start, self.word] * scaled * behind[self.end, self.word]
         counts = np.zeros(len(chance))
         np.add.at(counts, self.piece, share / whole[self.word] * weight[self.word])
         return counts
@@ -206,12 +240,20 @@ class Scorer:
         self.table = np.zeros((0, len(self.langs)))
 
     def learn_words(self, new: list[str]) -> None:
-        parts = [lattice(new[i : i + 5000], self.path).log_chance(self.chance) for i in range(0, len(new), 5000)]
+        new = sorted(new, key=len)  # words of like length together
+        parts, at = [], 0
+        while at < len(new):
+            size = max(1, min(5000, POSITIONS // (len(new[at]) + 1)))
+            group = new[at : at + size]
+            while len(group) > 1 and len(group) * (len(group[-1]) + 1) > 2 * POSITIONS:
+                group = group[: len(group) // 2]
+            parts.append(lattice(group, self.path).log_chance(self.chance))
+            at += len(group)
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
         self.table = np.concatenate([self.table, *parts])
 
     def scores(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
-        lists = [word_list(t) for t in texts]
+        lists = [whole_words(t) for t in texts]
         if len(self.place) > REMEMBERED:
             self.forget()
         new = list(dict.fromkeys(w for words in lists for w in words if w not in self.place))

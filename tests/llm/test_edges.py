@@ -171,3 +171,50 @@ def test_pipeline_decisions(spark, odd):
     assert sorted(r["doc_id"] or -1 for r in one.collect()) == [-1, 1, 6, 8, 9]
     cut = by(corpus_pipeline.repeated_passages(spark, kept, ""))
     assert cut[7]["text"] == " end" and cut[7]["n_chars"] == 4 and cut[6]["n_chars"] == len(LONG)
+
+
+@pytest.mark.parametrize("letters", [36, 40, 400, 40_000])
+def test_long_words_without_pieces_have_a_score(spark, letters):
+    """Letters that no piece covers say nothing about the language, however many follow one another."""
+    from residua.llm import langid
+
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 20)]
+    learned = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, chance = langid.fitted(learned)
+    texts = ["the cat and the dog " + "ወ" * letters, "ወ" * letters, "ወ" * letters + " und die katze", "the cat and the dog"]
+    found = learned.sparkSession.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(1)
+    predict = langid.predictor(spark, langs, chance)
+    by_row = {r["i"]: r["p"] for r in found.select("i", predict("text").alias("p")).collect()}
+    assert all(p["score"] is not None and 0 <= p["score"] <= 1 for p in by_row.values())
+    assert [by_row[i]["lang_pred"] for i in (0, 2, 3)] == ["en", "de", "en"]
+    assert abs(by_row[0]["score"] - by_row[3]["score"]) < 1e-6 and by_row[0]["score"] > 0.9
+
+
+def test_long_words_sum_all_segmentations():
+    """With resets or without, the forward pass gives the same sums."""
+    import numpy as np
+
+    from residua.llm import langid
+
+    words = ["unbelievablywonderful" * 3, "x", "internationalisation" * 12, "ወa" * 90]
+    lattice = langid.lattice(words, langid.VOCABULARY)
+    size = langid.piece_table(langid.VOCABULARY)[1]
+    chance = langid.normalised(np.random.default_rng(1).random((size + 1, 2)) ** 8)
+    got = lattice.log_chance(chance)
+    for w, row in enumerate(got):
+        rows = np.flatnonzero(lattice.word == w)
+        for lang in (0, 1):
+            total = np.full(lattice.sizes[w] + 1, -np.inf)
+            total[0] = 0.0
+            for i in rows:  # ordered by end
+                step = total[lattice.start[i]] + np.log(chance[lattice.piece[i], lang])
+                total[lattice.end[i]] = np.logaddexp(total[lattice.end[i]], step)
+            assert abs(total[-1] - row[lang]) < 1e-6 * abs(total[-1])
+
+
+def test_rows_that_share_an_id_leave_the_least_text(spark):
+    rows = [(1, "b b b b b b", "en", "s", 11), (1, "a a a a a a", "en", "t", 11), (1, "c", "en", "u", 1), (2, "other words", "en", "s", 11)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string, source string, n_chars long")
+        kept = corpus_pipeline.near_duplicates(spark, docs, "")
+        assert sorted((r["doc_id"], r["text"], r["source"]) for r in kept.collect()) == [(1, "a a a a a a", "t"), (2, "other words", "s")]
