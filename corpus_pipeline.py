@@ -32,7 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; rows that share a doc_id are one document."""
+    """One document of each group of near copies; of rows that share a doc_id, the one with the least text stays."""
     workers_find_package(spark)
     found = minhash.near_duplicates(docs)
     gone = found.where("NOT keep").select("doc_id").distinct()
@@ -40,7 +40,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     again = stored(docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "again")
     if again.isEmpty():
         return left
-    once = left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("least"))
+    once = rows.select("doc_id", "least.*").select(*docs.columns)
     return left.join(again, "doc_id", "left_anti").select(*docs.columns).union(once)
 
 
