@@ -13,10 +13,12 @@ most 2^V patterns, over which all sums are exact.
 
 **Classifier.**  A logistic regression on the lexicon words, word beginnings, lexicon shares and votes of a
 text, trained on the posterior classes of about ``sample_docs`` documents (a documented bound, 30 000, drawn by
-a hash of the id among those whose labels may be learned from).  The lexicon keeps at most ``lexicon`` entries (the size
-of the classifier, 20 000), the surest first.  Everything else counts all documents, and every text is scored whole.
+a hash of the id among those whose labels may be learned from).  Its lexicon is fitted on about ``train_texts`` different
+labelled texts (60 000, drawn by a hash, the rarer class up to half of them) and keeps at most ``lexicon`` entries (the
+size of the classifier, 20 000), the surest first.  Votes, their patterns and the label model cover all documents,
+and every text is scored whole.
 
-Lexicons are counted over different texts, so that a large group of copies weighs as one.
+As lexicons are counted over different texts, a large group of copies weighs as one.
 Null and empty texts have no word and get the classifier's base score.  Without any label to learn from, only
 the public list and the patterns vote.  Documents without an id are scored, but nothing is learned from them.  Repeated rows
 give repeated results; several labels of one document count as their mean; null labels as none; other columns do not matter.
@@ -40,6 +42,7 @@ from residua.llm.words import in_pieces, utf8
 from residua.session import stored
 
 SAMPLE_DOCS = 30_000
+TRAIN_TEXTS = 60_000
 LEXICON = 20_000
 LEAST_TEXTS = 5  # toxic texts that a lexicon entry must stand in
 STRONG, MEDIUM = 3.0, 1.5  # least log ratio of a lexicon entry's shares
@@ -138,9 +141,20 @@ def lexicon_counts(texts: DataFrame) -> DataFrame:
     return listed.groupBy("entry").agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def learned_lexicon(texts: DataFrame, most: int) -> dict[str, float]:
-    """Entries that toxic texts use more, with the log ratio of their mean shares."""
-    sizes = {bool(r["toxic"]): r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def _drawn(heads: DataFrame, most: int) -> DataFrame:
+    """About ``most`` of the rows ``(id, same, toxic)``, at most half of them of one class, by a hash."""
+    counts = {r["toxic"]: r["n"] for r in heads.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    rare = min(counts.values(), default=0)
+    wanted = {toxic: max(most // 2, most - rare) if n > rare else most // 2 for toxic, n in counts.items()}
+    bound = F.lit(0.0)
+    for toxic, n in counts.items():
+        bound = F.when(F.col("toxic") == toxic, float((1 << 30) * wanted[toxic]) / n).otherwise(bound)
+    return heads.where(F.pmod(F.xxhash64("same", "id"), F.lit(1 << 30)) < bound)
+
+
+def learned_lexicon(texts: DataFrame, chosen: DataFrame, most: int) -> dict[str, float]:
+    """Entries that toxic texts use more, with the log ratio of their mean shares; ``chosen`` has a row per text."""
+    sizes = {bool(r["toxic"]): r["n"] for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(True) or not sizes.get(False):
         return {}
     toxic = (F.col("toxic_share") + 500) / F.lit(1000.0 * sizes[True])
@@ -415,6 +429,7 @@ def toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     sample_docs: int = SAMPLE_DOCS,
+    train_texts: int = TRAIN_TEXTS,
     lexicon: int = LEXICON,
 ) -> tuple[DataFrame, Toxicity]:
     """``(doc_id, held_out, score, predicted)`` per row, and the model.
@@ -430,13 +445,15 @@ def toxicity(
     )
     known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
     known = known.agg((F.avg(label_col) >= 0.5).alias("toxic"))
-    labelled = rows.where("learnable AND text IS NOT NULL").select("id", "text").join(known, "id")
-    # one row for each different text, whatever the number of its copies
-    same = F.sha2(F.col("text").cast("binary"), 256)
-    heads = labelled.groupBy(same.alias("same")).agg(F.min("id").alias("id"), F.avg(F.col("toxic").cast("int")).alias("share"))
-    firsts = stored(heads.select("id", "same", (F.col("share") >= 0.5).alias("toxic")), "toxic-firsts")
-    texts = rows.where("learnable AND text IS NOT NULL").select("id", "text").join(firsts, "id")
-    words = learned_lexicon(texts.where(same == F.col("same")).select("text", "toxic"), lexicon)
+    same = F.xxhash64("text").alias("same")
+    readable = rows.where("learnable AND text IS NOT NULL")
+    # one row for each different text, whatever the number of its copies; only ids and hashes are shuffled
+    heads = readable.select("id", same).join(known, "id").groupBy("same")
+    heads = heads.agg(F.min("id").alias("id"), (F.avg(F.col("toxic").cast("int")) >= 0.5).alias("toxic"))
+    chosen = stored(_drawn(stored(heads, "toxic-heads"), train_texts), "toxic-texts")
+    # at most about ``train_texts`` rows of 17 bytes: a megabyte by their bound, so the texts stay where they are
+    texts = readable.select("id", "text", same).join(F.broadcast(chosen), ["id", "same"]).select("text", "toxic")
+    words = learned_lexicon(texts, chosen, lexicon)
 
     seen = stored(read_all(rows, words), "toxic-features")
     given = known.select(F.col("id").cast("string").alias("id"), F.col("toxic").cast("int").alias("label"))
