@@ -1,24 +1,27 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host share a template.  From each host up to ``SAMPLES`` different pages are drawn by a hash of their
-html; their block trees are aligned with the first one's by simple tree matching, and a block whose text is the
-same in at least ``CONSTANT`` of the drawn pages (and in 3 or more) is part of the template.  Every
-page is then aligned with its host's template tree the same way; what matches a template block by place and
-text is template, the rest are slots, and the node in the place of the template's content is the content.
+Pages of one host share a template.  A host's pages are told apart by their kind, the set of sectioning elements they use
+(at most 2 ** 7 kinds a host); in each kind one page is the reference, and every page of the kind is aligned with it by
+simple tree matching (``tree_match``).  A block of the reference whose text is the same on at least ``CONSTANT`` of all
+different pages of the kind (and on 3 or more) is part of the template.  Every page is then aligned with its template
+the same way; what matches a template block by place and text is template, the rest are slots, and the node in the
+place of the template's content is the content.  A kind of fewer than 3 pages takes the template of the host's largest kind.
 
 A template says where the content is, not what the slots mean, so blocks that HTML itself marks as no content
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments, by element or by
-class, id or role: a whole name, all of whose words say so or name a plain container) go first.  Of what is left on the first drawn page, the ``article`` with the most text is the content, else ``main``,
-else the smallest element that holds most of the slots' text.  Inside an ``article`` or ``main`` a block is template if it is
-the same on enough drawn pages with different articles: copies of one article count once, and where template
-would be more than half of an article's text, the pages are near copies of it and all of it stays.
+class, id or role: a whole name, all of whose words say so or name a plain container) go first; an article's own
+``header`` goes, too.  A ``form`` around an ``article`` or ``main`` is a plain container.  Of what is left the ``article``
+elements are the content, all of them; else ``main``; else the smallest container that holds nine tenths of the slots' text,
+where no paragraph, heading or bare text stands beside it.  Mostly linked text counts as content in paragraphs and
+headings alone.  Inside an ``article`` or ``main`` a block is template if it is the same on enough pages with other
+articles: equal articles count once, and those of which more than half equals the reference's are its near copies and do not count.
 
 Text: character references decoded, white space in a block one space, blocks joined by an empty line.
 
 Null or empty html gives an empty text; html without any mark-up is one block.  A url without a host counts as host ''.
-Repeated rows give repeated results; pages that are copies of one another are one drawn page.  Other columns do not
-matter.  Drawing keeps one page per (host, salt) while it aggregates, so a host with most pages is no
-larger group than any other.
+Repeated rows give repeated results; pages that are copies of one another count once.  Other columns do not matter.
+What is counted are numbers of reference blocks, summed before they are shuffled; no page of a host moves for it, so a host
+with most pages is no larger group than any other.
 """
 
 from __future__ import annotations
@@ -32,14 +35,17 @@ from functools import lru_cache
 from html import unescape
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from residua.llm.tree_match import matched
 from residua.session import stored
 
-SAMPLES = 6
 CONSTANT = 0.8
 LEAST_PAGES = 3
+#: Elements that tell the kinds of pages of a host apart.
+SECTIONING = "article|main|section|aside|nav|header|footer"
 #: Fixed values of the HTML standard: elements without an end tag, with raw text, and inside a line.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "svg", "iframe", "xmp", "noembed"}
@@ -68,6 +74,8 @@ PLAIN = {
 }
 #: Their ids are places to link to inside an ``article`` or ``main``.
 ANCHORS = INLINE | {"h1", "h2", "h3", "h4", "h5", "h6", "p"}
+#: Their text counts for content even if most of it is a link.
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dd", "figcaption", "caption"}
 CLOSES = {  # an element that begins one of these ends an open one of those
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"},
@@ -142,7 +150,8 @@ def parse(html: str) -> Block:
         nonlocal linked
         text = " ".join(unescape("".join(run)).split())
         if text:
-            here().children.append(Block("", text, linked))
+            block = here()
+            block.children.append(Block("", text, 0 if block.tag in PROSE else linked))
         run.clear()
         linked = 0
 
@@ -239,79 +248,17 @@ def below_first(tree: Block) -> list[Block]:
 
 def pruned(tree: Block) -> Block:
     """Without what is no content, and without empty blocks."""
+    holders: set[int] = set()  # nodes with an article or main below
     for block in below_first(tree):
+        if any(id(c) in holders or c.tag in ("article", "main") and not c.dropped for c in block.children):
+            holders.add(id(block))
+            block.dropped = block.dropped and block.tag != "form"
+        if block.dropped:
+            holders.discard(id(block))
         block.children = [c for c in block.children if not c.dropped and (c.text or c.children)]
     return tree
 
 
-def simple(a: Block, b: Block) -> int:
-    """The match of two nodes of which one has no children."""
-    if a.tag != b.tag:
-        return 0
-    return 2 if not a.tag and a.text == b.text else 1
-
-
-def grown(a: Block, b: Block) -> bool:
-    """Whether the match of two nodes depends on their children."""
-    return a.tag == b.tag and bool(a.children) and bool(b.children)
-
-
-def aligned(a: Block, b: Block) -> dict[tuple[int, int], int]:
-    """Simple tree matching: the most nodes that an order-preserving match of two trees pairs; equal texts count double.
-
-    Of every two nodes with children that may be matched, by their ids; an explicit stack stands for the depth.
-    """
-    known: dict[tuple[int, int], int] = {}
-    pending = [(a, b)] if grown(a, b) else []
-    while pending:
-        x, y = pending[-1]
-        if (id(x), id(y)) in known:
-            pending.pop()
-            continue
-        ys = [d for d in y.children if d.children]
-        pairs = [(c, d) for c in x.children if c.children for d in ys if c.tag == d.tag and (id(c), id(d)) not in known]
-        if pairs:
-            pending += pairs
-        else:
-            known[id(x), id(y)] = 1 + table(x, y, known)[0][-1][-1]
-            pending.pop()
-    return known
-
-
-def table(a: Block, b: Block, known: dict[tuple[int, int], int]) -> tuple[list[list[int]], list[list[int]]]:
-    """Best matches of the first i and j children, and the match of each two children."""
-    pairs = [[known[id(x), id(y)] if grown(x, y) else simple(x, y) for y in b.children] for x in a.children]
-    best = [[0] * (len(b.children) + 1)]
-    for row in pairs:
-        last, now = best[-1], [0]
-        for j, w in enumerate(row):
-            now.append(max(now[-1], last[j + 1], last[j] + w if w else 0))
-        best.append(now)
-    return best, pairs
-
-
-def matched(a: Block, b: Block) -> Iterator[tuple[Block, Block]]:
-    """The pairs of nodes of a best simple tree matching."""
-    known = aligned(a, b)
-    pending = [(a, b)] if a.tag == b.tag else []
-    while pending:
-        a, b = pending.pop()
-        yield a, b
-        if not grown(a, b):
-            continue
-        best, pairs = table(a, b, known)
-        i, j = len(a.children), len(b.children)
-        while i and j:
-            w = pairs[i - 1][j - 1]
-            if w and best[i][j] == best[i - 1][j - 1] + w:
-                i, j = i - 1, j - 1
-                pending.append((a.children[i], b.children[j]))
-            elif best[i][j] == best[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-
-
 def parts(tree: Block) -> Iterator[tuple[Block, bool]]:
     """The nodes, each with whether it is inside an ``article`` or ``main``."""
     pending = [(tree, False)]
@@ -347,11 +294,11 @@ def every(tree: Block, tag: str) -> Iterator[Block]:
             pending += reversed(node.children)
 
 
-def chosen(tree: Block) -> Block:
-    """The element that holds the content: article, main, or the smallest with most of the slots' text."""
+def chosen(tree: Block) -> list[Block]:
+    """The elements that hold the content: articles, main, or the smallest container with most of the slots' text."""
     for tag in ("article", "main"):
         if found := list(every(tree, tag)):
-            return max(found, key=lambda x: sum(len(leaf.text) for leaf in x.leaves()))
+            return found
     weights: dict[int, int] = {}
     for node in below_first(tree):
         own = 0 if node.tag else own_text(node)
@@ -359,36 +306,62 @@ def chosen(tree: Block) -> Block:
     at = tree
     while whole := weights[id(at)]:
         heavy = max(at.children, key=lambda x: weights[id(x)], default=at)
-        if not heavy.children or 10 * weights[id(heavy)] < 9 * whole:
+        beside = any(weights[id(c)] and (not c.tag or c.tag in PROSE) for c in at.children if c is not heavy)
+        if not heavy.children or beside or 10 * weights[id(heavy)] < 9 * whole:
             break
         at = heavy
-    return at
+    return [at]
 
 
-def induce(pages: list[str]) -> str:
-    """The template of a host, as JSON: the first page's tree with its constant text runs and its slot marked."""
-    trees = [pruned(parse(p)) for p in pages]
-    first, stories = trees[0], {story(trees[0])}
-    same: dict[int, int] = {}
-    other_story: dict[int, int] = {}
-    for other in trees[1:]:
-        new = story(other) not in stories
-        stories.add(story(other))
-        for a, b in matched(first, other):
-            equal = not a.tag and a.text == b.text
-            same[id(a)] = same.get(id(a), 1) + equal
-            other_story[id(a)] = other_story.get(id(a), 1) + (equal and new)
-    for node, inside in parts(first):
-        count, of = (other_story, len(stories)) if inside else (same, len(trees))
-        node.constant = not node.tag and count.get(id(node), 1) >= max(LEAST_PAGES, CONSTANT * of)
-    slot = chosen(first)
+@lru_cache(maxsize=64)
+def reference(html: str) -> tuple[Block, dict[int, tuple[int, bool]]]:
+    """A page's tree, and for each node its number in page order and whether it is inside an ``article`` or ``main``."""
+    tree = pruned(parse(html))
+    return tree, {id(node): (k, inside) for k, (node, inside) in enumerate(parts(tree))}
 
+
+def agreement(first: str, html: str) -> tuple[int, list[int], list[int]]:
+    """The numbers of the first page's text runs that the other page has in the same places.
+
+    (article, outside, inside): a hash of the other's article; the runs outside and inside of it.  Article 0 is
+    none, or one of which more than half equals the first page's; it has no runs inside.
+    """
+    tree, numbers = reference(first)
+    other = pruned(parse(html))
+    outside, inside, equal = [], [], 0
+    for a, b in matched(tree, other):
+        if not a.tag and a.text == b.text:
+            number, within = numbers[id(a)]
+            (inside if within else outside).append(number)
+            equal += within * len(a.text)
+    texts = story(other)
+    if 2 * equal >= sum(map(len, texts)):
+        return 0, sorted(outside), []
+    return xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "surrogatepass")) >> 1 | 1, sorted(outside), sorted(inside)
+
+
+def saved_template(first: str, constant: set[int]) -> str:
+    """The first page's tree with its constant text runs and its slots marked, as JSON."""
+    tree = pruned(parse(first))
+    nodes = list(parts(tree))
+    for k, (node, _) in enumerate(nodes):
+        node.constant = k in constant
+    slots = {id(node) for node in chosen(tree)}
     # in page order, each with the number of its children
-    rows = [
-        [node.tag, node.text if node.constant else "", node.constant, node is slot, len(node.children)]
-        for node, _ in parts(first)
-    ]
-    return json.dumps(rows)
+    return json.dumps(
+        [[n.tag, n.text if n.constant else "", n.constant, id(n) in slots, len(n.children)] for n, _ in nodes]
+    )
+
+
+def induce(pages: list[str]) -> str:
+    """The template of a few pages, the first of which is the reference; ``wrappers`` makes those of whole tables."""
+    found = [agreement(pages[0], page) for page in dict.fromkeys(pages)]
+    outside = Counter(k for _, runs, _ in found for k in runs)
+    articles = {article: runs for article, _, runs in found if article}
+    inside = Counter(k for runs in articles.values() for k in runs)
+    constant = {k for k, n in outside.items() if n >= max(LEAST_PAGES, CONSTANT * len(found))}
+    constant |= {k for k, n in inside.items() if n + 1 >= max(LEAST_PAGES, CONSTANT * (len(articles) + 1))}
+    return saved_template(pages[0], constant)
 
 
 @lru_cache(maxsize=64)
@@ -408,8 +381,8 @@ def template(saved: str) -> Block:
 def content(tree: Block, saved: str | None) -> list[str]:
     """Texts of the content's blocks in page order.
 
-    The content is the node that stands in the template's slot; a page that has more elsewhere (a page of
-    another make than the drawn ones) is judged by itself.
+    The content is the page's articles or main; without any, the node that stands in the template's slot, with the
+    page's own container of most text if the slot holds less than half as much (a page of another make).
     """
     slot = None
     if saved:
@@ -417,14 +390,19 @@ def content(tree: Block, saved: str | None) -> list[str]:
             b.constant = a.constant and a.text == b.text
             slot = b if a.slot else slot
     best = chosen(tree)
-    if slot is None or 2 * weight(slot) < weight(best):
-        slot = best
-    leaves = list(slot.leaves())
-    if slot.tag in ("article", "main"):
-        rest = [leaf.text for leaf in leaves if not leaf.constant]
-        whole = [leaf.text for leaf in leaves]
-        return rest if 2 * sum(map(len, rest)) >= sum(map(len, whole)) else whole
-    return [leaf.text for leaf in leaves if own_text(leaf)]
+    if best[0].tag in ("article", "main"):
+        return [leaf.text for node in best for leaf in node.leaves() if not leaf.constant]
+    if slot is None or slot.tag in ("article", "main"):
+        slot = best[0]
+    wanted = {id(slot)} if 2 * weight(slot) >= weight(best[0]) else {id(slot), id(best[0])}
+    texts, pending = [], [(tree, False)]
+    while pending:
+        node, within = pending.pop()
+        within = within or id(node) in wanted
+        if within and not node.tag and own_text(node):
+            texts.append(node.text)
+        pending += [(child, within) for child in reversed(node.children)]
+    return texts
 
 
 def main_text(html: str | None, saved: str | None = None) -> str:
@@ -432,33 +410,67 @@ def main_text(html: str | None, saved: str | None = None) -> str:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, template) from (host, html) rows."""
+    """(host, kind, template) from (host, kind, html) rows, counted over all pages."""
+    key = ["host", "kind"]
     named = pages.where("html IS NOT NULL").withColumn("h", F.xxhash64("html"))
-    salted = named.groupBy("host", F.pmod("h", F.lit(SAMPLES)).alias("salt"))
-    drawn = salted.agg(F.min(F.struct("h", "html")).alias("page")).groupBy("host")
-    drawn = drawn.agg(F.array_sort(F.collect_list("page")).alias("drawn")).select("host", "drawn.html")
+    # the least hash first, so that no aggregate sorts whole pages; both are written out, so that their size is known
+    least = stored(named.groupBy(*key).agg(F.min("h").alias("h")), "wrapper-least")
+    first = named.join(least, [*key, "h"]).groupBy(*key).agg(F.min("html").alias("first"))
+    first = stored(first, "wrapper-references")
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"host": batch["host"], "template": [induce(list(p)) for p in batch["html"]]})
+            found = [agreement(a, b) for a, b in zip(batch["first"], batch["html"])]
+            columns = dict(zip(("article", "outside", "inside"), zip(*found))) if found else {}
+            yield batch[[*key, "h"]].assign(**columns)
+
+    schema = "host string, kind long, h long, article long, outside array<int>, inside array<int>"
+    seen = stored(named.join(first, key).mapInPandas(of, schema), "wrapper-agreement")
+    each = seen.groupBy(*key, "h").agg(F.min(F.struct("article", "outside", "inside")).alias("s")).select(*key, "s.*")
+    articles = each.where("article <> 0").groupBy(*key, "article").agg(F.min("inside").alias("inside"))
+    # -1 and -2 stand on each page and each other article, and so count them
+    outside = each.select(*key, F.explode(F.concat("outside", F.array(F.lit(-1)))).alias("node"), F.lit(0).alias("own"))
+    inside = articles.select(*key, F.explode(F.concat("inside", F.array(F.lit(-2)))).alias("node"), F.lit(1).alias("own"))
+    counts = outside.union(inside).groupBy(*key, "node").agg((F.count("*") + F.max("own")).alias("n"), F.max("own").alias("own"))
+    counts = stored(counts, "wrapper-counts")
+    total = lambda node: F.max(F.when(F.col("node") == node, F.col("n")))
+    totals = counts.where("node < 0").groupBy(*key).agg(total(-1).alias("pages"), total(-2).alias("articles"))
+    share = CONSTANT * F.when(F.col("own") == 1, F.col("articles")).otherwise(F.col("pages"))
+    constant = counts.where("node >= 0").join(totals, key).where(F.col("n") >= F.greatest(F.lit(float(LEAST_PAGES)), share))
+    constant = constant.groupBy(*key).agg(F.collect_list("node").alias("nodes"))
+
+    def saved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [saved_template(f, set() if n is None else set(n)) for f, n in zip(batch["first"], batch["nodes"])]
+            yield batch[key].assign(template=texts)
 
-    return drawn.mapInPandas(of, "host string, template string")
+    made = first.join(constant, key, "left").mapInPandas(saved, "host string, kind long, template string")
+    made = stored(made, "wrapper-templates")
+    largest = totals.groupBy("host").agg(F.max(F.struct("pages", (-F.col("kind")).alias("kind"))).alias("top"))
+    use = totals.join(largest, "host").select(
+        "host",
+        F.col("kind").alias("of"),
+        F.when(F.col("pages") < LEAST_PAGES, -F.col("top.kind")).otherwise(F.col("kind")).alias("kind"),
+    )
+    return use.join(made, key).select("host", F.col("of").alias("kind"), "template")
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, host) of every page."""
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
-    rows = pages.select("page_id", "url", "html", host.alias("host"))
+    elements = F.regexp_extract_all("html", F.lit(rf"(?i)<({SECTIONING})\b"), 1)
+    kind = F.xxhash64(F.array_sort(F.array_distinct(F.transform(elements, F.lower)))).bitwiseAND(F.lit((1 << 62) - 1))
+    rows = pages.select("page_id", "url", "html", host.alias("host"), kind.alias("kind"))
     # written out, so that its size is known before the pages move, and the pages of one host can be split
-    templates = stored(wrappers(rows.select("host", "html")), "wrappers").withColumnRenamed("host", "of")
-    both = rows.join(templates, F.col("host") == F.col("of"), "left")
-    kind = rows.schema["page_id"].dataType.simpleString()
+    templates = stored(wrappers(rows.select("host", "kind", "html")), "wrappers")
+    both = rows.join(templates, ["host", "kind"], "left")
+    page_type = rows.schema["page_id"].dataType.simpleString()
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [main_text(h, s) for h, s in zip(batch["html"], batch["template"])]
             yield batch[["page_id", "url", "host"]].assign(text=texts, n_chars=[len(t) for t in texts])
 
-    schema = f"page_id {kind}, url string, host string, text string, n_chars long"
-    found = both.drop("of").mapInPandas(of, schema)
+    schema = f"page_id {page_type}, url string, host string, text string, n_chars long"
+    found = both.drop("kind").mapInPandas(of, schema)
     return found.select("page_id", "url", "text", "n_chars", "host")
