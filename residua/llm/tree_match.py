@@ -37,14 +37,21 @@ class Matching:
         self.common = {x.text for x in below_a if not x.tag} & {x.text for x in below_b if not x.tag}
         wholes: dict[tuple, int] = {}
         shapes: dict[tuple, int] = {}
+        whole, shape, size, most, shares = self.whole, self.shape, self.size, self.most, self.shares
         for node in below_a + below_b:
-            name, kids = id(node), [id(c) for c in node.children]
-            text = "" if node.tag else node.text
-            self.whole[name] = wholes.setdefault((node.tag, text, *(self.whole[c] for c in kids)), len(wholes))
-            self.shape[name] = shapes.setdefault((node.tag, *(self.shape[c] for c in kids)), len(shapes))
-            self.size[name] = 1 + sum(self.size[c] for c in kids)
-            self.most[name] = (1 if node.tag else 2) + sum(self.most[c] for c in kids)
-            self.shares[name] = not node.tag and node.text in self.common or any(self.shares[c] for c in kids)
+            name, tag = id(node), node.tag
+            if not node.children:
+                whole[name] = wholes.setdefault((tag, "" if tag else node.text), len(wholes))
+                shape[name] = shapes.setdefault((tag,), len(shapes))
+                size[name], most[name] = 1, 1 if tag else 2
+                shares[name] = not tag and node.text in self.common
+                continue
+            kids = [id(c) for c in node.children]
+            whole[name] = wholes.setdefault((tag, "", *[whole[c] for c in kids]), len(wholes))
+            shape[name] = shapes.setdefault((tag, *[shape[c] for c in kids]), len(shapes))
+            size[name] = 1 + sum([size[c] for c in kids])
+            most[name] = 1 + sum([most[c] for c in kids])
+            shares[name] = True in [shares[c] for c in kids]
 
     @staticmethod
     def _below_first(tree) -> list:

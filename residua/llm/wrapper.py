@@ -3,9 +3,10 @@
 Pages of one host share a template.  A host's pages are told apart by their kind, the set of sectioning elements they use
 (at most 2 ** 7 kinds a host); in each kind one page is the reference, and every page of the kind is aligned with it by
 simple tree matching (``tree_match``).  A block of the reference whose text is the same on at least ``CONSTANT`` of all
-different pages of the kind (and on 3 or more) is part of the template.  Every page is then aligned with its template
-the same way; what matches a template block by place and text is template, the rest are slots, and the node in the
-place of the template's content is the content.  A kind of fewer than 3 pages takes the template of the host's largest kind.
+different pages of the kind (and on 3 or more) is part of the template.  On each page what matches a template block
+by place and text is template, the rest are slots, and the node in the place of the template's content is the
+content.  A kind of fewer than 3 pages takes the reference and template of the host's largest kind.  A page is parsed and aligned
+once; its blocks are written out with the numbers of the reference's blocks.
 
 A template says where the content is, not what the slots mean, so blocks that HTML itself marks as no content
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments, by element or by
@@ -320,80 +321,83 @@ def reference(html: str) -> tuple[Block, dict[int, tuple[int, bool]]]:
     return tree, {id(node): (k, inside) for k, (node, inside) in enumerate(parts(tree))}
 
 
-def agreement(first: str, html: str) -> tuple[int, list[int], list[int]]:
-    """The numbers of the first page's text runs that the other page has in the same places.
+def agreement(first: str, html: str) -> tuple[int, list[int], list[int], str]:
+    """What a page has in common with the reference.
 
-    (article, outside, inside): a hash of the other's article; the runs outside and inside of it.  Article 0 is
-    none, or one of which more than half equals the first page's; it has no runs inside.
+    (article, outside, inside, blocks): a hash of the page's article; the numbers of the reference's text runs that the
+    page has in the same places, outside and inside of its article; the page's nodes as JSON.  Article 0 is none, or
+    one of which more than half equals the reference's; it has no runs inside.
     """
     tree, numbers = reference(first)
     other = pruned(parse(html))
     outside, inside, equal = [], [], 0
+    place: dict[int, int] = {}
     for a, b in matched(tree, other):
-        if not a.tag and a.text == b.text:
-            number, within = numbers[id(a)]
+        number, within = numbers[id(a)]
+        same = not a.tag and a.text == b.text
+        place[id(b)] = 2 * number + same
+        if same:
             (inside if within else outside).append(number)
             equal += within * len(a.text)
     texts = story(other)
+    # in page order, each with the number of its children, and twice the reference's number, plus 1 if the texts are equal
+    blocks = json.dumps([[n.tag, n.text, n.linked, len(n.children), place.get(id(n), -1)] for n, _ in parts(other)])
     if 2 * equal >= sum(map(len, texts)):
-        return 0, sorted(outside), []
-    return xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "surrogatepass")) >> 1 | 1, sorted(outside), sorted(inside)
+        return 0, sorted(outside), [], blocks
+    article = xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "surrogatepass")) >> 1 | 1
+    return article, sorted(outside), sorted(inside), blocks
 
 
-def saved_template(first: str, constant: set[int]) -> str:
-    """The first page's tree with its constant text runs and its slots marked, as JSON."""
-    tree = pruned(parse(first))
-    nodes = list(parts(tree))
-    for k, (node, _) in enumerate(nodes):
-        node.constant = k in constant
-    slots = {id(node) for node in chosen(tree)}
-    # in page order, each with the number of its children
-    return json.dumps(
-        [[n.tag, n.text if n.constant else "", n.constant, id(n) in slots, len(n.children)] for n, _ in nodes]
-    )
+def slots_of(first: str, constant: set[int]) -> list[int]:
+    """The numbers of the nodes that hold the reference's content, given its constant text runs."""
+    nodes = [n for n, _ in parts(pruned(parse(first)))]
+    for k in constant:
+        nodes[k].constant = True
+    slots = {id(n) for n in chosen(nodes[0])}
+    return [k for k, n in enumerate(nodes) if id(n) in slots]
+
+
+def rebuilt(blocks: str, constant: set[int], slots: set[int]) -> Block:
+    """The tree of a page's nodes, with constant text runs and slots marked."""
+    holder = Block("#")
+    pending = [[holder, 1]]  # nodes that lack children, and how many
+    for tag, text, linked, n, place in json.loads(blocks):
+        number = place >> 1
+        block = Block(tag, text, linked, constant=place & 1 == 1 and number in constant, slot=number in slots)
+        if place < 0:
+            block.constant = block.slot = False
+        last = pending[-1]
+        last[0].children.append(block)
+        last[1] -= 1
+        if not last[1]:
+            pending.pop()
+        if n:
+            pending.append([block, n])
+    return holder.children[0]
 
 
 def induce(pages: list[str]) -> str:
-    """The template of a few pages, the first of which is the reference; ``wrappers`` makes those of whole tables."""
+    """The template of a few pages, the first of which is the reference; ``page_texts`` makes those of whole tables."""
     found = [agreement(pages[0], page) for page in dict.fromkeys(pages)]
-    outside = Counter(k for _, runs, _ in found for k in runs)
-    articles = {article: runs for article, _, runs in found if article}
+    outside = Counter(k for _, runs, _, _ in found for k in runs)
+    articles = {article: runs for article, _, runs, _ in found if article}
     inside = Counter(k for runs in articles.values() for k in runs)
     constant = {k for k, n in outside.items() if n >= max(LEAST_PAGES, CONSTANT * len(found))}
     constant |= {k for k, n in inside.items() if n + 1 >= max(LEAST_PAGES, CONSTANT * (len(articles) + 1))}
-    return saved_template(pages[0], constant)
-
-
-@lru_cache(maxsize=64)
-def template(saved: str) -> Block:
-    holder = Block("#")
-    pending = [(holder, 1)]  # nodes that lack children, and how many
-    for tag, text, constant, slot, n in json.loads(saved):
-        at, lack = pending.pop()
-        at.children.append(Block(tag, text, constant=constant, slot=slot))
-        if lack > 1:
-            pending.append((at, lack - 1))
-        if n:
-            pending.append((at.children[-1], n))
-    return holder.children[0]
+    return json.dumps([pages[0], sorted(constant), slots_of(pages[0], constant)])
 
 
-def content(tree: Block, saved: str | None) -> list[str]:
+def content(tree: Block) -> list[str]:
     """Texts of the content's blocks in page order.
 
     The content is the page's articles or main; without any, the node that stands in the template's slot, with the
     page's own container of most text if the slot holds less than half as much (a page of another make).
     """
-    slot = None
-    if saved:
-        for a, b in matched(template(saved), tree):
-            b.constant = a.constant and a.text == b.text
-            slot = b if a.slot else slot
     best = chosen(tree)
     if best[0].tag in ("article", "main"):
         return [leaf.text for node in best for leaf in node.leaves() if not leaf.constant]
-    if slot is None or slot.tag in ("article", "main"):
-        slot = best[0]
+    slots = [n for n, _ in parts(tree) if n.slot and n.tag not in ("article", "main")]
+    slot = slots[-1] if slots else best[0]
     wanted = {id(slot)} if 2 * weight(slot) >= weight(best[0]) else {id(slot), id(best[0])}
     texts, pending = [], [(tree, False)]
     while pending:
@@ -406,53 +410,52 @@ def content(tree: Block, saved: str | None) -> list[str]:
 
 
 def main_text(html: str | None, saved: str | None = None) -> str:
-    return "\n\n".join(content(pruned(parse(html)), saved)) if html else ""
+    if not html:
+        return ""
+    if not saved:
+        return "\n\n".join(content(pruned(parse(html))))
+    first, constant, slots = json.loads(saved)
+    return "\n\n".join(content(rebuilt(agreement(first, html)[3], set(constant), set(slots))))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, kind, template) from (host, kind, html) rows, counted over all pages."""
+def references(pages: DataFrame) -> DataFrame:
+    """(host, kind, use, first): for each kind of a host the kind whose template it takes, and that one's reference."""
+    key = ["host", "kind"]
+    # the least hash first, so that no aggregate sorts whole pages; written out, so that its size is known
+    sizes = pages.groupBy(*key).agg(F.min("h").alias("h"), F.count_distinct("h").alias("pages"))
+    sizes = stored(sizes, "wrapper-kinds")
+    first = pages.join(sizes.drop("pages"), [*key, "h"]).groupBy(*key).agg(F.min("html").alias("first"))
+    largest = sizes.groupBy("host").agg(F.max(F.struct("pages", (-F.col("kind")).alias("kind"))).alias("top"))
+    use = F.when(F.col("pages") < LEAST_PAGES, -F.col("top.kind")).otherwise(F.col("kind"))
+    use = sizes.join(largest, "host").select(*key, use.alias("use"))
+    return stored(use.join(first.withColumnRenamed("kind", "use"), ["host", "use"]), "wrapper-references")
+
+
+def wrappers(seen: DataFrame, first: DataFrame) -> DataFrame:
+    """(host, kind, constant, slots) from all pages' agreements with their references: the template of each kind."""
     key = ["host", "kind"]
-    named = pages.where("html IS NOT NULL").withColumn("h", F.xxhash64("html"))
-    # the least hash first, so that no aggregate sorts whole pages; both are written out, so that their size is known
-    least = stored(named.groupBy(*key).agg(F.min("h").alias("h")), "wrapper-least")
-    first = named.join(least, [*key, "h"]).groupBy(*key).agg(F.min("html").alias("first"))
-    first = stored(first, "wrapper-references")
+    own = seen.where("kind = use")
+    each = own.groupBy(*key, "h").agg(F.min(F.struct("article", "outside", "inside")).alias("s")).select(*key, "s.*")
+    articles = each.where("article <> 0").groupBy(*key, "article").agg(F.min("inside").alias("inside"))
+    # -1 and -2 stand on each page and each other article, and so count them; the reference is one more article
+    outside = each.select(*key, F.explode(F.concat("outside", F.array(F.lit(-1)))).alias("node"), F.lit(0).alias("more"))
+    inside = articles.select(*key, F.explode(F.concat("inside", F.array(F.lit(-2)))).alias("node"), F.lit(1).alias("more"))
+    counts = outside.union(inside).groupBy(*key, "node", "more").agg(F.count("*").alias("n"))
+    counts = stored(counts.withColumn("n", F.col("n") + F.col("more")), "wrapper-counts")
+    totals = counts.where("node < 0").select(*key, "more", F.col("n").alias("all"))
+    least = F.greatest(F.lit(float(LEAST_PAGES)), CONSTANT * F.col("all"))
+    constant = counts.where("node >= 0").join(totals, [*key, "more"]).where(F.col("n") >= least)
+    constant = constant.groupBy(*key).agg(F.collect_list("node").alias("constant"))
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [agreement(a, b) for a, b in zip(batch["first"], batch["html"])]
-            columns = dict(zip(("article", "outside", "inside"), zip(*found))) if found else {}
-            yield batch[[*key, "h"]].assign(**columns)
+            found = [[] if c is None else list(c) for c in batch["constant"]]
+            slots = [slots_of(f, set(c)) for f, c in zip(batch["first"], found)]
+            yield batch[key].assign(constant=found, slots=slots)
 
-    schema = "host string, kind long, h long, article long, outside array<int>, inside array<int>"
-    seen = stored(named.join(first, key).mapInPandas(of, schema), "wrapper-agreement")
-    each = seen.groupBy(*key, "h").agg(F.min(F.struct("article", "outside", "inside")).alias("s")).select(*key, "s.*")
-    articles = each.where("article <> 0").groupBy(*key, "article").agg(F.min("inside").alias("inside"))
-    # -1 and -2 stand on each page and each other article, and so count them
-    outside = each.select(*key, F.explode(F.concat("outside", F.array(F.lit(-1)))).alias("node"), F.lit(0).alias("own"))
-    inside = articles.select(*key, F.explode(F.concat("inside", F.array(F.lit(-2)))).alias("node"), F.lit(1).alias("own"))
-    counts = outside.union(inside).groupBy(*key, "node").agg((F.count("*") + F.max("own")).alias("n"), F.max("own").alias("own"))
-    counts = stored(counts, "wrapper-counts")
-    total = lambda node: F.max(F.when(F.col("node") == node, F.col("n")))
-    totals = counts.where("node < 0").groupBy(*key).agg(total(-1).alias("pages"), total(-2).alias("articles"))
-    share = CONSTANT * F.when(F.col("own") == 1, F.col("articles")).otherwise(F.col("pages"))
-    constant = counts.where("node >= 0").join(totals, key).where(F.col("n") >= F.greatest(F.lit(float(LEAST_PAGES)), share))
-    constant = constant.groupBy(*key).agg(F.collect_list("node").alias("nodes"))
-
-    def saved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [saved_template(f, set() if n is None else set(n)) for f, n in zip(batch["first"], batch["nodes"])]
-            yield batch[key].assign(template=texts)
-
-    made = first.join(constant, key, "left").mapInPandas(saved, "host string, kind long, template string")
-    made = stored(made, "wrapper-templates")
-    largest = totals.groupBy("host").agg(F.max(F.struct("pages", (-F.col("kind")).alias("kind"))).alias("top"))
-    use = totals.join(largest, "host").select(
-        "host",
-        F.col("kind").alias("of"),
-        F.when(F.col("pages") < LEAST_PAGES, -F.col("top.kind")).otherwise(F.col("kind")).alias("kind"),
-    )
-    return use.join(made, key).select("host", F.col("of").alias("kind"), "template")
+    both = first.where("kind = use").join(constant, key, "left").select(*key, "first", "constant")
+    made = both.mapInPandas(of, "host string, kind long, constant array<int>, slots array<int>")
+    return stored(made, "wrappers")
 
 
 def page_texts(pages: DataFrame) -> DataFrame:
@@ -460,17 +463,32 @@ def page_texts(pages: DataFrame) -> DataFrame:
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
     elements = F.regexp_extract_all("html", F.lit(rf"(?i)<({SECTIONING})\b"), 1)
     kind = F.xxhash64(F.array_sort(F.array_distinct(F.transform(elements, F.lower)))).bitwiseAND(F.lit((1 << 62) - 1))
-    rows = pages.select("page_id", "url", "html", host.alias("host"), kind.alias("kind"))
-    # written out, so that its size is known before the pages move, and the pages of one host can be split
-    templates = stored(wrappers(rows.select("host", "kind", "html")), "wrappers")
-    both = rows.join(templates, ["host", "kind"], "left")
+    rows = pages.select("page_id", "url", "html", host.alias("host"), kind.alias("kind"), F.xxhash64("html").alias("h"))
     page_type = rows.schema["page_id"].dataType.simpleString()
+    first = references(rows.where("html IS NOT NULL"))
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [agreement(a, b) if b else (0, [], [], None) for a, b in zip(batch["first"], batch["html"])]
+            columns = dict(zip(("article", "outside", "inside", "blocks"), map(list, zip(*found))))
+            if columns:
+                yield batch[["page_id", "url", "host", "kind", "use", "h"]].assign(**columns)
+
+    schema = f"page_id {page_type}, url string, host string, kind long, use long, h long, article long"
+    schema += ", outside array<int>, inside array<int>, blocks string"
+    # kind and use are numbers that pandas must not turn to floats
+    both = rows.join(first, ["host", "kind"], "left").withColumn("use", F.coalesce("use", "kind"))
+    seen = stored(both.mapInPandas(aligned, schema), "wrapper-blocks")
+    templates = wrappers(seen, first).withColumnRenamed("kind", "use")
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [main_text(h, s) for h, s in zip(batch["html"], batch["template"])]
+            texts = [
+                "\n\n".join(content(rebuilt(b, *[set() if x is None else set(x) for x in (c, s)]))) if b else ""
+                for b, c, s in zip(batch["blocks"], batch["constant"], batch["slots"])
+            ]
             yield batch[["page_id", "url", "host"]].assign(text=texts, n_chars=[len(t) for t in texts])
 
-    schema = f"page_id {page_type}, url string, host string, text string, n_chars long"
-    found = both.drop("kind").mapInPandas(of, schema)
+    columns = seen.select("page_id", "url", "host", "use", "blocks").join(templates, ["host", "use"], "left")
+    found = columns.mapInPandas(told, f"page_id {page_type}, url string, host string, text string, n_chars long")
     return found.select("page_id", "url", "text", "n_chars", "host")
