@@ -499,6 +499,16 @@ FROM (SELECT sqrt(avg(e * e)) AS rmse, count(*) AS scored FROM u_shrunk_left)"""
         "unreadable_ratings": build(
             f"""SELECT user_id || '::' || item_id || '::::' || ts AS value FROM v_rows
 WHERE (user_id + item_id) % {UNKNOWN_EVERY} = 0"""
+        ),
+        "parsed_lines": build(
+            """SELECT CASE way WHEN 0 THEN u || '::' || i || '::::' || t WHEN 1 THEN u || '::' || i || '::4::' || t || '::extra'
+    WHEN 2 THEN u || '::' || i || '::NaN::' || t WHEN 3 THEN 'x::' || i || '::4::' || t
+    WHEN 4 THEN u || '::' || i || '::4::soon' WHEN 5 THEN '' END AS value,
+  CASE way WHEN 0 THEN 'rating' WHEN 1 THEN 'fields' WHEN 2 THEN 'rating' WHEN 3 THEN 'user_id' WHEN 4 THEN 'ts'
+    WHEN 5 THEN 'blank' END AS reason,
+  CASE way WHEN 6 THEN u END AS user_id, CASE way WHEN 6 THEN i END AS item_id,
+  CASE way WHEN 6 THEN r END AS rating, CASE way WHEN 6 THEN t END AS ts
+FROM (SELECT (user_id + item_id) % 7 AS way, user_id AS u, item_id AS i, rating AS r, ts AS t FROM v_rows)"""
         ),
         "semi_thin": build(f"SELECT {NARROW} FROM s_inner_test WHERE {THIN_KNOWN}"),
         "anti_thin": build(f"SELECT {NARROW} FROM s_inner_test WHERE NOT ({THIN_KNOWN})"),

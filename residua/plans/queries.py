@@ -257,7 +257,24 @@ def _(w: Workspace) -> DataFrame:
     """Lines without a rating in a file of the whole view."""
     path = new_path(w.spark, "ratings-text")
     delimited.write_delimited(w.partly_rated.select(*RATING_FIELDS), path)
-    return delimited.unreadable_ratings(w.spark, path)
+    return delimited.unreadable_ratings(w.spark, path).select("value")
+
+
+@query("parsed_lines")
+def _(w: Workspace) -> DataFrame:
+    """A file of the whole view in which most lines are spoilt, each in one of six ways; all its lines, read or rejected."""
+    path = new_path(w.spark, "spoilt-text")
+    u, i, r, t = (F.col(c).cast("string") for c in RATING_FIELDS)
+    spoilt = [(u, i, F.lit(""), t), (u, i, F.lit("4"), t, F.lit("extra")), (u, i, F.lit("NaN"), t), (F.lit("x"), i, F.lit("4"), t),
+              (u, i, F.lit("4"), F.lit("soon"))]
+    way = F.pmod(F.col("user_id") + F.col("item_id"), F.lit(7))
+    line = F.when(way == len(spoilt), "")
+    for number, fields in enumerate(spoilt):
+        line = line.when(way == number, F.concat_ws(delimited.SEPARATOR, *fields))
+    line = line.otherwise(F.concat_ws(delimited.SEPARATOR, u, i, r, t))
+    testview.ratings(w.spark, w.folder).select(line.alias("value")).write.text(path)
+    lines = delimited.parse_ratings(w.spark, path)
+    return lines.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
 
 
 # Held-out rows against train rows without a seventh of the items and a fifth of the users, so that the joins,

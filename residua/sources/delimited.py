@@ -9,23 +9,33 @@ from residua.functions.scalar import number
 from residua.schema import ITEMS, RATING_ROW, RATINGS
 
 SEPARATOR = "::"
+NOT_FINITE = tuple(float(x) for x in ("nan", "inf", "-inf"))
+
+
+def parse_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of a ratings file: ``value``, ``reason`` and the four fields.
+
+    A line is read if it has four fields, all finite numbers: ``reason`` is NULL.  Else the reason is ``blank``, ``fields``
+    (not four of them) or the name of the first field that is missing or no number, and all fields are NULL.
+    """
+    lines = spark.read.text(path).withColumn("__parts", F.split("value", SEPARATOR))
+    typed = [number(F.get("__parts", F.lit(i)), f.dataType.simpleString()) for i, f in enumerate(RATINGS)]
+    usable = [t.isNotNull() & ~t.cast("double").isin(*NOT_FINITE) for t in typed]
+    reason = F.when(F.trim("value") == "", "blank").when(F.size("__parts") != len(RATINGS), "fields")
+    for field, ok in zip(RATINGS, usable):
+        reason = reason.when(~ok, field.name)
+    told = lines.withColumn("reason", reason)
+    return told.select("value", "reason", *[F.when(F.col("reason").isNull(), t).alias(f.name) for t, f in zip(typed, RATINGS)])
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """Four numeric fields per line, no header; a field that is no number becomes NULL."""
-    return spark.read.schema(RATINGS).csv(path, sep=SEPARATOR, quote="")
+    """The rows of a ratings file; with ``unreadable_ratings`` these are all its lines."""
+    return parse_ratings(spark, path).filter("reason IS NULL").select(*RATINGS.names)
 
 
 def unreadable_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of a ratings file in which some field is missing or is no number, or that have too many.
-
-    Their unknown fields are NULL in ``read_ratings``; rows with an unknown rating take no part in any fit or score.
-    """
-    fields = F.split("value", SEPARATOR)
-    bad = F.size(fields) != len(RATINGS)
-    for place, field in enumerate(RATINGS):
-        bad = bad | F.get(fields, F.lit(place)).try_cast(field.dataType).isNull()
-    return spark.read.text(path).filter(bad)
+    """The lines that give no row, each with its reason."""
+    return parse_ratings(spark, path).filter("reason IS NOT NULL").select("value", "reason")
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:

@@ -26,6 +26,20 @@ def test_ratings_are_typed(spark):
     assert rows == [(1, 122, 5.0, 838985046), (2, 185, 3.5, 838983525)]
 
 
+def test_every_line_is_read_or_rejected_with_a_reason(spark):
+    bad = {
+        "1::2::x::4": "rating", "1::2::::4": "rating", "1::2::NaN::4": "rating", "1::2::-Infinity::4": "rating",
+        "1::3::4::100::extra": "fields", "1::2::3": "fields", "": "blank", "  ": "blank", "a::b::c::d": "user_id",
+        "1::2.5::3::4": "item_id", "1::2::3::": "ts", "1::99999999999999999999::3::4": "item_id", ":::::": "fields",
+    }
+    good = ["1::122::5::838985046", "1::122::5::838985046", "2::185::3.5::0", "-1::0::-0.5::-7", " 3 ::4::1e0::5"]
+    path = write(spark, [*bad, *good])
+    rows = sorted(map(tuple, delimited.read_ratings(spark, path).collect()))
+    assert rows == [(-1, 0, -0.5, -7), (1, 122, 5.0, 838985046), (1, 122, 5.0, 838985046), (2, 185, 3.5, 0), (3, 4, 1.0, 5)]
+    assert dict(map(tuple, delimited.unreadable_ratings(spark, path).collect())) == bad
+    assert delimited.parse_ratings(spark, path).count() == len(bad) + len(good)
+
+
 def test_join_keeps_ratings_of_unknown_items(spark):
     ratings = spark.createDataFrame([(1, 10, 4.0, 0), (1, 11, 3.0, 0)], delimited.RATINGS)
     items = spark.createDataFrame([(10, "A (1990)", "x")], delimited.ITEMS)
