@@ -11,12 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from residua.operators.quantiles import group_quantiles
+
 WHISKER = 1.5  # fixed value: whiskers reach at most this many interquartile ranges
 
 
 def _fences(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    q = df.groupBy(*by).agg(quartiles.alias("q")).select(
+    q = group_quantiles(df, by, value, (0.25, 0.5, 0.75)).select(
         *by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
     )
     reach = (F.col("q3") - F.col("q1")) * WHISKER
@@ -35,7 +36,7 @@ def _inside(value: str, decimals: int | None) -> Column:
 def box_stats(df: DataFrame, by: Sequence[str], value: str, decimals: int | None = None) -> DataFrame:
     """Quartiles, whisker ends (the outermost values inside the fences) and counts per category.
 
-    The quartiles are exact, so a category must be a sample of bounded size.
+    The quartiles are exact, for categories of any size.
     """
     inside = _inside(value, decimals)
     return (

@@ -1,4 +1,4 @@
-"""Exact quantiles of a column from the counts of its values."""
+"""Exact quantiles of a column, of all rows or per group, from the counts of its values."""
 
 from __future__ import annotations
 
@@ -61,3 +61,34 @@ def _at_ranks(parts: DataFrame, value: str, sizes: list[tuple[int, int]], ranks:
 
     found = counted.select(value, F.explode(F.filter(asked, holds)).alias("w"))
     return {row["rank"]: row[value] for row in found.select(value, "w.rank").collect()}
+
+
+def group_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """(by, q): the quantiles of each group as an array, interpolated between neighbours; NULL for a group without values.
+
+    The counts of values are sorted by group and value over all tasks, so a group of any size is spread over many parts; only
+    the parts that hold a wanted rank are counted through, each by itself.
+    """
+    counts = df.groupBy(*by, value).agg(F.count(value).alias("n"))
+    sorted_counts = counts.repartitionByRange(*by, value).withColumn("part", F.spark_partition_id())
+    parts = stored(sorted_counts, "group-value-parts")
+    # one row per group and part
+    sizes = parts.groupBy(*by, "part").agg(F.sum("n").alias("size"))
+    in_order = Window.partitionBy(*by).orderBy("part")
+    sizes = sizes.withColumn("below", F.sum("size").over(in_order) - F.col("size"))
+    sizes = sizes.withColumn("rows", F.sum("size").over(Window.partitionBy(*by)))
+    asked = [F.struct(F.lit(i).alias("place"), ((F.col("rows") - 1) * p).alias("position")) for i, p in enumerate(probs)]
+    ranks = sizes.select(*by, "part", "size", "below", F.explode(F.array(*asked)).alias("w")).select("*", "w.*")
+    ranks = ranks.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))))
+    ranks = ranks.filter("rank >= below AND rank < below + size")
+    # each rank's share in its quantile
+    gap = F.abs(F.col("position") - F.col("rank"))
+    ranks = ranks.select(*by, "part", "place", (F.col("rank") - F.col("below")).alias("at"), "rank", (1 - gap).alias("share"))
+    near = parts.filter("n > 0").join(ranks.select(*by, "part").distinct(), [*by, "part"], "left_semi")
+    upto = Window.partitionBy(*by, "part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    counted = near.withColumn("upto", F.sum("n").over(upto))
+    met = counted.join(ranks, [*by, "part"]).filter("at < upto AND at >= upto - n")
+    weighted = met.withColumn("__x", F.col(value) * F.col("share"))
+    each = weighted.groupBy(*by, "place").agg(F.sum("__x").alias("__x"))
+    found = each.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "__x"))), lambda w: w["__x"]).alias("q"))
+    return sizes.select(*by).distinct().join(found, list(by), "left")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from residua.operators.boxes import box_outliers, box_stats, place_by
 from residua.operators.histogram import histogram
 from residua.operators.knn import choose_k, k_errors, knn_smooth
+from residua.operators.quantiles import group_quantiles
 from residua.operators.sampling import draw_with_replacement, panels
 from residua.plans import explore
 
@@ -135,3 +136,20 @@ def test_residual_curves(spark):
         1999: (4.0, 1),
         None: (6.0, 1),
     }
+
+
+def test_quantiles_of_groups_equal_those_of_one_task(spark):
+    rows = [(g, None if i % 17 == 0 else float((i * 7919 + g) % (5 + 400 * g))) for g in range(5) for i in range(3 ** (g + 3))]
+    df = spark.createDataFrame([*rows, (9, None), (8, 1.5), (7, float("nan")), (7, 2.0)], "g int, x double")
+    probs = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
+    want = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("x", F.array(*map(F.lit, probs))).alias("q")).collect()}
+    found = {r["g"]: r["q"] for r in group_quantiles(df, ["g"], "x", probs).collect()}
+    assert found.keys() == want.keys() and found[9] is None and want[9] is None
+    assert all(found[g] == pytest.approx(want[g], abs=1e-12, nan_ok=True) for g in want if g != 9)
+
+
+def test_one_large_category_is_spread_over_tasks(spark):
+    size = 10_000_000
+    df = spark.range(size).select(F.lit("t").alias("tag"), (F.pmod(F.col("id") * 7919, F.lit(size)) / 8).alias("x"))
+    found = group_quantiles(df, ["tag"], "x", (0.25, 0.5, 0.75)).first()["q"]
+    assert found == pytest.approx([(size - 1) * p / 8 for p in (0.25, 0.5, 0.75)])
