@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from residua.operators.effects import global_mean, item_features, item_totals
 from residua.operators.nested import nested_split
 from residua.operators.split import NestedSplit
 from residua.plans import model as M
 from residua.plans import tuning
-from residua.session import stored
+from residua.session import scratch, stored
 from residua.sources import tables
 from residua.sources.delimited import read_items, read_ratings, with_key
 from residua.specs import FILM_PLAIN, FILM_SHRUNK, Spec, Stage
 
 
+MANIFEST = "manifest"
 SPLITS = [f.name for f in fields(NestedSplit)]
 
 
@@ -45,11 +49,26 @@ class Outcome:
         }
 
     def save(self, path: str) -> None:
-        """One table per name under ``path``, and the settings as text; ``load_run`` reads it in any session."""
-        for name, table in self.tables().items():
-            tables.save_table(table, f"{path}/{name}", ["fold"] if name in SPLITS else ())
-        settings = json.dumps({"mu": self.model.mu, "specs": [asdict(s) for s in self.model.specs]})
-        self.items.sparkSession.createDataFrame([(settings,)], "value string").write.text(f"{path}/settings")
+        """The tables and, when all are written, a manifest that names them; ``load_run`` reads it in any session.
+
+        Tables go to a new folder under ``path`` each time, so a save that broke off can be repeated; a path that holds a
+        whole run is an error.
+        """
+        spark = self.items.sparkSession
+        if _manifest(spark, path):
+            raise ValueError(f"{path} holds a run already")
+        folder = f"tables-{uuid.uuid4().hex[:12]}"
+        found = self.tables()
+        for name, table in found.items():
+            tables.save_table(table, f"{path}/{folder}/{name}", ["fold"] if name in SPLITS else ())
+        manifest = {
+            "folder": folder,
+            "schemas": {name: table.schema.jsonValue() for name, table in found.items()},
+            "mu": self.model.mu,
+            "specs": [asdict(s) for s in self.model.specs],
+        }
+        text = spark.createDataFrame([(json.dumps(manifest),)], "value string")
+        text.coalesce(1).write.mode("overwrite").text(f"{path}/{MANIFEST}")
 
     def final(self) -> DataFrame:
         """The last model on the validation rows."""
@@ -63,11 +82,17 @@ def run(
     specs: Sequence[Spec] = (FILM_PLAIN, FILM_SHRUNK),
     k: int | None = None,
     tune: bool = False,
+    path: str | None = None,
 ) -> Outcome:
     """``specs`` are a plain and a shrunk one; ``k`` fixes the number of neighbours.
 
-    ``tune`` chooses the penalties of the shrunk one on the tuning split before anything is fitted.
+    ``tune`` chooses the penalties of the shrunk one on the tuning split before anything is fitted.  With a ``path`` the
+    run is saved there, all other tables that it stored are removed, and what is returned reads from there.
     """
+    if path is not None:
+        with scratch(spark):
+            run(spark, ratings_path, items_path, specs, k, tune).save(path)
+        return load_run(spark, path)
     rows = stored(with_key(read_ratings(spark, ratings_path)), "rows")
     items = stored(read_items(spark, items_path), "item-texts")
     splits = nested_split(rows)
@@ -81,15 +106,29 @@ def run(
     return Outcome(items, splits, model, stored(M.year_effect(model, "shrunk", k), "year-effect"))
 
 
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    """What a whole run says of itself; None if there is none."""
+    try:
+        lines = spark.read.text(f"{path}/{MANIFEST}").take(1)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return json.loads(lines[0]["value"]) if lines else None
+
+
 def load_run(spark: SparkSession, path: str) -> Outcome:
-    """A run that ``Outcome.save`` wrote."""
-    settings = json.loads(spark.read.text(f"{path}/settings").first()["value"])
+    """A run that ``Outcome.save`` wrote; one without a manifest is not whole, and an error."""
+    manifest = _manifest(spark, path)
+    if manifest is None:
+        raise ValueError(f"{path} holds no whole run")
     specs = tuple(
-        Spec(**{**s, "stages": tuple(Stage(**stage) for stage in s["stages"])}) for s in settings["specs"]
+        Spec(**{**s, "stages": tuple(Stage(**stage) for stage in s["stages"])}) for s in manifest["specs"]
     )
 
     def read(name: str) -> DataFrame:
-        return tables.load_table(spark, f"{path}/{name}")
+        schema = T.StructType.fromJson(manifest["schemas"][name])
+        return tables.load_table(spark, f"{path}/{manifest['folder']}/{name}", schema).select(*schema.names)
 
-    model = M.Model(specs, settings["mu"], *[read(f"model_{name}") for name in ("items", "users", "cells")])
+    model = M.Model(specs, manifest["mu"], *[read(f"model_{name}") for name in ("items", "users", "cells")])
     return Outcome(read("items"), NestedSplit(**{name: read(name) for name in SPLITS}), model, read("year_effect"))

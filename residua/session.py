@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,9 +33,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/residua/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    folder = _scratch.get() or f"{shared_folder(spark)}/residua/{spark.sparkContext.applicationId}"
+    return f"{folder}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables stored inside go to a folder of their own in the shared one, which is removed at the end, also after an error."""
+    folder = new_path(spark, "scratch")
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:

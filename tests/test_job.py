@@ -1,5 +1,6 @@
 """The whole job on two small files in the published format, with the published settings."""
 
+import os
 import random
 
 import pytest
@@ -53,6 +54,40 @@ def test_saved_run_gives_the_same_boards_in_another_session(spark, files):
         assert rounded[0] == rounded[1]
 
 
+def test_a_save_that_breaks_off_is_no_run_and_can_be_repeated(spark, files, monkeypatch):
+    done = job.run(spark, *files[0], k=5)
+    path, real, left = new_path(spark, "broken"), job.tables.save_table, [4]
+
+    def failing(*arguments):
+        left[0] -= 1
+        if not left[0]:
+            raise OSError("lost")
+        real(*arguments)
+
+    monkeypatch.setattr(job.tables, "save_table", failing)
+    with pytest.raises(OSError):
+        done.save(path)
+    with pytest.raises(ValueError, match="no whole run"):
+        job.load_run(spark, path)
+    left[0] = -1
+    done.save(path)
+    assert job.load_run(spark, path).items.count() == 60
+    with pytest.raises(ValueError, match="already"):
+        done.save(path)
+
+
+def test_a_run_with_a_path_leaves_nothing_else(spark, files):
+    home = f"{shared_folder(spark)}/residua/{spark.sparkContext.applicationId}".removeprefix("file:")
+    path = new_path(spark, "kept")
+    before = set(os.listdir(home))
+    done = job.run(spark, *files[0], k=5, path=path)
+    assert set(os.listdir(home)) - before == {os.path.basename(path)}
+    assert done.final().first()["scored"] == done.splits.validation.count() > 0
+    with pytest.raises(Exception):
+        job.run(spark, "/nowhere/ratings", files[0][1], path=new_path(spark, "never"))
+    assert set(os.listdir(home)) - before == {os.path.basename(path)}
+
+
 def test_no_shared_folder_is_one_clear_error():
     class Bare:
         class conf:
