@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from residua.llm.batches import batches_of
 from residua.llm.components import components
-from residua.llm.words import in_pieces, runs, scramble, words_of
+from residua.llm.words import in_pieces, pieces, runs, scramble, words_of
 from residua.session import stored
 
 WIDTH = 5
@@ -48,6 +48,7 @@ BLOCK = 256
 FEATURES = 4096  # columns of a matrix product
 TEXTS = 1000  # pairs of texts handed over at once
 CHUNK = 400_000  # characters worked on at once
+PAIRED = 8_000_000  # characters of pairs of texts compared at once
 
 
 def all_words(words, n: np.ndarray) -> np.ndarray:
@@ -191,23 +192,26 @@ def weighted(texts: Sequence[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndar
 def similar(pairs: DataFrame, idf, threshold: float) -> DataFrame:
     """(a, b) of the (a, b, text_a, text_b) rows with at least the threshold as weighted Jaccard similarity."""
 
+    def good(batch: pd.DataFrame) -> list[bool]:
+        texts = dict(zip(batch["a"], batch["text_a"])) | dict(zip(batch["b"], batch["text_b"]))
+        text, bag, count, one = weighted(list(texts.values()), idf.value)
+        edge = np.searchsorted(text, np.arange(len(texts) + 1))
+        place = {name: slice(edge[i], edge[i + 1]) for i, name in enumerate(texts)}
+        found = []
+        for a, b in zip(batch["a"], batch["b"]):
+            p, q = place[a], place[b]
+            u, v = count[p] * one[p], count[q] * one[q]
+            at = np.minimum(np.searchsorted(bag[p], bag[q]), len(u) - 1)
+            both = bag[p][at] == bag[q]
+            low = np.minimum(u[at[both]], v[both]).sum()
+            found.append(low >= threshold * (u.sum() + v.sum() - low) * (1 - 1e-12))
+        return found
+
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = dict(zip(batch["a"], batch["text_a"])) | dict(zip(batch["b"], batch["text_b"]))
-            if not texts:
-                continue
-            text, bag, count, one = weighted(list(texts.values()), idf.value)
-            edge = np.searchsorted(text, np.arange(len(texts) + 1))
-            place = {name: slice(edge[i], edge[i + 1]) for i, name in enumerate(texts)}
-            good = []
-            for a, b in zip(batch["a"], batch["b"]):
-                p, q = place[a], place[b]
-                u, v = count[p] * one[p], count[q] * one[q]
-                at = np.minimum(np.searchsorted(bag[p], bag[q]), len(u) - 1)
-                both = bag[p][at] == bag[q]
-                low = np.minimum(u[at[both]], v[both]).sum()
-                good.append(low >= threshold * (u.sum() + v.sum() - low) * (1 - 1e-12))
-            yield batch.loc[good, ["a", "b"]]
+            for s in pieces((batch["text_a"].str.len() + batch["text_b"].str.len()).tolist(), PAIRED):
+                part = batch.iloc[s]
+                yield part.loc[good(part), ["a", "b"]]
 
     return pairs.mapInPandas(of, "a long, b long")
 
