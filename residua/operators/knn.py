@@ -1,10 +1,14 @@
 """Nearest-neighbour smoothing of a group curve, and the choice of k by bootstrap.
 
-The exact neighbours are found without comparing all groups with all.  Groups are sorted along a Z-order
-curve, which keeps groups that are close in all features together, and cut into blocks of ``2 k``; the k-th
-nearest inside its own block bounds how far a group must look.  The bound, rounded up to a power of two, is the width of a grid; a group meets the points of the few cells
-within its bound, those are ranked by their true distance, and all ties of the k-th are kept.  A group
-whose block has fewer than k points looks at all points.
+The exact neighbours are found in one lazy plan, without comparing all groups with all.  Groups at the same place
+are one point.  Each point is put into one cell of every grid of a fixed ladder, whose widths are powers of two.
+The narrowest cell around a place that holds k neighbours bounds how far to look: no further than its farthest
+corner.  The place then meets the points of the few cells of that grid within the bound, which are ranked by their true
+distance; all ties of the k-th are kept.
+
+A cell four times as small holds less than k, so on the whole a point is met by a number of places that grows with k, not with
+the table.  Where no cell holds k neighbours (fewer than k on its side of zero) a place looks at all points.  Points
+that differ by less than the narrowest width share cells at every grid, which costs time and nothing else.
 """
 
 from __future__ import annotations
@@ -16,91 +20,89 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from residua.operators.ranks import hash_number, numbered
-from residua.session import stored
 
 FEATURES = ("year", "n")
 K_GRID = tuple(range(1, 52, 2))  # fixed values: 1, 3, ..., 51
 RESAMPLES = 25  # fixed value
 
+LADDER = (*range(-10, 41), 48, 56, 64)  # widths as powers of two
 UNBOUNDED = 1100  # 2 to this power is infinite, so its grid has one cell
-FINEST = -10
-CURVE_BITS = 40
 ROUNDING = 1 + 1e-9
+BITS = 51  # of the number of a cell; doubles tell 53
 
 
 def _known(features: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in features])
 
 
-def _on_curve(features: Sequence[str]) -> Column:
-    """The place on the Z-order curve: the bits of all features in turns.  It steers the search, not its result."""
-    most = F.lit(float(2 ** (CURVE_BITS - 1)))
-    shifted = [F.floor(F.greatest(-most, F.least(F.col(f).cast("double"), most - 1)) + most) for f in features]
-    bits = [F.lpad(F.bin(x), CURVE_BITS, "0") for x in shifted]
-    turns = [F.substring(b, i, 1) for i in range(1, CURVE_BITS + 1) for b in bits]
-    return F.concat(*turns)
-
-
-def _in_blocks(groups: DataFrame, features: Sequence[str], k: int) -> DataFrame:
-    """Adds ``__query``, a number per row, and ``__block``; consecutive rows on the curve share a block."""
-    curve = groups.withColumn("__curve", _on_curve(features))
-    placed = numbered(curve, ["__curve", *features], "__query").drop("__curve")
-    return placed.withColumn("__block", F.floor(F.col("__query") / (2 * k)))
-
-
-def _points(rows: DataFrame, features: Sequence[str], target: str, keys: Sequence[str]) -> DataFrame:
-    placed = [F.col(f).cast("double").alias(f"__p_{f}") for f in features]
-    return rows.filter(F.col(target).isNotNull()).select(*keys, *placed, F.col(target).alias("__value"))
+def _in_cells(points: DataFrame, features: Sequence[str], levels: Sequence[int], bits: int) -> DataFrame:
+    """A row per level with ``__level`` and a ``__bin_`` column per feature; none where a bin needs more than ``bits``."""
+    out = points.withColumn("__level", F.explode(F.array(*[F.lit(x) for x in levels])))
+    out = out.withColumn("__width", F.pow(F.lit(2.0), F.col("__level")))
+    for f in features:
+        x = F.col(f).cast("double") / F.col("__width")
+        out = out.filter(F.abs(x) < 2.0**bits).withColumn(f"__bin_{f}", F.floor(x))
+    return out.drop("__width")
 
 
-def _distance(features: Sequence[str]) -> Column:
-    """Squared distance of a query from a point."""
-    parts = [F.col(f).cast("double") - F.col(f"__p_{f}") for f in features]
-    return reduce(lambda a, b: a + b, [p * p for p in parts])
+def _bounds(
+    points: DataFrame, weights: Sequence[str], k: int, features: Sequence[str], own: Sequence[str]
+) -> DataFrame:
+    """Places, with their ``own`` columns and the ``__level`` of the narrowest cell that holds ``k`` of every weight."""
+    cell = ["__level", *[f"__bin_{f}" for f in features]]
+    cells = _in_cells(points, features, LADDER, BITS)
+    held = F.expr(" AND ".join(f"sum({w}) >= {k}" for w in weights))
+    full = cells.groupBy(*cell).agg(held.alias("__full")).filter("__full").select(*cell)
+    level = cells.select(*features, *cell).join(full, cell).groupBy(*features).agg(F.min("__level").alias("__level"))
+    return (
+        points.select(*features, *own)
+        .join(level, list(features), "left")
+        .withColumn("__level", F.coalesce("__level", F.lit(UNBOUNDED)))
+    )
 
 
-def _nearest(
-    queries: DataFrame, points: DataFrame, k: int, features: Sequence[str], within: Sequence[str] = ()
+def _met(
+    points: DataFrame, weights: Sequence[str], k: int, features: Sequence[str], own: Sequence[str] = ()
 ) -> DataFrame:
-    """``queries`` with ``__value`` and ``__rank``: a row for each of the k nearest points and for all ties of the k-th.
+    """A row for each place and each point that can be among the ``k`` nearest, with the squared distance ``__d2``.
 
-    ``queries`` has ``__query`` and, like ``points``, ``__block``; only points with the same ``within`` count.
+    The columns of ``features`` and ``own`` are the place's, the others the point's.
     """
-    near = queries.join(points, [*within, "__block"]).withColumn("__d2", _distance(features))
-    in_block = Window.partitionBy(*within, "__block", "__query").orderBy("__d2")
-    kth = near.withColumn("__rank", F.row_number().over(in_block)).filter(F.col("__rank") == k)
-    reach = kth.select(*within, "__query", (F.sqrt("__d2") * ROUNDING).alias("__reach"))
-    level = F.greatest(F.lit(FINEST), F.ceil(F.log2(F.nullif("__reach", F.lit(0.0)))).cast("int"))
-    bounded = stored(
-        queries.join(reach, [*within, "__query"], "left").withColumn(
-            "__level", F.when(F.col("__reach").isNull(), UNBOUNDED).otherwise(level)
-        ),
-        "knn-bounds",
-    )
-    # A level is an exponent of a double, so there are at most about a thousand.
-    levels = [row["__level"] for row in bounded.select("__level").distinct().collect()]
+    asked = _bounds(points, weights, k, features, own)
     width = F.pow(F.lit(2.0), F.col("__level"))
-    cells = points.drop("__block").withColumn("__level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
-    asked = bounded
+    corner = []
+    for f in features:
+        x = F.col(f).cast("double")
+        low = F.floor(x / width) * width
+        corner.append(F.greatest(x - low, low + width - x))
+    reach = F.sqrt(reduce(lambda a, b: a + b, [c * c for c in corner])) * ROUNDING
+    asked = asked.withColumn("__reach", F.when(F.col("__level") < UNBOUNDED, reach))
     for f in features:
         x = F.col(f).cast("double")
         low, high = F.floor((x - F.col("__reach")) / width), F.floor((x + F.col("__reach")) / width)
         bins = F.when(F.col("__reach").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(low, high))
         asked = asked.withColumn(f"__bin_{f}", F.explode(bins))
-        cells = cells.withColumn(f"__bin_{f}", F.floor(F.col(f"__p_{f}") / width))
-    met = (
-        asked.join(cells, [*within, "__level", *[f"__bin_{f}" for f in features]])
-        .withColumn("__d2", _distance(features))
-        .filter(F.col("__reach").isNull() | (F.col("__d2") <= F.col("__reach") * F.col("__reach")))
-    )
-    by_distance = Window.partitionBy(*within, "__query").orderBy("__d2")
+    # one bit more, for the cells beside those of a place
+    cells = _in_cells(points.drop(*own), features, (*LADDER, UNBOUNDED), BITS + 1)
+    for f in features:
+        cells = cells.withColumnRenamed(f, f"__p_{f}")
+    away = [F.col(f).cast("double") - F.col(f"__p_{f}").cast("double") for f in features]
     return (
-        met.withColumn("__rank", F.rank().over(by_distance))
-        .filter(F.col("__rank") <= k)
-        .select(*queries.columns, "__value", "__rank")
+        asked.join(cells, ["__level", *[f"__bin_{f}" for f in features]])
+        .withColumn("__d2", reduce(lambda a, b: a + b, [a * a for a in away]))
+        .filter(F.col("__reach").isNull() | (F.col("__d2") <= F.col("__reach") * F.col("__reach")))
+        .drop("__level", "__reach", *[f"__bin_{f}" for f in features], *[f"__p_{f}" for f in features])
     )
 
 
+def _nearer(weight: str, within: Sequence[str]) -> Column:
+    """How much of the weight is strictly nearer; points at one distance have the same."""
+    by_distance = Window.partitionBy(*within).orderBy("__d2")
+    upto = F.sum(weight).over(by_distance.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    level = F.sum(weight).over(by_distance.rangeBetween(Window.currentRow, Window.currentRow))
+    return upto - level
+
+
 def knn_smooth(
     groups: DataFrame, k: int, features: Sequence[str] = FEATURES, target: str = "b"
 ) -> DataFrame:
@@ -109,11 +111,28 @@ def knn_smooth(
     A group with an unknown feature or target is no neighbour, and one with an unknown feature
     gets no ``knn``.
     """
-    queries = _in_blocks(groups.filter(_known(features)), features, k)
-    points = _points(queries, features, target, ["__block"])
-    means = _nearest(queries, points, k, features).groupBy("__query").agg(F.avg("__value").alias("knn"))
-    smooth = queries.join(means, "__query", "left").select(*groups.columns, "knn")
-    return smooth.unionByName(groups.filter(~_known(features)).withColumn("knn", F.lit(None).cast("double")))
+    points = (
+        groups.filter(_known(features))
+        .groupBy(*features)
+        .agg(F.count(target).alias("__w"), F.coalesce(F.sum(target), F.lit(0.0)).alias("__s"))
+    )
+    met = _met(points, ["__w"], k, features).withColumn("__nearer", _nearer("__w", features))
+    sums = met.filter(F.col("__nearer") < k).groupBy(*features).agg(F.sum("__s").alias("__s"), F.sum("__w").alias("__w"))
+    means = sums.select(*features, (F.col("__s") / F.nullif("__w", F.lit(0))).alias("knn"))
+    return groups.join(means, list(features), "left").select(*groups.columns, "knn")
+
+
+def _drawn(groups: DataFrame, features: Sequence[str], resamples: int) -> DataFrame:
+    """``groups`` with ``__drawn``: how often each resample draws it, by salted hashes."""
+    placed = numbered(groups, features, "place")
+    size = F.lit(max(placed.count(), 1))
+    number = hash_number(F.concat_ws("|", F.lit("boot"), "resample", "place"))
+    draws = placed.select("place", F.explode(F.sequence(F.lit(1), F.lit(resamples))).alias("resample"))
+    draws = draws.select("resample", F.pmod(number, size).alias("place"))
+    times = [F.count_if(F.col("resample") == r) for r in range(1, resamples + 1)]
+    counts = draws.groupBy("place").agg(F.array(*times).alias("__drawn"))
+    never = F.array_repeat(F.lit(0).cast("bigint"), resamples)
+    return placed.join(counts, "place", "left").withColumn("__drawn", F.coalesce("__drawn", never))
 
 
 def k_errors(
@@ -126,30 +145,34 @@ def k_errors(
     """``(k, rmse)``: mean over bootstrap resamples of the error on the groups not drawn.
 
     Draws are salted hashes, so the result is reproducible.  A group drawn twice counts as two
-    neighbours.
+    neighbours.  No bag is built: a place gets one list of neighbours, long enough for every resample, and a
+    resample is a weight of each point in it.
     """
     most = max(grid)
-    usable = groups.filter(_known(features) & F.col(target).isNotNull()).select(*features, target)
-    placed = _in_blocks(numbered(usable, features, "place"), features, most)
-    size = placed.count()
-    slots = placed.select("place").withColumn(
-        "resample", F.explode(F.sequence(F.lit(1), F.lit(resamples)))
-    )
-    number = hash_number(F.concat_ws("|", F.lit("boot"), "resample", "place"))
-    draws = slots.select("resample", F.pmod(number, F.lit(max(size, 1))).alias("place"))
-    bags = _points(draws.join(placed, "place"), features, target, ["resample", "__block"])
-    queries = slots.join(draws, ["resample", "place"], "left_anti").join(placed, "place")
-    near = _nearest(queries, bags, most, features, ["resample"])
-    guesses = near.groupBy("resample", "__query", target).agg(
-        *[F.avg(F.when(F.col("__rank") <= k, F.col("__value"))).alias(f"k_{k}") for k in grid]
+    usable = groups.filter(_known(features) & F.col(target).isNotNull()).select(*features, F.col(target).alias("__b"))
+    drawn = _drawn(usable, features, resamples)
+
+    def each(text: str) -> Column:
+        """An array with the expression for the draws ``{d}`` of every resample."""
+        return F.expr(f"array({', '.join(text.replace('{d}', f'__drawn[{r}]') for r in range(resamples))})")
+
+    points = drawn.groupBy(*features).agg(
+        each("sum({d})").alias("__w"), each("sum({d} * __b)").alias("__s"), each("min({d}) = 0").alias("__out")
     )
-    errors = guesses.groupBy("resample").agg(
-        *[F.sqrt(F.avg(F.pow(F.col(f"k_{k}") - F.col(target), F.lit(2)))).alias(f"k_{k}") for k in grid]
+    met = _met(points, [f"__w[{r}]" for r in range(resamples)], most, features, ["__out"])
+    bags = F.arrays_zip(F.col("__out").alias("out"), F.col("__w").alias("w"), F.col("__s").alias("s"))
+    near = met.select(*features, "__d2", F.posexplode(bags).alias("resample", "__bag"))
+    near = near.select(*features, "__d2", "resample", "__bag.*").filter("out AND w > 0")
+    near = near.withColumn("nearer", _nearer("w", [*features, "resample"]))
+    guesses = near.filter(F.col("nearer") < most).groupBy(*features, "resample").agg(
+        *[F.expr(f"sum(s) FILTER (WHERE nearer < {k}) / sum(w) FILTER (WHERE nearer < {k}) AS k_{k}") for k in grid]
     )
-    means = errors.agg(
-        F.array(*[F.struct(F.lit(k).alias("k"), F.avg(f"k_{k}").alias("rmse")) for k in grid]).alias("tried")
+    slots = drawn.select(*features, "__b", F.posexplode("__drawn").alias("resample", "times")).filter("times = 0")
+    errors = slots.join(guesses, [*features, "resample"]).groupBy("resample").agg(
+        *[F.expr(f"sqrt(avg(pow(k_{k} - __b, 2))) AS k_{k}") for k in grid]
     )
-    return means.select(F.inline("tried")).filter("rmse IS NOT NULL")
+    means = ", ".join(f"struct({k} AS k, avg(k_{k}) AS rmse)" for k in grid)
+    return errors.agg(F.expr(f"array({means})").alias("tried")).select(F.inline("tried")).filter("rmse IS NOT NULL")
 
 
 def choose_k(groups: DataFrame, **settings) -> DataFrame:

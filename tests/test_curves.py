@@ -1,3 +1,5 @@
+from hashlib import md5
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -63,6 +65,60 @@ def test_smoothing_many_groups(spark):
         assert abs(got["knn"][i] - near.mean()) < 1e-9
 
 
+def test_smoothing_on_both_sides_of_zero_and_across_scales(spark):
+    """Fractions, negative and huge values, repeated places; some cells hold too few, some many."""
+    rng = np.random.default_rng(9)
+    x = np.round(np.concatenate([rng.normal(size=150), rng.normal(size=80) * 1e-5, -(10.0 ** rng.uniform(0, 25, 60)), [0.25] * 10]), 7)
+    y = np.round(rng.normal(size=300) * 3, 3)
+    y[-10:] = 1.0
+    b = rng.normal(size=300)
+    df = spark.createDataFrame(pd.DataFrame({"year": x, "n": y, "b": b}))
+    for k in (1, 6, 400):
+        got = knn_smooth(df, k).toPandas()
+        assert len(got) == 300
+        for i in range(300):
+            d2 = (x - got["year"][i]) ** 2 + (y - got["n"][i]) ** 2
+            near = b[d2 <= np.sort(d2)[min(k, 300) - 1]]
+            assert abs(got["knn"][i] - near.mean()) < 1e-9
+
+
+def test_smoothing_is_one_lazy_plan(spark, monkeypatch):
+    monkeypatch.setattr("residua.session.stored", None)
+    monkeypatch.setattr("residua.operators.ranks.stored", None)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "planning only")
+    df = spark.createDataFrame([(2000, 1.0, 5)], GROUPS)
+    smooth = knn_smooth(df, 2)
+    assert list(jobs.getJobIdsForGroup("lazy")) == [] and [r["knn"] for r in smooth.collect()] == [1.0]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_bootstrap_errors_equal_those_of_bags(spark):
+    """Repeated places and equal distances, against bags that are really drawn."""
+    rows = [(1950 + i // 2, (i * 37 % 11) / 7, 5 if i < 12 else i * i % 40) for i in range(44)]
+    placed = sorted(rows, key=lambda r: (r[0], r[2]))
+    same = {(r[0], r[2]) for r in rows if sum(r[0] == q[0] and r[2] == q[2] for q in rows) > 1}
+    assert same  # the order of groups at one place is not told, so their values are made equal
+    first = {}
+    placed = [(y, first.setdefault((y, n), v), n) for y, v, n in placed]
+    df = spark.createDataFrame(placed, GROUPS)
+    size, grid = len(placed), [1, 3, 8, 60]
+    errors = {k: [] for k in grid}
+    for r in range(1, 5):
+        drawn = [int(md5(f"boot|{r}|{i}".encode()).hexdigest()[:15], 16) % size for i in range(size)]
+        bag = [placed[i] for i in drawn]
+        for k in grid:
+            wrong = []
+            for i in set(range(size)) - set(drawn):
+                y, v, n = placed[i]
+                d2 = [(y - p[0]) ** 2 + (n - p[2]) ** 2 for p in bag]
+                limit = sorted(d2)[min(k, size) - 1]
+                wrong.append(np.mean([p[1] for p, d in zip(bag, d2) if d <= limit]) - v)
+            errors[k].append(np.sqrt(np.mean(np.square(wrong))))
+    found = {r["k"]: r["rmse"] for r in k_errors(df, grid, 4).collect()}
+    assert found == pytest.approx({k: np.mean(e) for k, e in errors.items()})
+
+
 def test_one_neighbour_returns_the_group_itself(spark):
     df = spark.createDataFrame([(1990, 0.1, 1), (1995, 0.2, 7), (2000, 0.3, 3)], GROUPS)
     assert all(r["knn"] == r["b"] for r in knn_smooth(df, 1).collect())
