@@ -92,3 +92,19 @@ def test_rows_are_scanned_three_times(spark):
     split = N.nested_split(df)
     assert kept() == 4000 and seen.value <= 3 * 4000
     assert split.outer.count() == 4000 and seen.value <= 3 * 4000
+
+
+def test_rows_are_written_once_where_keys_are_lost(spark, monkeypatch):
+    """Also not sorted by place; the lost keys are a stored table, whose size Spark knows."""
+    written = []
+
+    def spied(df, label, partition_by=()):
+        written.append((label, tuple(partition_by)))
+        return stored(df, label, partition_by)
+
+    df = table(spark, sparse(3000, 900, 700))
+    monkeypatch.setattr(N, "stored", spied)
+    got = N.nested_split(df)
+    assert [w for w in written if w[0] == "splits"] == [("splits", ())]
+    assert "lost-keys" in {label for label, _ in written}
+    assert {r["fold"] for r in got.inner.select("fold").distinct().collect()} == {"train", "test", "rejected"}
