@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from residua.session import dealt, parts_for
+
 
 def _title() -> F.Column:
     year = (1930 + (F.col("p_partkey") * 7) % 80).cast("string")
@@ -26,6 +28,8 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey")
+    parts = parts_for(lines.count())
+    lines, orders = dealt(lines, parts, "l_orderkey"), dealt(orders, parts, "o_orderkey")
     ship = F.col("l_shipdate")
     epoch = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', l_shipdate)")
     key = F.md5(
