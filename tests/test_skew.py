@@ -1,11 +1,16 @@
 """One user and one item hold a third of all rows each, and nothing may be broadcast."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from residua import session
 from residua.operators import effects as E
 from residua.operators import split as S
 from residua.plans import model as M
+from residua.plans.workspace import Workspace
+from residua.sources import testview
 from residua.specs import Spec, Stage
 
 SETTINGS = {
@@ -80,3 +85,52 @@ def test_split_of_skewed_rows_is_whole(skewed):
     counts = {r["fold"]: r["n"] for r in fold.collect()}
     assert sum(counts.values()) == 90000
     assert 9000 <= counts["test"] + counts.get("rejected", 0) <= 9004
+
+
+def test_parts_do_not_grow_with_the_table(skewed, monkeypatch):
+    """Cells meet their items, and users are summed up, in parts of a bounded size; a hot item is left to Spark."""
+    rows, items = skewed
+    model = M.fit(rows, items, [SPEC])
+    monkeypatch.setattr(session, "ROWS_PER_PART", 100)
+    assert M.fit(rows, items, [SPEC]).users.count() == model.users.count()
+    slots = E.slot_sums(model.cells, SPEC.tokens, ["left_shrunk"], ["n"])
+    parts = session.parts_for(model.cells.count())
+    assert parts > 4 and re.search(rf"hashpartitioning\(user_id#\d+L?, {parts}\), REPARTITION_BY_NUM", final_plan(slots))
+
+    def joined(effects):
+        return final_plan(E.cells(rows, effects, F.lit(model.mu), [SPEC]))
+
+    assert "skew=true" in joined(model.items)
+    monkeypatch.setattr(session, "ROWS_PER_PART", 31_000)
+    assert ", 3), REPARTITION_BY_NUM" not in joined(model.items)  # fewer than the session has
+    monkeypatch.setattr(session, "ROWS_PER_PART", 100)
+    even = model.items.withColumn("n", F.lit(90).cast("bigint"))
+    assert f", {session.parts_for(701 * 90)}), REPARTITION_BY_NUM" in joined(even)
+
+
+def test_year_curve_in_bounded_parts(skewed, monkeypatch):
+    rows, items = skewed
+    model = M.fit(rows, items, [SPEC])
+
+    def curve():
+        return {r["year"]: (round(r["b"], 9), r["n"]) for r in M.year_residuals(model, "shrunk").collect()}
+
+    before = curve()
+    monkeypatch.setattr(session, "ROWS_PER_PART", 200)
+    assert curve() == before
+    parts = session.parts_for(model.cells.count())
+    assert f", {parts}), REPARTITION_BY_NUM" in final_plan(M.year_residuals(model, "shrunk"))
+
+
+def test_rating_rows_are_joined_in_bounded_parts(no_broadcast, folder, monkeypatch):
+    before = testview.ratings(no_broadcast, folder)
+    monkeypatch.setattr(session, "ROWS_PER_PART", 500)
+    after = testview.ratings(no_broadcast, folder)
+    assert "REPARTITION_BY_NUM" in final_plan(after)
+    assert after.exceptAll(before).isEmpty() and before.exceptAll(after).isEmpty()
+
+
+def test_sweeps_take_the_mean_without_a_fit(no_broadcast, folder):
+    w = Workspace(no_broadcast, folder)
+    assert w.tuning_cells.count() > 0 and "model" not in w.__dict__
+    assert w.mu == pytest.approx(w.model.mu, abs=1e-12)
