@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from residua.session import beyond_session, dealt, parts_for
+
 
 def _natural(left: DataFrame, right: DataFrame) -> tuple[list[str], DataFrame, F.Column]:
     """Shared columns, the right side with those renamed, and the NULL-equals-NULL condition."""
@@ -38,6 +40,20 @@ def natural_anti_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(renamed, condition, "left_anti")
 
 
+def dealt_for(rows: DataFrame, count: int, side: DataFrame, key: str) -> DataFrame:
+    """``side``, to be left-joined by ``key`` to ``rows``, ``count`` of them, in as many parts as they need; they follow it.
+
+    If a part would get over twice its share of the rows, as with a hot or an often missing key, all is left to adaptive
+    execution, which can split it.
+    """
+    parts = parts_for(count)
+    if not beyond_session(side, parts):
+        return side
+    part = F.pmod(F.hash(key), F.lit(parts)).alias("part")  # where a shuffle by the key puts a row
+    fullest = rows.groupBy(part).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    return dealt(side, parts, key) if parts_for(fullest) <= 2 else side
+
+
 def with_known_keys(rows: DataFrame, known: DataFrame, *keys: str) -> DataFrame:
     """Rows whose every key, taken on its own, occurs in ``known``."""
     for key in keys:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from residua.functions.metrics import PROPAGATE, SKIP, rmse
 from residua.functions.scalar import or_zero
 from residua.operators import effects as E
-from residua.operators.joins import natural_left_join
+from residua.operators.joins import dealt_for, natural_left_join
 from residua.operators.knn import choose_k, knn_smooth
 from residua.specs import Spec
 from residua.session import dealt, parts_for, stored
@@ -57,11 +57,16 @@ def fit(train: DataFrame, items: DataFrame, specs: Sequence[Spec]) -> Model:
 
 
 def with_effects(rows: DataFrame, model: Model, names: Sequence[str]) -> DataFrame:
-    """Two left joins, by item and by user, bring all effects of the named specs to the rows."""
+    """Two left joins, by item and by user, bring all effects of the named specs to the rows.
+
+    The rows are counted first, so that the tasks of the joins need not grow with the table.
+    """
     items = model.items.select("item_id", "hits", "year", *[f"b_i_{n}" for n in names])
     users = model.users.select(
         "user_id", *[f"b_u_{n}" for n in names], *[f"tags_{n}" for n in names]
     )
+    count = rows.count()
+    items, users = dealt_for(rows, count, items, "item_id"), dealt_for(rows, count, users, "user_id")
     return rows.join(items, "item_id", "left").join(users, "user_id", "left")
 
 

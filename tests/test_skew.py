@@ -108,6 +108,27 @@ def test_parts_do_not_grow_with_the_table(skewed, monkeypatch):
     assert f", {session.parts_for(701 * 90)}), REPARTITION_BY_NUM" in joined(even)
 
 
+def test_effects_come_to_rows_in_bounded_parts(skewed, monkeypatch):
+    """Rows meet items and users in parts of a bounded size; hot or missing keys are left to Spark; the sums stay the same."""
+    rows, items = skewed
+    even = rows.withColumn("user_id", F.col("ts") % 499).withColumn("item_id", F.col("ts") % 701)
+    unknown = even.withColumn("user_id", F.when(F.col("ts") % 3 > 0, F.col("user_id")))
+    model = M.fit(even, items, [SPEC])
+
+    def joined(df):
+        return M.with_effects(df, model, ["shrunk"]).agg(
+            F.count("*"), F.count("b_u_shrunk"), F.round(F.sum("b_i_shrunk"), 9), F.round(F.sum("b_u_shrunk"), 9)
+        )
+
+    tables = (even, unknown, rows)
+    before = [joined(df).first() for df in tables]
+    monkeypatch.setattr(session, "ROWS_PER_PART", 10_000)
+    for df, parts, same in zip(tables, (2, 1, 0), before, strict=True):
+        again = joined(df)
+        assert again.first() == same
+        assert final_plan(again).split("== Initial Plan ==")[0].count(", 9), REPARTITION_BY_NUM") == parts
+
+
 def test_year_curve_in_bounded_parts(skewed, monkeypatch):
     rows, items = skewed
     model = M.fit(rows, items, [SPEC])
