@@ -5,11 +5,11 @@ A stage takes the rows it applies to, groups the residual that the stages before
 
 Tag stages are keyed by user, and a row is touched by a stage only through its tags.  So all rows
 of a user with the same tags ("a cell") keep moving by the same amount, and ``(n, sum)`` per cell
-is all that the stages need.  Rows are aggregated to cells before any shuffle.  That helps hot users: one
-with a third of all ratings shrinks to as many rows as there are combinations of tags and year.  It
-does not reduce the volume of ordinary users, whose rows seldom share a cell.  From the cells each
-user keeps sums of a fixed number, and all stages are solved from those in one expression: no
-join, window or shuffle per stage.
+is all that the stages need.  A hot user with a third of all ratings has as many cells as there are
+combinations of tags and year, and they are spread over all tasks.  Rows of ordinary users seldom share
+a cell; so a large table is not summed up before its one shuffle, only after it, in parts of a bounded
+size.  From the cells each user keeps sums of a fixed number, and all stages are solved from those in
+one expression: no join, window or shuffle per stage.
 
 The tags of an item are ``hits``, the ascending places of the tokens found in its text.
 """
@@ -75,35 +75,37 @@ def item_effects(table: DataFrame, mu: Column, specs: Sequence[Spec]) -> DataFra
     )
 
 
-def dealt_by_item(effects: DataFrame, counts: DataFrame) -> DataFrame:
-    """``effects``, of one row per item, in as many parts as their rated rows need; rows that are joined by item follow.
+def met_by_item(rows: DataFrame, effects: DataFrame, counts: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with the ``effects`` of their items, joined in as many parts as the rated rows need, and that number of parts.
 
-    ``counts`` has the row count ``n`` per item.  With an item that would overfill a part all is left to adaptive
+    ``counts`` has the row count ``n`` per item.  With an item that would overfill a part the join is left to adaptive
     execution, which can split it.
     """
     size = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
-    fits = parts_for(size["most"] or 0) == 1
-    return dealt(effects, parts_for(size["rows"] or 0), "item_id") if fits else effects
+    parts = parts_for(size["rows"] or 0)
+    if parts_for(size["most"] or 0) == 1:
+        effects = dealt(effects, parts, "item_id")
+    return rows.join(effects, "item_id", "left"), parts
 
 
 def cells(rows: DataFrame, items: DataFrame, mu: Column, specs: Sequence[Spec]) -> DataFrame:
     """``(user_id, hits, year, n, left_<spec>...)``: what the item effect leaves, summed per cell.
 
-    The release year is part of the key so that the year curve needs no second pass over rows.
+    The release year is part of the key so that the year curve needs no second pass over rows.  A table of more parts than
+    the session has is dealt by cell first, so that no task holds more sums with more rows; a smaller one is summed up
+    on both sides of the shuffle.
     """
     effects = items.select("item_id", "hits", "year", *[f"b_i_{s.name}" for s in specs])
-    effects = dealt_by_item(effects, items)
+    met, parts = met_by_item(rated(rows).select("user_id", "item_id", "rating"), effects, items)
+    errors = met.select(
+        "user_id", "hits", "year", *[(F.col("rating") - F.col(f"b_i_{s.name}")).alias(f"error_{s.name}") for s in specs]
+    )
     return (
-        rated(rows)
-        .select("user_id", "item_id", "rating")
-        .join(effects, "item_id", "left")
+        dealt(errors, parts, "user_id", "hits", "year")
         .groupBy("user_id", "hits", "year")
         .agg(
             F.count("*").alias("n"),
-            *[
-                (F.sum(F.col("rating") - F.col(f"b_i_{s.name}")) - F.count("*") * mu).alias(f"left_{s.name}")
-                for s in specs
-            ],
+            *[(F.sum(f"error_{s.name}") - F.count("*") * mu).alias(f"left_{s.name}") for s in specs],
         )
     )
 

@@ -9,6 +9,7 @@ from residua import session
 from residua.operators import effects as E
 from residua.operators import split as S
 from residua.plans import model as M
+from residua.plans import tuning
 from residua.plans.workspace import Workspace
 from residua.sources import testview
 from residua.specs import Spec, Stage
@@ -108,6 +109,35 @@ def test_parts_do_not_grow_with_the_table(skewed, monkeypatch):
     assert f", {session.parts_for(701 * 90)}), REPARTITION_BY_NUM" in joined(even)
 
 
+def test_cells_are_summed_in_bounded_parts(skewed, monkeypatch):
+    """Also the cells of a hot user: they go to many parts; the sums stay the same, no other shuffle follows."""
+    rows, items = skewed
+    model = M.fit(rows, items, [SPEC])
+    features = E.item_features(items, SPEC.tokens)
+    train, test = rows.filter("ts % 10 > 0"), rows.filter("ts % 10 = 0")
+    effects = tuning.item_effect(train, features, model.mu, SPEC.item_penalty)
+
+    def fitted():
+        return E.cells(rows, model.items, F.lit(model.mu), [SPEC])
+
+    def tuned():
+        return tuning.tuning_cells(train, test, model.mu, effects)
+
+    def sums(df):
+        places = [F.round(c, 9).alias(c) if kind == "double" else c for c, kind in df.dtypes]
+        return {(r["user_id"], *(r["hits"] or [None]), r.asDict().get("year")): r for r in df.select(*places).collect()}
+
+    before = [sums(cells()) for cells in (fitted, tuned)]
+    monkeypatch.setattr(session, "ROWS_PER_PART", 10_000)
+    for cells, same, key, parts in zip((fitted, tuned), before, ("user_id#\\d+L?, hits#\\d+, year#\\d+", "user_id#\\d+L?, hits#\\d+"), (9, 9), strict=True):
+        assert sums(cells()) == same
+        plan = final_plan(cells())
+        assert re.search(rf"hashpartitioning\({key}, {parts}\), REPARTITION_BY_NUM", plan)
+        assert not re.search(r"hashpartitioning\(user_id.*ENSURE_REQUIREMENTS", plan)
+    hot = fitted().filter("user_id = 7").select(F.spark_partition_id()).distinct()
+    assert hot.count() == 9
+
+
 def test_effects_come_to_rows_in_bounded_parts(skewed, monkeypatch):
     """Rows meet items and users in parts of a bounded size; hot or missing keys are left to Spark; the sums stay the same."""
     rows, items = skewed
