@@ -159,6 +159,27 @@ def test_effects_come_to_rows_in_bounded_parts(skewed, monkeypatch):
         assert final_plan(again).split("== Initial Plan ==")[0].count(", 9), REPARTITION_BY_NUM") == parts
 
 
+def test_a_leaderboard_of_thin_train_rows_in_bounded_parts(skewed, monkeypatch):
+    """Unknown users and items stay unknown, or are filled, however the scored rows are dealt."""
+    rows, items = skewed
+    even = rows.withColumn("user_id", F.col("ts") % 499).withColumn("item_id", F.col("ts") % 701)
+    thin = M.fit(even.filter("user_id % 5 <> 0 AND item_id % 7 <> 0"), items, [SPEC])
+
+    def board():
+        return M.leaderboard(even, thin, [M.TAGS_SHRUNK, M.TAGS_SHRUNK.filled("item", "user")])
+
+    def values(df):
+        return [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()]
+
+    before = values(board())
+    seen = even.filter("user_id % 5 <> 0 AND item_id % 7 <> 0").count()
+    assert [r[-2:] for r in before] == [(seen, 90000 - seen), (90000, 0)] and before[0][2] is None
+    monkeypatch.setattr(session, "ROWS_PER_PART", 10_000)
+    again = board()
+    assert values(again) == before
+    assert final_plan(again).split("== Initial Plan ==")[0].count(", 9), REPARTITION_BY_NUM") == 2
+
+
 def test_year_curve_in_bounded_parts(skewed, monkeypatch):
     rows, items = skewed
     model = M.fit(rows, items, [SPEC])
